@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from oracle import customers, layers
+from oracle import customers, layers, merchandise
 from oracle.sql import statement
 
 
 def all_statements() -> dict[str, str]:
     merged: dict[str, str] = {}
-    for module in (layers, customers):
+    for module in (layers, customers, merchandise):
         merged.update(module.STATEMENTS)
     return {name: statement(text) for name, text in merged.items()}

@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
-    from shelfmark.registry import customers, layers
+    from shelfmark.registry import customers, layers, merchandise
 
     merged: dict[str, Query] = {}
-    for module in (layers, customers):
+    for module in (layers, customers, merchandise):
         merged.update(module.QUERIES)
     return merged
