@@ -282,7 +282,7 @@ WHERE revenue_growth_yoy > 0 ORDER BY revenue_growth_yoy DESC, {LEVELS}, period_
     "strong_associations": f"""SELECT item_a, item_b, lift, confidence_a_to_b, is_strong_association FROM ({scored(PARTS)})
 WHERE transactions_with_both >= 2""",
     "topk_associations": f"""SELECT item_a, item_b, recommendation_score, lift FROM ({scored(PARTS)})
-WHERE transactions_with_both >= 2 AND lift > 1.5 ORDER BY recommendation_score DESC, item_a, item_b LIMIT 10""",
+WHERE transactions_with_both >= 2 AND lift > 1.5 AND confidence_a_to_b > 0 ORDER BY recommendation_score DESC, item_a, item_b LIMIT 10""",
     "basket_summary": f"""SELECT COUNT(*) AS total_pairs, COUNT(*) FILTER (is_strong_association) AS strong_pairs,
   {MEAN("lift")} AS avg_lift, MAX(lift) AS max_lift FROM ({scored(BRANDS)})""",
     "gold_basket": GOLD_BASKET,

@@ -9,7 +9,7 @@ from shelfmark.functions import numbers
 from shelfmark.operators.pairing import item_pairs
 
 # Thresholds of a strong association and weights of the score.
-STRONG_LIFT, STRONG_CONFIDENCE, STRONG_COUNT = 1.5, 0.3, 3
+STRONG = {"lift": 1.5, "confidence": 0.3, "count": 3}
 LIFT_WEIGHT, CONFIDENCE_WEIGHT, SUPPORT_WEIGHT, INCREMENT_WEIGHT = 20, 50, 1000, "0.1"
 
 
@@ -43,7 +43,9 @@ def pair_counts(held: DataFrame, min_count: int = 1) -> DataFrame:
     return counted.filter(F.col("transactions_with_both") >= min_count) if min_count > 1 else counted
 
 
-def association_rules(held: DataFrame, txns: DataFrame, min_count: int = 1) -> DataFrame:
+def association_rules(
+    held: DataFrame, txns: DataFrame, min_count: int = 1, strong: dict[str, float] = STRONG
+) -> DataFrame:
     """Support, confidence, lift, conviction, value and score per pair."""
     stats = item_stats(held)
     a = stats.select(F.col("item").alias("item_a"), F.col("orders").alias("transactions_with_a"),
@@ -72,7 +74,7 @@ def association_rules(held: DataFrame, txns: DataFrame, min_count: int = 1) -> D
                 numbers.as_decimal(numbers.ratio(against, 1 - F.col("confidence_a_to_b").cast("double")), 16, 4),
             ),
         )
-    ))
+    ), strong)
 
 
 def with_increment(ruled: DataFrame) -> DataFrame:
@@ -91,15 +93,15 @@ def with_increment(ruled: DataFrame) -> DataFrame:
     ).drop("amount_both", "amount_a")
 
 
-def with_score(ruled: DataFrame) -> DataFrame:
+def with_score(ruled: DataFrame, thresholds: dict[str, float] = STRONG) -> DataFrame:
     gain = F.coalesce(F.greatest("incremental_basket_value", F.lit(0).cast("decimal(12,2)")), F.lit(0).cast("decimal(12,2)"))
     score = (
         F.col("lift") * LIFT_WEIGHT + F.col("confidence_a_to_b") * CONFIDENCE_WEIGHT + F.col("support") * SUPPORT_WEIGHT
         + gain * F.lit(INCREMENT_WEIGHT).cast("decimal(2,1)")
     )
     strong = (
-        (F.col("lift") > STRONG_LIFT) & (F.col("confidence_a_to_b") > STRONG_CONFIDENCE)
-        & (F.col("transactions_with_both") >= STRONG_COUNT)
+        (F.col("lift") > thresholds["lift"]) & (F.col("confidence_a_to_b") > thresholds["confidence"])
+        & (F.col("transactions_with_both") >= thresholds["count"])
     )
     return ruled.withColumns(
         {"recommendation_score": score.cast("decimal(16,2)"), "is_strong_association": F.coalesce(strong, F.lit(False))}

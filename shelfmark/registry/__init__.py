@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
-    from shelfmark.registry import customers, layers, merchandise
+    from shelfmark.registry import customers, layers, marketing, merchandise
 
     merged: dict[str, Query] = {}
-    for module in (layers, customers, merchandise):
+    for module in (layers, customers, merchandise, marketing):
         merged.update(module.QUERIES)
     return merged
