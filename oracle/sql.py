@@ -55,6 +55,8 @@ def statement(text: str) -> str:
     body = text.strip()
     if not ctes:
         return body
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body
