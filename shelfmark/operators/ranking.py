@@ -33,12 +33,19 @@ def _in_slices(df: DataFrame, group: list[str], order: list[Column]) -> DataFram
 
 
 def with_row_number(
-    df: DataFrame, order: list[Column], name: str, group: list[str] | None = None, total: str | None = None
+    df: DataFrame,
+    order: list[Column],
+    name: str,
+    group: list[str] | None = None,
+    total: str | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """``row_number() over (partition by group order by order)``, exactly.
 
     ``order`` has to be total (end with a unique column). With ``total`` the
-    group's row count is attached too.
+    group's row count is attached too. ``few_groups`` says that the number of
+    groups is a small constant: the table of slice counts then has at most that
+    many rows more than there are partitions, and is broadcast.
     """
     group = group or []
     placed = _in_slices(df, group, order)
@@ -53,6 +60,8 @@ def with_row_number(
         F.col("_slice").alias("_s"), *[F.col(g).alias(f"_g_{g}") for g in group], "_from", "_before",
         *([total] if total else []),
     )
+    if few_groups or not group:
+        offsets = F.broadcast(offsets)
     same = F.col("_slice") == F.col("_s")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
@@ -63,31 +72,57 @@ def with_row_number(
     )
 
 
-def with_ntile(df: DataFrame, buckets: int, order: list[Column], name: str) -> DataFrame:
-    """``ntile(buckets)`` over the whole frame: sizes differ by at most one, larger buckets first."""
-    numbered = with_row_number(df, order, "_rn", total="_n")
-    small = F.floor(F.col("_n") / buckets)
-    extra = F.col("_n") % buckets
+def _bucket(row_number: Column, rows: Column, buckets: int) -> Column:
+    """The ``ntile`` of a row number: sizes differ by at most one, larger buckets first."""
+    small = F.floor(rows / buckets)
+    extra = rows % buckets
     in_large = extra * (small + 1)
-    place = F.col("_rn") - 1
-    bucket = F.when(place < in_large, F.floor(place / (small + 1))).otherwise(
-        extra + F.floor((place - in_large) / F.greatest(small, F.lit(1)))
-    )
-    return numbered.withColumn(name, (bucket + 1).cast("int")).drop("_rn", "_n")
+    place = row_number - 1
+    return (
+        F.when(place < in_large, F.floor(place / (small + 1)))
+        .otherwise(extra + F.floor((place - in_large) / F.greatest(small, F.lit(1))))
+        + 1
+    ).cast("int")
 
 
-def with_dense_rank(
-    df: DataFrame, value: str, name: str, group: list[str] | None = None, descending: bool = True
+def with_places(
+    df: DataFrame, key: str, row_numbers: dict[str, Column], ntiles: dict[str, tuple[Column, int]]
 ) -> DataFrame:
-    """``dense_rank()`` by one value column; NULL values come last.
+    """Several row numbers and ``ntile`` columns over the whole frame, in one sort.
+
+    Each maps a new column to its ascending numeric sort value; ties go by
+    ``key``, which has to be unique. A row is repeated once per ordering, with the
+    other columns on the first repeat only, and put together again by ``key``.
+    """
+    orderings = {**row_numbers, **{name: value for name, (value, _) in ntiles.items()}}
+    first = next(iter(orderings))
+    others = F.struct(*[F.col(name) for name in df.columns if name != key])
+    repeats = F.array(*[
+        F.struct(F.lit(name).alias("_order"), value.cast("decimal(38,6)").alias("_value"))
+        for name, value in orderings.items()
+    ])
+    stacked = df.select(key, others.alias("_others"), F.explode(repeats).alias("_r")).select(
+        key, "_r._order", "_r._value", F.when(F.col("_r._order") == first, F.col("_others")).alias("_others")
+    )
+    order = [F.col("_value").asc_nulls_first(), F.col(key).asc_nulls_first()]
+    placed = with_row_number(stacked, order, "_rn", ["_order"], total="_n", few_groups=True)
+    columns = []
+    for name in orderings:
+        value = F.col("_rn") if name in row_numbers else _bucket(F.col("_rn"), F.col("_n"), ntiles[name][1])
+        columns.append(F.max(F.when(F.col("_order") == name, value)).alias(name))
+    back = placed.groupBy(key).agg(F.first("_others", ignorenulls=True).alias("_others"), *columns)
+    return back.select(key, "_others.*", *orderings)
+
+
+def with_dense_rank(df: DataFrame, value: str, name: str, group: list[str]) -> DataFrame:
+    """Descending ``dense_rank()`` by one value column within each group; NULL values come last.
 
     The distinct values of a group are numbered, then joined back by value: ties
-    share a number. Tied rows collapse before they are numbered.
+    share a number, and tied rows collapse before they are numbered. ``df`` is
+    read twice and should be cheap to read.
     """
-    group = group or []
     distinct = df.select(*group, value).distinct()
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    ranks = with_row_number(distinct, [order], name, group)
+    ranks = with_row_number(distinct, [F.col(value).desc_nulls_last()], name, group)
     ranks = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in [*group, value]], F.col(name).cast("int").alias(name))
     same = F.col(value).eqNullSafe(F.col(f"_r_{value}"))
     for g in group:
@@ -95,6 +130,33 @@ def with_dense_rank(
     return df.join(ranks, same, "left").drop(*[f"_r_{c}" for c in [*group, value]])
 
 
+def with_dense_ranks(df: DataFrame, key: str, ranks: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """Several descending dense ranks in one sort, otherwise as ``with_dense_rank``.
+
+    ``ranks`` maps a new column to (value column, group column or None); ``key`` is
+    unique.
+    """
+    entries = F.array(*[
+        F.struct(
+            F.lit(name).alias("_rank"), (F.col(group) if group else F.lit(None)).cast("string").alias("_group"),
+            F.col(value).cast("decimal(38,6)").alias("_value"),
+        )
+        for name, (value, group) in ranks.items()
+    ])
+    stacked = df.select(key, F.explode(entries).alias("_e")).select(key, "_e.*")
+    groups = ["_rank", "_group"]
+    distinct = stacked.select(*groups, "_value").distinct()
+    numbered = with_row_number(distinct, [F.col("_value").desc_nulls_last()], "_rn", groups)
+    numbered = numbered.select(*[F.col(c).alias(f"_n{c}") for c in [*groups, "_value"]], "_rn")
+    same = F.lit(True)
+    for c in [*groups, "_value"]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_n{c}"))
+    found = stacked.join(numbered, same, "left").groupBy(key).agg(
+        *[F.max(F.when(F.col("_rank") == name, F.col("_rn"))).cast("int").alias(name) for name in ranks]
+    )
+    return df.join(found, key, "left")
+
+
 def with_neighbour(
     df: DataFrame, order: list[Column], columns: dict[str, str], group: list[str], following: bool = False
 ) -> DataFrame:

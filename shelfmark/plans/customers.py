@@ -6,17 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import ladders, numbers
-from shelfmark.operators.firsts import top_value
-from shelfmark.operators.ranking import with_ntile, with_row_number
+from shelfmark.operators.ranking import with_places, with_row_number
 
 # Lifetime value factor of the simple prediction, score buckets.
 CLV_FACTOR = "1.5"
 SCORE_BUCKETS = 5
 
 RECENT_DAYS = (30, 90, 365)
+CHANNELS = {"online": "online", "mobile": "mobile", "in-store": "instore", "marketplace": "marketplace"}
 
-# Share of churn risk that speaks against a next purchase, and the
-# yearly points that make a loyalty tier.
+# Points that make a loyalty tier.
 LOYALTY_TIERS = ((10000, "platinum"), (5000, "gold"), (1000, "silver"))
 
 
@@ -25,71 +24,127 @@ def since(day: Column, as_of: Column, days: int) -> Column:
     return (day > F.date_sub(as_of, days)) & (day <= as_of)
 
 
-def base_metrics(txns: DataFrame, as_of: Column) -> DataFrame:
-    """Order history per customer: one partial aggregate over the transactions."""
-    total = F.col("total_amount")
+def order_profile(txns: DataFrame, as_of: Column) -> DataFrame:
+    """Everything the orders tell about a customer, in one pass.
+
+    Orders are summed by (customer, channel) and then by customer, so the
+    primary channel comes out of the same aggregation, and a heavy customer is
+    partly summed before every shuffle.
+    """
+    total, day = F.col("total_amount"), F.col("transaction_date")
+    zero, none = F.lit(0).cast("decimal(12,2)"), F.lit(0).cast("decimal(18,6)")
     off = numbers.as_decimal(numbers.percent(F.col("discount_amount"), F.col("subtotal")), 18, 6)
-    discount = F.when(F.col("has_discount"), F.coalesce(off, F.lit(0).cast("decimal(18,6)"))).otherwise(
-        F.lit(0).cast("decimal(18,6)")
+    sums = {
+        "orders": F.count("transaction_id"),
+        "revenue": F.sum(total),
+        "priced": F.count(total),
+        "discounted": F.count_if(F.col("has_discount")),
+        "rows": F.count(F.lit(1)),
+        "off": F.sum(F.when(F.col("has_discount"), F.coalesce(off, none)).otherwise(none)),
+        "earned": F.sum(F.coalesce("loyalty_points_earned", F.lit(0))),
+        "redeemed": F.sum(F.coalesce("loyalty_points_redeemed", F.lit(0))),
+    }
+    for days in RECENT_DAYS:
+        inside = since(day, as_of, days)
+        sums[f"orders_{days}"] = F.count_if(inside)
+        sums[f"revenue_{days}"] = F.sum(F.when(inside, total).otherwise(zero))
+    by_channel = txns.groupBy("customer_id", "channel").agg(
+        F.min(day).alias("first_day"), F.max(day).alias("last_day"), *[value.alias(name) for name, value in sums.items()]
     )
-    return txns.groupBy("customer_id").agg(
-        F.min("transaction_date").alias("first_purchase_date"),
-        F.max("transaction_date").alias("last_purchase_date"),
-        F.count("transaction_id").alias("total_orders"),
-        numbers.money(F.sum(total)).alias("total_revenue"),
-        numbers.mean(total).alias("avg_order_value"),
-        F.count_if(F.col("has_discount")).alias("orders_with_discount"),
-        numbers.mean(discount).alias("avg_discount_percentage"),
-    ).withColumns(
-        {
-            "days_since_last_purchase": F.date_diff(as_of, F.col("last_purchase_date")),
-            "purchase_frequency_days": numbers.ratio(
-                F.date_diff(as_of, F.col("first_purchase_date")), F.col("total_orders")
-            ),
-            "discount_usage_rate": numbers.percent(F.col("orders_with_discount"), F.col("total_orders")),
-        }
+    in_channel = lambda channel: F.sum(F.when(F.col("channel") == channel, F.col("orders")).otherwise(0))
+    most_used = F.min(F.when(
+        F.col("channel").isNotNull(), F.struct((-F.col("rows")).alias("n"), F.col("channel").alias("channel"))
+    ))
+    summed = by_channel.groupBy("customer_id").agg(
+        F.min("first_day").alias("first_purchase_date"),
+        F.max("last_day").alias("last_purchase_date"),
+        *[F.sum(name).alias(name) for name in sums],
+        *[in_channel(channel).alias(f"{name}_orders") for channel, name in CHANNELS.items()],
+        most_used.alias("most_used"),
+    )
+    used = sum((F.when(F.col(f"{name}_orders") > 0, 1).otherwise(0) for name in CHANNELS.values()), F.lit(0))
+    tier = F.lit("bronze")
+    for points, name in reversed(LOYALTY_TIERS):
+        tier = F.when(F.col("earned") >= points, name).otherwise(tier)
+    orders = F.col("orders")
+    return summed.select(
+        "customer_id", "first_purchase_date", "last_purchase_date",
+        numbers.whole(orders).alias("total_orders"),
+        numbers.money(F.col("revenue")).alias("total_revenue"),
+        numbers.ratio(F.col("revenue"), F.col("priced")).alias("avg_order_value"),
+        numbers.whole(F.col("discounted")).alias("orders_with_discount"),
+        numbers.ratio(F.col("off"), F.col("rows")).alias("avg_discount_percentage"),
+        F.date_diff(as_of, F.col("last_purchase_date")).alias("days_since_last_purchase"),
+        numbers.ratio(F.date_diff(as_of, F.col("first_purchase_date")), orders).alias("purchase_frequency_days"),
+        numbers.percent(F.col("discounted"), orders).alias("discount_usage_rate"),
+        *[numbers.whole(F.col(f"{name}_orders")).alias(f"{name}_orders") for name in CHANNELS.values()],
+        *[numbers.percent(F.col(f"{name}_orders"), orders).alias(f"{name}_order_percentage") for name in CHANNELS.values()],
+        numbers.ratio(used, F.lit(len(CHANNELS))).alias("channel_diversity_score"),
+        F.col("most_used.channel").alias("primary_channel"),
+        *[numbers.whole(F.col(f"orders_{days}")).alias(f"orders_last_{days}d") for days in RECENT_DAYS],
+        *[numbers.money(F.col(f"revenue_{days}")).alias(f"revenue_last_{days}d") for days in RECENT_DAYS],
+        numbers.whole(F.col("earned")).alias("total_loyalty_points_earned"),
+        numbers.whole(F.col("redeemed")).alias("total_loyalty_points_redeemed"),
+        numbers.whole(F.col("earned") - F.col("redeemed")).alias("loyalty_points_balance"),
+        tier.alias("loyalty_tier"),
     )
 
 
-def channel_mix(txns: DataFrame) -> DataFrame:
-    """Orders and share of orders per channel, and how many of the channels are used."""
-    names = {"online": "online", "mobile": "mobile", "in-store": "instore", "marketplace": "marketplace"}
-    counted = txns.groupBy("customer_id").agg(
-        F.count("transaction_id").alias("total_orders"),
-        *[F.count_if(F.col("channel") == channel).alias(f"{name}_orders") for channel, name in names.items()],
+# The functions below pick columns of the profile; Catalyst drops the sums they do not need.
+
+def base_metrics(txns: DataFrame, as_of: Column) -> DataFrame:
+    """Order history per customer."""
+    return order_profile(txns, as_of).select(
+        "customer_id", "first_purchase_date", "last_purchase_date", "total_orders", "total_revenue", "avg_order_value",
+        "orders_with_discount", "avg_discount_percentage", "days_since_last_purchase", "purchase_frequency_days",
+        "discount_usage_rate",
     )
-    used = sum((F.when(F.col(f"{name}_orders") > 0, 1).otherwise(0) for name in names.values()), F.lit(0))
-    return counted.withColumns(
-        {
-            **{
-                f"{name}_order_percentage": numbers.percent(F.col(f"{name}_orders"), F.col("total_orders"))
-                for name in names.values()
-            },
-            "channel_diversity_score": numbers.ratio(used, F.lit(len(names))),
-        }
+
+
+def channel_mix(txns: DataFrame, as_of: Column) -> DataFrame:
+    """Orders and share of orders per channel, and how many of the channels are used."""
+    return order_profile(txns, as_of).select(
+        "customer_id", "total_orders", *[f"{name}_orders" for name in CHANNELS.values()],
+        *[f"{name}_order_percentage" for name in CHANNELS.values()], "channel_diversity_score",
     )
 
 
 def recent_windows(txns: DataFrame, as_of: Column) -> DataFrame:
     """Orders and revenue of the last 30, 90 and 365 days."""
-    day = F.col("transaction_date")
-    zero = F.lit(0).cast("decimal(12,2)")
-    measures = []
-    for days in RECENT_DAYS:
-        inside = since(day, as_of, days)
-        measures.append(F.count_if(inside).alias(f"orders_last_{days}d"))
-        measures.append(
-            numbers.money(F.sum(F.when(inside, F.col("total_amount")).otherwise(zero))).alias(f"revenue_last_{days}d")
-        )
-    return txns.groupBy("customer_id").agg(*measures)
+    return order_profile(txns, as_of).select(
+        "customer_id", *[f"orders_last_{days}d" for days in RECENT_DAYS], *[f"revenue_last_{days}d" for days in RECENT_DAYS]
+    )
+
+
+def primary_channel(txns: DataFrame, as_of: Column) -> DataFrame:
+    """Channel with the most orders, ties to the first name."""
+    return order_profile(txns, as_of).select("customer_id", "primary_channel", "channel_diversity_score")
+
+
+def loyalty(txns: DataFrame, as_of: Column) -> DataFrame:
+    """Points earned, redeemed and left, and the tier the earned points reach."""
+    return order_profile(txns, as_of).select(
+        "customer_id", "total_loyalty_points_earned", "total_loyalty_points_redeemed", "loyalty_points_balance",
+        "loyalty_tier",
+    )
+
+
+def _scores() -> dict[str, tuple[Column, int]]:
+    return {
+        "recency_score": (-F.col("days_since_last_purchase"), SCORE_BUCKETS),
+        "frequency_score": (F.col("total_orders"), SCORE_BUCKETS),
+        "monetary_score": (F.col("total_revenue"), SCORE_BUCKETS),
+    }
 
 
 def rfm_scores(base: DataFrame) -> DataFrame:
     """Quintiles 1..5 for recency (most recent = 5), order count and revenue, ties by customer id."""
-    by_id = F.col("customer_id").asc()
-    scored = with_ntile(base, SCORE_BUCKETS, [F.col("days_since_last_purchase").desc(), by_id], "recency_score")
-    scored = with_ntile(scored, SCORE_BUCKETS, [F.col("total_orders").asc(), by_id], "frequency_score")
-    return with_ntile(scored, SCORE_BUCKETS, [F.col("total_revenue").asc(), by_id], "monetary_score")
+    return with_places(base, "customer_id", {}, _scores())
+
+
+def scored_and_keyed(base: DataFrame) -> DataFrame:
+    """The three quintiles and the running customer number, in one sort."""
+    return with_places(base, "customer_id", {"customer_key": F.col("customer_id")}, _scores())
 
 
 def with_segment(scored: DataFrame) -> DataFrame:
@@ -135,31 +190,71 @@ def customer_products(txns: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def item_metrics(bought: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
-    """Units, variety, price point, premium share and returns per customer."""
+def item_profile(bought: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
+    """Units, variety, price point, premium share, returns and favourites per customer, in one pass.
+
+    Purchases are summed by (customer, category, brand). Each sum then counts
+    three times: as a whole, for its category and for its brand. The last
+    grouping finds totals, distinct counts and favourites side by side, so
+    nothing has to be counted as DISTINCT or joined again.
+    """
     catalog = products.filter("is_current").select("product_id", "category_level1", "brand", "price_tier")
     rows = bought.join(catalog, "product_id", "left")
     recent = since(F.col("last_date"), as_of, 365)
     premium = F.col("price_tier").isin("premium", "luxury")
-    return rows.groupBy("customer_id").agg(
-        numbers.whole(F.sum("units")).alias("total_items_purchased"),
-        F.count("product_id").alias("unique_products"),
-        F.count_distinct("category_level1").alias("unique_categories"),
-        F.count_distinct("brand").alias("unique_brands"),
-        F.count_if(recent).alias("unique_products_purchased_365d"),
-        F.count_distinct(F.when(recent, F.col("category_level1"))).alias("unique_categories_purchased_365d"),
-        numbers.ratio(F.sum("list_value"), F.sum("gross_units")).alias("avg_price_point"),
-        numbers.percent(F.sum(F.when(premium, F.col("gross_units")).otherwise(0)), F.sum("gross_units"))
-        .alias("premium_product_percentage"),
-        numbers.whole(F.sum("returned_lines")).alias("total_returns"),
-        numbers.percent(F.sum("returned_units"), F.sum("gross_units")).alias("return_rate"),
-        numbers.money(F.sum("returned_value")).alias("total_return_value"),
-        numbers.money(F.sum("profit")).alias("total_profit"),
+    sums = {
+        "units": F.sum("units"),
+        "gross_units": F.sum("gross_units"),
+        "returned_units": F.sum("returned_units"),
+        "returned_lines": F.sum("returned_lines"),
+        "returned_value": F.sum("returned_value"),
+        "profit": F.sum("profit"),
+        "list_value": F.sum("list_value"),
+        "products": F.count("product_id"),
+        "recent_products": F.count_if(recent),
+        "premium_units": F.sum(F.when(premium, F.col("gross_units")).otherwise(0)),
+    }
+    grouped = rows.groupBy("customer_id", "category_level1", "brand").agg(
+        *[value.alias(name) for name, value in sums.items()]
+    )
+    roles = F.array(*[
+        F.struct(F.lit(role).alias("role"), value.alias("value"))
+        for role, value in (("whole", F.lit("")), ("category", F.col("category_level1")), ("brand", F.col("brand")))
+    ])
+    counted = grouped.withColumn("_r", F.explode(roles)).groupBy("customer_id", "_r.role", "_r.value").agg(
+        *[F.sum(name).alias(name) for name in sums]
+    )
+    named = F.col("value").isNotNull()
+    of = lambda name: F.sum(F.when(F.col("role") == "whole", F.col(name)))
+    kinds = lambda role, also=F.lit(True): F.count_if((F.col("role") == role) & named & also)
+    best = lambda role: F.min(F.when(
+        (F.col("role") == role) & named, F.struct((-F.col("units")).alias("w"), F.col("value").alias("v"))
+    )).getField("v")
+    return counted.groupBy("customer_id").agg(
+        numbers.whole(of("units")).alias("total_items_purchased"),
+        numbers.whole(of("products")).alias("unique_products"),
+        kinds("category").alias("unique_categories"),
+        kinds("brand").alias("unique_brands"),
+        numbers.whole(of("recent_products")).alias("unique_products_purchased_365d"),
+        kinds("category", F.col("recent_products") > 0).alias("unique_categories_purchased_365d"),
+        numbers.ratio(of("list_value"), of("gross_units")).alias("avg_price_point"),
+        numbers.percent(of("premium_units"), of("gross_units")).alias("premium_product_percentage"),
+        numbers.whole(of("returned_lines")).alias("total_returns"),
+        numbers.percent(of("returned_units"), of("gross_units")).alias("return_rate"),
+        numbers.money(of("returned_value")).alias("total_return_value"),
+        numbers.money(of("profit")).alias("total_profit"),
+        best("category").alias("most_purchased_category"),
+        best("brand").alias("most_purchased_brand"),
     )
 
 
 def premium_share(bought: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
-    return item_metrics(bought, products, as_of).select("customer_id", "premium_product_percentage")
+    return item_profile(bought, products, as_of).select("customer_id", "premium_product_percentage")
+
+
+def favourites(bought: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
+    """Category and brand with the most units, ties to the first name."""
+    return item_profile(bought, products, as_of).select("customer_id", "most_purchased_category", "most_purchased_brand")
 
 
 def returns(bought: DataFrame) -> DataFrame:
@@ -171,37 +266,6 @@ def returns(bought: DataFrame) -> DataFrame:
     )
 
 
-def favourites(bought: DataFrame, products: DataFrame) -> DataFrame:
-    """Category and brand with the most units, ties to the first name."""
-    catalog = products.filter("is_current").select("product_id", "category_level1", "brand")
-    rows = bought.join(catalog, "product_id")
-    category = top_value(rows, "customer_id", "category_level1", "units", "most_purchased_category")
-    brand = top_value(rows, "customer_id", "brand", "units", "most_purchased_brand")
-    return category.join(brand, "customer_id", "full")
-
-
-def primary_channel(txns: DataFrame) -> DataFrame:
-    one = txns.select("customer_id", "channel", F.lit(1).alias("orders"))
-    best = top_value(one, "customer_id", "channel", "orders", "primary_channel")
-    return best.join(channel_mix(txns).select("customer_id", "channel_diversity_score"), "customer_id", "right")
-
-
-def loyalty(txns: DataFrame) -> DataFrame:
-    """Points earned, redeemed and left, and the tier the earned points reach."""
-    tier = F.lit("bronze")
-    for points, name in reversed(LOYALTY_TIERS):
-        tier = F.when(F.col("total_loyalty_points_earned") >= points, name).otherwise(tier)
-    return txns.groupBy("customer_id").agg(
-        numbers.whole(F.sum(F.coalesce("loyalty_points_earned", F.lit(0)))).alias("total_loyalty_points_earned"),
-        numbers.whole(F.sum(F.coalesce("loyalty_points_redeemed", F.lit(0)))).alias("total_loyalty_points_redeemed"),
-    ).withColumns(
-        {
-            "loyalty_points_balance": F.col("total_loyalty_points_earned") - F.col("total_loyalty_points_redeemed"),
-            "loyalty_tier": tier,
-        }
-    )
-
-
 def monthly_amount(amount: Column, frequency: Column) -> Column:
     """A subscription amount per month."""
     months = F.when(frequency == "quarterly", 3).when(frequency.isin("annual", "annually"), 12).otherwise(1)
@@ -236,15 +300,8 @@ def customer_360(
 ) -> DataFrame:
     """One profile row per customer with at least one transaction."""
     bought = customer_products(txns, items)
-    base = with_segment(rfm_scores(base_metrics(txns, as_of)))
-    keyed = surrogate_keys(with_predictions(base))
-    mix = channel_mix(txns).drop("total_orders", "channel_diversity_score")
-    parts = (
-        mix, recent_windows(txns, as_of), item_metrics(bought, products, as_of), favourites(bought, products),
-        primary_channel(txns), loyalty(txns), subscription_profile(subs), support_profile(interactions),
-    )
-    profile = keyed
-    for part in parts:
+    profile = with_segment(with_predictions(scored_and_keyed(order_profile(txns, as_of))))
+    for part in (item_profile(bought, products, as_of), subscription_profile(subs), support_profile(interactions)):
         profile = profile.join(part, "customer_id", "left")
     absent = {
         "has_active_subscription": F.lit(False),

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfmark.functions import ladders, numbers
 from shelfmark.operators.firsts import top_value
-from shelfmark.operators.ranking import with_dense_rank, with_row_number
+from shelfmark.operators.ranking import with_dense_rank, with_dense_ranks, with_row_number
 from shelfmark.plans.baskets import baskets, cross_sell, pair_counts
 from shelfmark.session import cut_lineage
 
@@ -48,56 +49,104 @@ def with_names(by_product: DataFrame, products: DataFrame) -> DataFrame:
     return named.withColumns({name: F.coalesce(F.col(name), F.lit(UNKNOWN)) for name in NAMES})
 
 
-def base_metrics(sold: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales per product, counted through (product, customer) first so that no product is one task's work."""
-    sums = ["lines", "gross_units", "net_units", "returned_units", "price_sum", "discount_sum", "subtotal",
-            "discounts", "revenue", "net_revenue", "cost", "return_value"]
-    per_customer = sold.groupBy("product_id", "customer_id").agg(
-        *[F.sum(name).alias(name) for name in sums],
-        F.count(F.lit(1)).alias("orders"),
-        F.max("is_first_purchase").alias("is_new"),
+def profile(sold: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
+    """Sales, returns, velocity and basket measures per product, in one pass.
+
+    Counted through (product, customer) first, so that customers need no DISTINCT
+    and no product is one task's work. The order size is a window over the order,
+    by which the rows are hashed already.
+    """
+    day = F.col("transaction_date")
+    recent = (day > F.date_sub(as_of, VELOCITY_DAYS)) & (day <= as_of)
+    earlier = (day > F.date_sub(as_of, 2 * VELOCITY_DAYS)) & (day <= F.date_sub(as_of, VELOCITY_DAYS))
+    plain = ["lines", "gross_units", "net_units", "returned_units", "price_sum", "discount_sum", "subtotal",
+             "discounts", "revenue", "net_revenue", "cost", "return_value", "size"]
+    sums = {
+        **{name: F.sum(name) for name in plain},
+        "orders": F.count(F.lit(1)),
+        "attached": F.count_if(F.col("size") > 1),
+        **{
+            f"{part}_{name}": F.sum(F.when(inside, F.col(name)).otherwise(0))
+            for part, inside in (("recent", recent), ("earlier", earlier)) for name in ("net_units", "revenue")
+        },
+    }
+    sized = sold.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("transaction_id")))
+    per_customer = sized.groupBy("product_id", "customer_id").agg(
+        *[value.alias(name) for name, value in sums.items()], F.max("is_first_purchase").alias("is_new")
     )
     total = per_customer.groupBy("product_id").agg(
         *[F.sum(name).alias(name) for name in sums],
-        numbers.whole(F.sum("orders")).alias("total_orders"),
         F.count("customer_id").alias("total_customers"),
         F.count_if("is_new").alias("new_customers"),
         F.count_if(F.col("orders") > 1).alias("returning_customers"),
     )
-    profit = F.col("net_revenue") - F.col("cost")
+    margin = F.col("net_revenue") - F.col("cost")
+    units, before = numbers.whole(F.col("recent_net_units")), numbers.whole(F.col("earlier_net_units"))
+    taken, taken_before = numbers.money(F.col("recent_revenue")), numbers.money(F.col("earlier_revenue"))
+    trend = ladders.trend(units, before)
+    customers = F.col("total_customers")
     measured = total.select(
         "product_id",
         numbers.whole(F.col("net_units")).alias("total_units_sold"),
         numbers.whole(F.col("lines")).alias("total_transactions"),
-        "total_orders", "total_customers", "new_customers",
-        (F.col("total_customers") - F.col("new_customers")).alias("repeat_customers"),
+        numbers.whole(F.col("orders")).alias("total_orders"),
+        customers, "new_customers", (customers - F.col("new_customers")).alias("repeat_customers"),
         "returning_customers",
         numbers.money(F.col("revenue")).alias("gross_revenue"),
         numbers.money(F.col("net_revenue")).alias("net_revenue"),
         numbers.money(F.col("discounts")).alias("total_discounts"),
         numbers.money(F.col("cost")).alias("total_cost"),
-        numbers.money(profit).alias("gross_profit"),
-        numbers.money(profit).alias("contribution_margin"),
-        numbers.percent(profit, F.col("net_revenue")).alias("gross_margin_percentage"),
+        numbers.money(margin).alias("gross_profit"),
+        numbers.money(margin).alias("contribution_margin"),
+        numbers.percent(margin, F.col("net_revenue")).alias("gross_margin_percentage"),
         numbers.whole(F.col("returned_units")).alias("units_returned"),
         numbers.percent(F.col("returned_units"), F.col("net_units") + F.col("returned_units")).alias("return_rate"),
         numbers.money(F.col("return_value")).alias("return_value"),
         numbers.ratio(F.col("price_sum"), F.col("lines")).alias("avg_selling_price"),
         numbers.ratio(F.col("discount_sum"), F.col("lines")).alias("avg_discount_percentage"),
+        numbers.percent(F.col("attached"), F.col("orders")).alias("basket_attachment_rate"),
+        numbers.ratio(F.col("size"), F.col("orders")).alias("avg_basket_size_with_product"),
+        numbers.percent(F.col("returning_customers"), customers).alias("repeat_purchase_rate"),
+        numbers.ratio(F.col("net_units"), customers).alias("avg_units_per_customer"),
+        numbers.ratio(units, F.lit(VELOCITY_DAYS)).alias("units_per_day"),
+        numbers.ratio(taken, F.lit(VELOCITY_DAYS)).alias("revenue_per_day"),
+        numbers.growth(taken, taken_before).alias("revenue_growth_rate"),
+        numbers.growth(units, before).alias("volume_growth_rate"),
+        trend.alias("sales_velocity_trend"),
+        (trend == "up").alias("is_trending"),
+        F.coalesce(numbers.growth(units, before) < LOW_PERFORMER_GROWTH, F.lit(False)).alias("is_low_performer"),
     )
     return with_names(measured, products)
 
 
+MARKET = ["repeat_purchase_rate", "avg_units_per_customer", "basket_attachment_rate", "avg_basket_size_with_product"]
+VELOCITY = ["units_per_day", "revenue_per_day", "revenue_growth_rate", "volume_growth_rate", "sales_velocity_trend",
+            "is_trending", "is_low_performer"]
+
+
+def base_metrics(sold: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
+    """Sales and returns per product; Catalyst drops the measures left out here."""
+    return profile(sold, products, as_of).drop(*MARKET, *VELOCITY)
+
+
+def velocity(sold: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
+    """Daily units and revenue of the last 90 days, growth and trend against the 90 days before."""
+    return profile(sold, products, as_of).select("product_id", *VELOCITY)
+
+
+RANKS = {
+    "category_revenue_rank": ("gross_revenue", "category_level1"),
+    "category_units_rank": ("total_units_sold", "category_level1"),
+    "overall_revenue_rank": ("gross_revenue", None),
+}
+
+
 def with_ranks(metrics: DataFrame) -> DataFrame:
     """Revenue rank in the category and overall, unit rank in the category, high performer flag.
 
-    The metrics are written out once: three rankings would otherwise each repeat
-    the aggregation over all lines.
+    ``metrics`` is read twice: cut its lineage first when it is expensive.
     """
-    ranked = cut_lineage(metrics)
-    ranked = with_dense_rank(ranked, "gross_revenue", "category_revenue_rank", ["category_level1"])
-    ranked = with_dense_rank(ranked, "total_units_sold", "category_units_rank", ["category_level1"])
-    ranked = with_dense_rank(ranked, "gross_revenue", "overall_revenue_rank")
+    ranked = with_dense_ranks(metrics, "product_id", RANKS)
     return ranked.withColumn("is_high_performer", F.col("category_revenue_rank") <= HIGH_PERFORMER_RANK)
 
 
@@ -139,53 +188,22 @@ def stock_position(inventory: DataFrame, sold_units: DataFrame) -> DataFrame:
     )
 
 
-def velocity(sold: DataFrame, as_of: Column) -> DataFrame:
-    """Daily units and revenue of the last 90 days against the 90 days before."""
-    day = F.col("transaction_date")
-    recent = (day > F.date_sub(as_of, VELOCITY_DAYS)) & (day <= as_of)
-    earlier = (day > F.date_sub(as_of, 2 * VELOCITY_DAYS)) & (day <= F.date_sub(as_of, VELOCITY_DAYS))
-    part = lambda condition, name: F.sum(F.when(condition, F.col(name)).otherwise(0))
-    summed = sold.groupBy("product_id").agg(
-        numbers.whole(part(recent, "net_units")).alias("recent_units"),
-        numbers.whole(part(earlier, "net_units")).alias("earlier_units"),
-        numbers.money(part(recent, "revenue")).alias("recent_revenue"),
-        numbers.money(part(earlier, "revenue")).alias("earlier_revenue"),
-    )
-    units, before = F.col("recent_units"), F.col("earlier_units")
-    grown = numbers.growth(units, before)
-    trend = ladders.trend(units, before)
-    return summed.select(
-        "product_id",
-        numbers.ratio(units, F.lit(VELOCITY_DAYS)).alias("units_per_day"),
-        numbers.ratio(F.col("recent_revenue"), F.lit(VELOCITY_DAYS)).alias("revenue_per_day"),
-        numbers.growth(F.col("recent_revenue"), F.col("earlier_revenue")).alias("revenue_growth_rate"),
-        grown.alias("volume_growth_rate"),
-        trend.alias("sales_velocity_trend"),
-        (trend == "up").alias("is_trending"),
-        F.coalesce(grown < LOW_PERFORMER_GROWTH, F.lit(False)).alias("is_low_performer"),
-    )
+def with_market_share(metrics: DataFrame, txns: DataFrame) -> DataFrame:
+    """Share of the category's revenue and of all buyers. ``metrics`` is read twice."""
+    categories = metrics.groupBy("category_level1").agg(F.sum("gross_revenue").alias("_category_revenue"))
+    buyers = txns.agg(F.count_distinct("customer_id").alias("n")).scalar()
+    return metrics.join(categories, "category_level1", "left").withColumns(
+        {
+            "category_market_share": numbers.percent(F.col("gross_revenue"), F.col("_category_revenue")),
+            "penetration_rate": numbers.percent(F.col("total_customers"), buyers),
+        }
+    ).drop("_category_revenue")
 
 
-def market_position(metrics: DataFrame, sold: DataFrame, txns: DataFrame) -> DataFrame:
+def market_position(sold: DataFrame, products: DataFrame, txns: DataFrame, as_of: Column) -> DataFrame:
     """Category share, penetration, repeat rate, units per customer, attachment and basket size."""
-    per_product = cut_lineage(metrics.select(
-        "product_id", "category_level1", "gross_revenue", "total_customers", "returning_customers", "total_units_sold"))
-    categories = per_product.groupBy("category_level1").agg(F.sum("gross_revenue").alias("_category_revenue"))
-    buyers = txns.agg(F.count_distinct("customer_id").alias("n")).scalar()
-    held = sold.select("transaction_id", "product_id")
-    sizes = held.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("size"))
-    attached = held.join(sizes, "transaction_id").groupBy("product_id").agg(
-        numbers.percent(F.count_if(F.col("size") > 1), F.count(F.lit(1))).alias("basket_attachment_rate"),
-        numbers.mean(F.col("size")).alias("avg_basket_size_with_product"),
-    )
-    return per_product.join(categories, "category_level1", "left").join(attached, "product_id", "left").select(
-        "product_id",
-        numbers.percent(F.col("gross_revenue"), F.col("_category_revenue")).alias("category_market_share"),
-        numbers.percent(F.col("total_customers"), buyers).alias("penetration_rate"),
-        numbers.percent(F.col("returning_customers"), F.col("total_customers")).alias("repeat_purchase_rate"),
-        numbers.ratio(F.col("total_units_sold"), F.col("total_customers")).alias("avg_units_per_customer"),
-        "basket_attachment_rate", "avg_basket_size_with_product",
-    )
+    shared = with_market_share(cut_lineage(profile(sold, products, as_of).drop(*VELOCITY)), txns)
+    return shared.select("product_id", "category_market_share", "penetration_rate", *MARKET)
 
 
 def price_elasticity(sold: DataFrame) -> DataFrame:
@@ -209,14 +227,12 @@ def product_performance(
 ) -> DataFrame:
     """One row per sold product."""
     sold = order_products(items, txns)
-    metrics = cut_lineage(base_metrics(sold, products))
-    ranked = with_row_number(with_ranks(metrics), [F.col("gross_revenue").desc(), F.col("product_id").asc()], "product_key")
-    partners = cross_sell(pair_counts(baskets(items, txns))).withColumnRenamed("item", "product_id")
-    parts = (
-        return_reasons(items), stock_position(inventory, metrics), velocity(sold, as_of),
-        market_position(metrics, sold, txns), price_elasticity(sold), partners,
+    metrics = cut_lineage(profile(sold, products, as_of))
+    ranked = with_row_number(
+        with_market_share(with_ranks(metrics), txns), [F.col("gross_revenue").desc(), F.col("product_id").asc()], "product_key"
     )
+    partners = cross_sell(pair_counts(baskets(items, txns))).withColumnRenamed("item", "product_id")
     result = ranked
-    for part in parts:
+    for part in (return_reasons(items), stock_position(inventory, metrics), price_elasticity(sold), partners):
         result = result.join(part, "product_id", "left")
     return result.withColumns({"analysis_date": as_of, "time_period": F.lit("monthly")})

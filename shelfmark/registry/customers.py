@@ -90,7 +90,7 @@ def customer_base_metrics(spark, folder):
 
 
 def channel_mix(spark, folder):
-    return customers.channel_mix(shapes.transactions(spark, folder))
+    return customers.channel_mix(shapes.transactions(spark, folder), as_of())
 
 
 def customer_recent_windows(spark, folder):
@@ -122,7 +122,8 @@ def surrogate_keys(spark, folder):
 
 
 def customer_item_metrics(spark, folder):
-    return customers.item_metrics(bought(spark, folder), shapes.product_catalog(spark, folder), as_of())
+    profile = customers.item_profile(bought(spark, folder), shapes.product_catalog(spark, folder), as_of())
+    return profile.drop("most_purchased_category", "most_purchased_brand")
 
 
 def premium_share(spark, folder):
@@ -134,15 +135,15 @@ def customer_returns(spark, folder):
 
 
 def favorite_category_brand(spark, folder):
-    return customers.favourites(bought(spark, folder), shapes.product_catalog(spark, folder))
+    return customers.favourites(bought(spark, folder), shapes.product_catalog(spark, folder), as_of())
 
 
 def primary_channel(spark, folder):
-    return customers.primary_channel(shapes.transactions(spark, folder))
+    return customers.primary_channel(shapes.transactions(spark, folder), as_of())
 
 
 def loyalty_balance(spark, folder):
-    return customers.loyalty(shapes.transactions(spark, folder))
+    return customers.loyalty(shapes.transactions(spark, folder), as_of())
 
 
 def customer_subscriptions(spark, folder):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import quality
 from shelfmark.plans import baskets, categories, products, reports
 from shelfmark.registry.customers import as_of, mart
+from shelfmark.session import cut_lineage
 from shelfmark.sources import shapes
 
 
@@ -42,7 +43,7 @@ def sold(spark, folder):
 
 
 def base(spark, folder):
-    return products.base_metrics(sold(spark, folder), shapes.product_catalog(spark, folder))
+    return products.base_metrics(sold(spark, folder), shapes.product_catalog(spark, folder), as_of())
 
 
 def product_base_metrics(spark, folder):
@@ -54,13 +55,13 @@ def return_rate(spark, folder):
 
 
 def product_rank(spark, folder):
-    return products.with_ranks(base(spark, folder)).select(
+    return products.with_ranks(cut_lineage(base(spark, folder))).select(
         "product_id", "category_level1", "gross_revenue", "category_revenue_rank", "category_units_rank",
         "overall_revenue_rank")
 
 
 def high_performers(spark, folder):
-    return products.with_ranks(base(spark, folder)).filter("is_high_performer").select(
+    return products.with_ranks(cut_lineage(base(spark, folder))).filter("is_high_performer").select(
         "product_id", "category_level1", "category_revenue_rank")
 
 
@@ -73,11 +74,12 @@ def inventory_turnover(spark, folder):
 
 
 def sales_velocity(spark, folder):
-    return products.velocity(sold(spark, folder), as_of())
+    return products.velocity(sold(spark, folder), shapes.product_catalog(spark, folder), as_of())
 
 
 def product_market(spark, folder):
-    return products.market_position(base(spark, folder), sold(spark, folder), shapes.transactions(spark, folder))
+    return products.market_position(
+        sold(spark, folder), shapes.product_catalog(spark, folder), shapes.transactions(spark, folder), as_of())
 
 
 def price_elasticity(spark, folder):
