@@ -171,8 +171,9 @@ def category_brand_performance(
 ) -> DataFrame:
     """One row per period, three category levels and brand."""
     grains = grains or ["monthly"]
-    rows = with_growth(with_shares(base(order_groups(items, products, txns), grains)))
-    full = with_rankings(with_price_index(with_penetration(rows, txns, grains)))
+    rows = with_growth(base(order_groups(items, products, txns), grains))
+    # Shares and ranks come last: they use the same (period, category) partitioning, so one shuffle serves both.
+    full = with_rankings(with_shares(with_price_index(with_penetration(rows, txns, grains))))
     zero_when_unknown = ["revenue_growth_mom", "revenue_growth_yoy", "units_growth_yoy"]
     return full.withColumns(
         {**{name: F.coalesce(F.col(name), F.lit(0.0)) for name in zero_when_unknown}, "analysis_date": as_of}
