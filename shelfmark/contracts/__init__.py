@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Partition columns that exist on disk only.
+STORAGE_COLUMNS = {"_ingestion_date": "date", "attribution_month": "date", "order_month": "date"}
+
+
 @dataclass(frozen=True)
 class Contract:
     """Column names and types of one table, its key, and how it is partitioned on disk."""
@@ -25,6 +29,12 @@ class Contract:
     def ddl(self) -> str:
         return ", ".join(f"`{name}` {kind}" for name, kind in self.fields)
 
+    @property
+    def stored_ddl(self) -> str:
+        """The schema on disk: declared columns and storage-only partition columns."""
+        extra = [f"`{name}` {STORAGE_COLUMNS[name]}" for name in self.partition_by if name not in self.columns]
+        return ", ".join([self.ddl, *extra])
+
 
 def contract(name: str, text: str, key: str, partition_by: str = "") -> Contract:
     """Reads ``column TYPE`` lines."""

@@ -39,6 +39,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
+def read_layer(spark: SparkSession, path: str, target: Contract) -> DataFrame:
+    """Files of a contract. The schema is given, so partition values get their declared types, not guessed ones."""
+    return spark.read.schema(target.stored_ddl).parquet(path)
+
+
 def read_optional(spark: SparkSession, name: str, target: Contract) -> DataFrame:
     """The table, or an empty frame of the same schema when the catalog does not have it.
 

@@ -53,16 +53,19 @@ def overwrite_partitions(df: DataFrame, name: str, target: Contract) -> None:
     """Replace the matching partitions of an existing catalog table (dynamic insert overwrite)."""
     order = [field.name for field in df.sparkSession.table(name).schema.fields]
     ready = with_partition_columns(conform(df, target), target).select(*order)
-    ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    # Inserts into catalog tables take the mode from the session, not from a writer option.
+    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        ready.write.insertInto(name, overwrite=True)
+    finally:
+        conf.set(mode, before)
 
 
 def register_external(spark: SparkSession, name: str, path: str, target: Contract) -> None:
     """A catalog table over Parquet files that already exist."""
-    kinds = dict(target.fields)
-    extra = {"_ingestion_date": "date", "attribution_month": "date", "order_month": "date"}
-    columns = [f"`{c}` {t}" for c, t in target.fields]
-    columns += [f"`{c}` {extra[c]}" for c in target.partition_by if c not in kinds]
     split = f"PARTITIONED BY ({', '.join(target.partition_by)})" if target.partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING PARQUET {split} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({target.stored_ddl}) USING PARQUET {split} LOCATION '{path}'")
     if target.partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
