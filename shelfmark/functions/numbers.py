@@ -44,5 +44,20 @@ def money(value: Column, precision: int = 18) -> Column:
     return value.cast(f"decimal({precision},2)")
 
 
+def cents(amount: Column) -> Column:
+    """A two-digit amount as BIGINT, for sums.
+
+    Sums of DECIMAL(12,2) need more than 18 digits and leave Spark's long-based
+    decimal path; sums of cents are plain long additions, and an overflow is an
+    error, not a wrong result.
+    """
+    return (amount * 100).cast("bigint")
+
+
+def from_cents(total: Column) -> Column:
+    """A sum of cents as an amount."""
+    return (total.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(20,2)")
+
+
 def whole(value: Column) -> Column:
     return value.cast("bigint")

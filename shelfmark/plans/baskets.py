@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfmark.functions import numbers
 from shelfmark.operators.pairing import item_pairs
+from shelfmark.session import cut_lineage
 
 # Thresholds of a strong association and weights of the score.
 STRONG = {"lift": 1.5, "confidence": 0.3, "count": 3}
@@ -14,9 +16,13 @@ LIFT_WEIGHT, CONFIDENCE_WEIGHT, SUPPORT_WEIGHT, INCREMENT_WEIGHT = 20, 50, 1000,
 
 
 def baskets(items: DataFrame, txns: DataFrame, item: str = "product_id") -> DataFrame:
-    """One row per order and distinct item, with the order's total."""
+    """One row per order and distinct item, with the order's total.
+
+    Written out once: item counts, pair sides and basket sizes all read it, and
+    would otherwise each repeat the DISTINCT over all lines.
+    """
     totals = txns.select("transaction_id", "total_amount")
-    return (
+    return cut_lineage(
         items.filter(F.col(item).isNotNull()).select("transaction_id", F.col(item).alias("item")).distinct()
         .join(totals, "transaction_id", "left")
     )
@@ -143,8 +149,6 @@ def cross_sell(pairs: DataFrame, top: int = 3) -> DataFrame:
     ``row_number() <= top`` is applied before the shuffle as well, so an item
     with very many partners sends only ``top`` rows per task.
     """
-    from pyspark.sql.window import Window
-
     forward = pairs.select(F.col("item_a").alias("item"), F.col("item_b").alias("partner"), "transactions_with_both")
     backward = pairs.select(F.col("item_b").alias("item"), F.col("item_a").alias("partner"), "transactions_with_both")
     best = Window.partitionBy("item").orderBy(F.col("transactions_with_both").desc(), F.col("partner").asc())

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from shelfmark.functions import numbers
 from shelfmark.functions.calendar import month_number
+from shelfmark.operators.lines import by_order_and_product
 from shelfmark.plans.products import UNKNOWN
 
 LEVELS = ["category_level1", "category_level2", "category_level3", "brand"]
@@ -20,23 +21,22 @@ def order_groups(items: DataFrame, products: DataFrame, txns: DataFrame) -> Data
     """One row per order and (category, brand): lines are summed before any period is involved."""
     catalog = products.filter("is_current").select("product_id", *LEVELS)
     orders = txns.select("transaction_id", "customer_id", "transaction_date", "total_amount", "is_first_purchase")
-    lines = items.join(orders, "transaction_id").join(catalog, "product_id", "left")
-    promoted = F.when(F.col("discount_percentage") > 0, F.col("line_total")).otherwise(F.lit(0).cast("decimal(12,2)"))
+    lines = by_order_and_product(items).join(orders, "transaction_id").join(catalog, "product_id", "left")
     return lines.withColumns({name: F.coalesce(F.col(name), F.lit(UNKNOWN)) for name in LEVELS}).groupBy(
         "transaction_id", *LEVELS
     ).agg(
         F.max("customer_id").alias("customer_id"),
         F.max("transaction_date").alias("transaction_date"),
-        F.max("total_amount").alias("total_amount"),
+        F.max(numbers.cents(F.col("total_amount"))).alias("total_amount"),
         F.max("is_first_purchase").alias("is_first_purchase"),
-        F.sum("line_total").alias("revenue"),
-        F.sum(promoted).alias("promoted"),
-        F.sum("net_quantity").alias("units"),
-        F.sum(F.col("net_line_revenue") - F.col("line_cost")).alias("profit"),
-        F.sum("net_line_revenue").alias("net_revenue"),
-        F.sum("unit_price").alias("price_sum"),
-        F.sum("discount_percentage").alias("discount_sum"),
-        F.count(F.lit(1)).alias("lines"),
+        F.sum("revenue").alias("revenue"),
+        F.sum("promoted").alias("promoted"),
+        F.sum("net_units").alias("units"),
+        F.sum(F.col("net_revenue") - F.col("cost")).alias("profit"),
+        F.sum("net_revenue").alias("net_revenue"),
+        F.sum("price_sum").alias("price_sum"),
+        F.sum("discount_sum").alias("discount_sum"),
+        F.sum("lines").alias("lines"),
     )
 
 
@@ -69,19 +69,20 @@ def base(groups: DataFrame, grains: list[str] | None = None) -> DataFrame:
         F.count_if("bought_first").alias("new_customers"),
         F.count_if("bought_again").alias("repeat_customers"),
     )
+    amount = lambda name: numbers.from_cents(F.col(name))
     return total.select(
         *keys,
-        numbers.money(F.col("revenue")).alias("total_revenue"),
+        numbers.money(amount("revenue")).alias("total_revenue"),
         numbers.whole(F.col("units")).alias("total_units_sold"),
         numbers.whole(F.col("orders")).alias("total_transactions"),
         "unique_customers", "new_customers", "repeat_customers",
-        numbers.ratio(F.col("total_amount"), F.col("orders")).alias("avg_transaction_value"),
+        numbers.ratio(amount("total_amount"), F.col("orders")).alias("avg_transaction_value"),
         numbers.ratio(F.col("units"), F.col("orders")).alias("avg_units_per_transaction"),
-        numbers.ratio(F.col("price_sum"), F.col("lines")).alias("avg_price_point"),
-        numbers.money(F.col("profit")).alias("total_profit"),
-        numbers.percent(F.col("profit"), F.col("net_revenue")).alias("profit_margin_percentage"),
-        numbers.ratio(F.col("discount_sum"), F.col("lines")).alias("avg_discount_percentage"),
-        numbers.percent(F.col("promoted"), F.col("revenue")).alias("promotional_sales_percentage"),
+        numbers.ratio(amount("price_sum"), F.col("lines")).alias("avg_price_point"),
+        numbers.money(amount("profit")).alias("total_profit"),
+        numbers.percent(amount("profit"), amount("net_revenue")).alias("profit_margin_percentage"),
+        numbers.ratio(amount("discount_sum"), F.col("lines")).alias("avg_discount_percentage"),
+        numbers.percent(amount("promoted"), amount("revenue")).alias("promotional_sales_percentage"),
     )
 
 

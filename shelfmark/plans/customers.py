@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import ladders, numbers
+from shelfmark.operators.lines import by_order_and_product
 from shelfmark.operators.ranking import with_places, with_row_number
 
 # Lifetime value factor of the simple prediction, score buckets.
@@ -32,22 +33,23 @@ def order_profile(txns: DataFrame, as_of: Column) -> DataFrame:
     partly summed before every shuffle.
     """
     total, day = F.col("total_amount"), F.col("transaction_date")
-    zero, none = F.lit(0).cast("decimal(12,2)"), F.lit(0).cast("decimal(18,6)")
-    off = numbers.as_decimal(numbers.percent(F.col("discount_amount"), F.col("subtotal")), 18, 6)
+    spent = numbers.cents(total)
+    # Percentages have six digits; they are summed as whole millionths.
+    off = F.round(numbers.percent(F.col("discount_amount"), F.col("subtotal")) * 1000000).cast("bigint")
     sums = {
         "orders": F.count("transaction_id"),
-        "revenue": F.sum(total),
+        "revenue": F.sum(spent),
         "priced": F.count(total),
         "discounted": F.count_if(F.col("has_discount")),
         "rows": F.count(F.lit(1)),
-        "off": F.sum(F.when(F.col("has_discount"), F.coalesce(off, none)).otherwise(none)),
+        "off": F.sum(F.when(F.col("has_discount"), F.coalesce(off, F.lit(0))).otherwise(0)),
         "earned": F.sum(F.coalesce("loyalty_points_earned", F.lit(0))),
         "redeemed": F.sum(F.coalesce("loyalty_points_redeemed", F.lit(0))),
     }
     for days in RECENT_DAYS:
         inside = since(day, as_of, days)
         sums[f"orders_{days}"] = F.count_if(inside)
-        sums[f"revenue_{days}"] = F.sum(F.when(inside, total).otherwise(zero))
+        sums[f"revenue_{days}"] = F.sum(F.when(inside, spent).otherwise(0))
     by_channel = txns.groupBy("customer_id", "channel").agg(
         F.min(day).alias("first_day"), F.max(day).alias("last_day"), *[value.alias(name) for name, value in sums.items()]
     )
@@ -66,14 +68,15 @@ def order_profile(txns: DataFrame, as_of: Column) -> DataFrame:
     tier = F.lit("bronze")
     for points, name in reversed(LOYALTY_TIERS):
         tier = F.when(F.col("earned") >= points, name).otherwise(tier)
-    orders = F.col("orders")
+    orders, revenue = F.col("orders"), numbers.from_cents(F.col("revenue"))
+    mean_off = (F.col("off").cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(20,6)")
     return summed.select(
         "customer_id", "first_purchase_date", "last_purchase_date",
         numbers.whole(orders).alias("total_orders"),
-        numbers.money(F.col("revenue")).alias("total_revenue"),
-        numbers.ratio(F.col("revenue"), F.col("priced")).alias("avg_order_value"),
+        numbers.money(revenue).alias("total_revenue"),
+        numbers.ratio(revenue, F.col("priced")).alias("avg_order_value"),
         numbers.whole(F.col("discounted")).alias("orders_with_discount"),
-        numbers.ratio(F.col("off"), F.col("rows")).alias("avg_discount_percentage"),
+        numbers.ratio(mean_off, F.col("rows")).alias("avg_discount_percentage"),
         F.date_diff(as_of, F.col("last_purchase_date")).alias("days_since_last_purchase"),
         numbers.ratio(F.date_diff(as_of, F.col("first_purchase_date")), orders).alias("purchase_frequency_days"),
         numbers.percent(F.col("discounted"), orders).alias("discount_usage_rate"),
@@ -82,7 +85,7 @@ def order_profile(txns: DataFrame, as_of: Column) -> DataFrame:
         numbers.ratio(used, F.lit(len(CHANNELS))).alias("channel_diversity_score"),
         F.col("most_used.channel").alias("primary_channel"),
         *[numbers.whole(F.col(f"orders_{days}")).alias(f"orders_last_{days}d") for days in RECENT_DAYS],
-        *[numbers.money(F.col(f"revenue_{days}")).alias(f"revenue_last_{days}d") for days in RECENT_DAYS],
+        *[numbers.money(numbers.from_cents(F.col(f"revenue_{days}"))).alias(f"revenue_last_{days}d") for days in RECENT_DAYS],
         numbers.whole(F.col("earned")).alias("total_loyalty_points_earned"),
         numbers.whole(F.col("redeemed")).alias("total_loyalty_points_redeemed"),
         numbers.whole(F.col("earned") - F.col("redeemed")).alias("loyalty_points_balance"),
@@ -176,16 +179,15 @@ def customer_products(txns: DataFrame, items: DataFrame) -> DataFrame:
     product from gathering in one task.
     """
     buyers = txns.select("transaction_id", "customer_id", "transaction_date")
-    lines = items.join(buyers, "transaction_id")
-    returned = F.col("return_quantity") > 0
+    lines = by_order_and_product(items).join(buyers, "transaction_id")
     return lines.groupBy("customer_id", "product_id").agg(
-        F.sum("net_quantity").alias("units"),
-        F.sum("quantity").alias("gross_units"),
-        F.sum("return_quantity").alias("returned_units"),
-        F.count_if(returned).alias("returned_lines"),
-        F.sum(F.col("return_quantity") * F.col("unit_price")).alias("returned_value"),
-        F.sum(F.col("net_line_revenue") - F.col("line_cost")).alias("profit"),
-        F.sum(F.col("unit_price") * F.col("quantity")).alias("list_value"),
+        F.sum("net_units").alias("units"),
+        F.sum("gross_units").alias("gross_units"),
+        F.sum("returned_units").alias("returned_units"),
+        F.sum("returned_lines").alias("returned_lines"),
+        F.sum("return_value").alias("returned_value"),
+        F.sum(F.col("net_revenue") - F.col("cost")).alias("profit"),
+        F.sum("subtotal").alias("list_value"),
         F.max("transaction_date").alias("last_date"),
     )
 
@@ -237,12 +239,12 @@ def item_profile(bought: DataFrame, products: DataFrame, as_of: Column) -> DataF
         kinds("brand").alias("unique_brands"),
         numbers.whole(of("recent_products")).alias("unique_products_purchased_365d"),
         kinds("category", F.col("recent_products") > 0).alias("unique_categories_purchased_365d"),
-        numbers.ratio(of("list_value"), of("gross_units")).alias("avg_price_point"),
+        numbers.ratio(numbers.from_cents(of("list_value")), of("gross_units")).alias("avg_price_point"),
         numbers.percent(of("premium_units"), of("gross_units")).alias("premium_product_percentage"),
         numbers.whole(of("returned_lines")).alias("total_returns"),
         numbers.percent(of("returned_units"), of("gross_units")).alias("return_rate"),
-        numbers.money(of("returned_value")).alias("total_return_value"),
-        numbers.money(of("profit")).alias("total_profit"),
+        numbers.money(numbers.from_cents(of("returned_value"))).alias("total_return_value"),
+        numbers.money(numbers.from_cents(of("profit"))).alias("total_profit"),
         best("category").alias("most_purchased_category"),
         best("brand").alias("most_purchased_brand"),
     )
@@ -262,7 +264,7 @@ def returns(bought: DataFrame) -> DataFrame:
     return bought.groupBy("customer_id").agg(
         numbers.whole(F.sum("returned_lines")).alias("total_returns"),
         numbers.percent(F.sum("returned_units"), F.sum("gross_units")).alias("return_rate"),
-        numbers.money(F.sum("returned_value")).alias("total_return_value"),
+        numbers.money(numbers.from_cents(F.sum("returned_value"))).alias("total_return_value"),
     )
 
 

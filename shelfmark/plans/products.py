@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from shelfmark.functions import ladders, numbers
 from shelfmark.operators.firsts import top_value
+from shelfmark.operators.lines import by_order_and_product
 from shelfmark.operators.ranking import with_dense_rank, with_dense_ranks, with_row_number
 from shelfmark.plans.baskets import baskets, cross_sell, pair_counts
 from shelfmark.session import cut_lineage
@@ -21,25 +22,9 @@ NAMES = ["product_name", "category_level1", "category_level2", "brand"]
 
 
 def order_products(items: DataFrame, txns: DataFrame) -> DataFrame:
-    """One row per order and product. Both inputs are hashed by order once; this grouping adds no shuffle."""
+    """One row per order and product, with the order's customer and day."""
     orders = txns.select("transaction_id", "customer_id", "is_first_purchase", "transaction_date")
-    return items.join(orders, "transaction_id").groupBy("transaction_id", "product_id").agg(
-        F.max("customer_id").alias("customer_id"),
-        F.max("is_first_purchase").alias("is_first_purchase"),
-        F.max("transaction_date").alias("transaction_date"),
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("quantity").alias("gross_units"),
-        F.sum("net_quantity").alias("net_units"),
-        F.sum("return_quantity").alias("returned_units"),
-        F.sum("unit_price").alias("price_sum"),
-        F.sum("discount_percentage").alias("discount_sum"),
-        F.sum("line_subtotal").alias("subtotal"),
-        F.sum("line_discount").alias("discounts"),
-        F.sum("line_total").alias("revenue"),
-        F.sum("net_line_revenue").alias("net_revenue"),
-        F.sum("line_cost").alias("cost"),
-        F.sum(F.col("return_quantity") * F.col("unit_price")).alias("return_value"),
-    )
+    return by_order_and_product(items).join(orders, "transaction_id")
 
 
 def with_names(by_product: DataFrame, products: DataFrame) -> DataFrame:
@@ -80,9 +65,10 @@ def profile(sold: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
         F.count_if("is_new").alias("new_customers"),
         F.count_if(F.col("orders") > 1).alias("returning_customers"),
     )
-    margin = F.col("net_revenue") - F.col("cost")
+    amount = lambda name: numbers.money(numbers.from_cents(F.col(name)))
+    margin = numbers.from_cents(F.col("net_revenue") - F.col("cost"))
     units, before = numbers.whole(F.col("recent_net_units")), numbers.whole(F.col("earlier_net_units"))
-    taken, taken_before = numbers.money(F.col("recent_revenue")), numbers.money(F.col("earlier_revenue"))
+    taken, taken_before = numbers.from_cents(F.col("recent_revenue")), numbers.from_cents(F.col("earlier_revenue"))
     trend = ladders.trend(units, before)
     customers = F.col("total_customers")
     measured = total.select(
@@ -92,18 +78,18 @@ def profile(sold: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
         numbers.whole(F.col("orders")).alias("total_orders"),
         customers, "new_customers", (customers - F.col("new_customers")).alias("repeat_customers"),
         "returning_customers",
-        numbers.money(F.col("revenue")).alias("gross_revenue"),
-        numbers.money(F.col("net_revenue")).alias("net_revenue"),
-        numbers.money(F.col("discounts")).alias("total_discounts"),
-        numbers.money(F.col("cost")).alias("total_cost"),
+        amount("revenue").alias("gross_revenue"),
+        amount("net_revenue").alias("net_revenue"),
+        amount("discounts").alias("total_discounts"),
+        amount("cost").alias("total_cost"),
         numbers.money(margin).alias("gross_profit"),
         numbers.money(margin).alias("contribution_margin"),
-        numbers.percent(margin, F.col("net_revenue")).alias("gross_margin_percentage"),
+        numbers.percent(margin, amount("net_revenue")).alias("gross_margin_percentage"),
         numbers.whole(F.col("returned_units")).alias("units_returned"),
         numbers.percent(F.col("returned_units"), F.col("net_units") + F.col("returned_units")).alias("return_rate"),
-        numbers.money(F.col("return_value")).alias("return_value"),
-        numbers.ratio(F.col("price_sum"), F.col("lines")).alias("avg_selling_price"),
-        numbers.ratio(F.col("discount_sum"), F.col("lines")).alias("avg_discount_percentage"),
+        amount("return_value").alias("return_value"),
+        numbers.ratio(amount("price_sum"), F.col("lines")).alias("avg_selling_price"),
+        numbers.ratio(amount("discount_sum"), F.col("lines")).alias("avg_discount_percentage"),
         numbers.percent(F.col("attached"), F.col("orders")).alias("basket_attachment_rate"),
         numbers.ratio(F.col("size"), F.col("orders")).alias("avg_basket_size_with_product"),
         numbers.percent(F.col("returning_customers"), customers).alias("repeat_purchase_rate"),
@@ -209,7 +195,8 @@ def market_position(sold: DataFrame, products: DataFrame, txns: DataFrame, as_of
 def price_elasticity(sold: DataFrame) -> DataFrame:
     """Slope of ln(units) on ln(net price) over months; NULL below three months or at a constant price."""
     monthly = sold.groupBy("product_id", F.trunc("transaction_date", "MM").alias("month")).agg(
-        F.sum("gross_units").alias("units"), F.sum(F.col("subtotal") - F.col("discounts")).alias("paid")
+        F.sum("gross_units").alias("units"),
+        numbers.from_cents(F.sum(F.col("subtotal") - F.col("discounts"))).alias("paid"),
     ).filter("units > 0 and paid > 0")
     price = F.round(F.ln(numbers.ratio(F.col("paid"), F.col("units"))), 6)
     points = monthly.select("product_id", price.alias("x"), F.round(F.ln(F.col("units").cast("double")), 6).alias("y"))

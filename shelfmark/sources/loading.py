@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.contracts.bronze import BRONZE
@@ -22,8 +22,6 @@ def load_feeds(spark: SparkSession, files: dict[str, str], target_dir: str) -> D
     for name, path in files.items():
         observed = f"load_{name}"
         try:
-            from pyspark.sql import Observation
-
             seen = Observation(observed)
             feed = read_feed(spark, path, name).observe(seen, F.count(F.lit(1)).alias("rows"))
             write_table(feed, f"{target_dir}/{name}", BRONZE[name])
