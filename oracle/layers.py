@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from oracle.sql import D, M, P, R
-
 STATEMENTS = {
     "bronze_csv_roundtrip": """
 SELECT 'TXN' || lpad(CAST(transaction_id AS VARCHAR), 12, '0') AS transaction_id,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.customers import d2
-from oracle.sql import D, M, MEAN, N, P, R
+from oracle.sql import D, M, MEAN, P, R
 from oracle.views import EVENTS_AS_OF as AS_OF
 
 KEYS = "campaign_id, coupon_code, channel"

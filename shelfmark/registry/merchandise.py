@@ -211,10 +211,6 @@ def recommendation_score(spark, folder):
     return brand_rules(spark, folder).select("item_a", "item_b", "recommendation_score")
 
 
-def product_rules(spark, folder):
-    return baskets.association_rules(held(spark, folder), shapes.transactions(spark, folder))
-
-
 def strong_associations(spark, folder):
     """Strong flag at product level, for pairs seen in at least two orders (those below can never be strong)."""
     rules = baskets.association_rules(held(spark, folder), shapes.transactions(spark, folder), min_count=2)
