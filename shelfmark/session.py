@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,23 +30,43 @@ def get_session(app_name: str = "shelfmark", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that every executor reaches: ``spark.checkpoint.dir``. Unset, a local one serves in local mode only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _folders.get(spark.sparkContext.applicationId)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        if spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        shared = _folders[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="shelfmark-checkpoint-")
+    return shared.rstrip("/")
+
+
+_folders: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder, removed when the program ends."""
+    path = f"{shared_folder(spark)}/shelfmark-{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Removes a scratch path while the session still stands; a stopped one leaves it to the owner of the folder."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
+    if context._jsc is None:
         return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="shelfmark-checkpoint-")
-    context.setCheckpointDir(shared)
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the reliable checkpoint folder and read it back.
+    """Write the frame as Parquet to the shared folder and read it back.
 
-    Needed where a plan-dependent value (a partition number) has to stay the
-    same for several consumers, also after an executor is lost.
+    Needed where several consumers must see the same rows, also after an executor is
+    lost. The copy has statistics, and later steps read only the columns they use.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
