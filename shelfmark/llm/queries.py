@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, credentials, decontamination, licenses, ngram_join, quality_model, quality_rules, token_counts, toxicity
+from shelfmark.llm import bpe, credentials, decontamination, licenses, ngram_join, quality_model, quality_rules, repeats, token_counts, toxicity
 from shelfmark.llm.sampling import fold, labelled_sample
 from shelfmark.llm.statements import STATEMENTS  # noqa: F401
 from shelfmark.session import cut_lineage
@@ -66,6 +66,10 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.removed(documents(spark, folder))
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coded = bpe.encode_decode(documents(spark, folder), vocabulary("word_bpe_49k.json"), keep=["doc_id"])
     return bpe.digests(coded, ["doc_id"])
@@ -86,5 +90,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_counts, op2_ngram_join, op3_license_scan, op4_quality_model, op5_secret_scan, op6_toxicity, op8_bpe, op9_quality_rules,
+    op1_token_counts, op2_ngram_join, op3_license_scan, op4_quality_model, op5_secret_scan, op6_toxicity, op7_repeats, op8_bpe, op9_quality_rules,
     op10_decontamination, pipeline)}
