@@ -30,10 +30,7 @@ TextFunction = Callable[[list[str]], Sequence[pa.Array]]
 
 def ascii_lower(text: str) -> str:
     """Lower-cases A-Z and nothing else."""
-    return text.lower() if text.isascii() else text.translate(_ASCII_LOWER)
-
-
-_ASCII_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def pieces(batch: pa.RecordBatch, text_col: str, limit: int = PIECE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -11,13 +11,20 @@ that follow from the set sizes:
   bound holds for any order.
 * Sizes of linked sets differ by the factor ``t`` at most.
 
-Documents with equal sets are one class and are handled once. Within a column, the classes
-are first multiplied with one random member each (a different one in each column), which
-ties large groups of near copies together with a number of pairs that grows with the
-columns' entries, not with their squares. Pairs that could still tie different
-components are then all taken, with the overlap that they have in the columns. The
-overlap of each remaining pair is counted over all n-grams, in blocks of the rows of one
-class, and compared with the bound ``ceil(t / (1 + t) * (n + m))``.
+* The first common n-grams of a pair leave the rest of the wanted overlap behind them in
+  either set, so that a pair has a certain number of them early in both orders.
+* Of a pair, all common n-grams are counted in these columns but for those that lie behind
+  the shorter reach of the two, ``ceil(t * n) - 1`` at most; the sum must reach the overlap
+  that the threshold asks for, ``ceil(t / (1 + t) * (n + m))``.
+
+Documents with equal sets are one class and are handled once. Columns are first multiplied
+with one of their members each, the same one wherever it occurs, and then, where members
+of a wide column (``WIDE``) are in different components still, with a few others (``MATES``). This ties
+large groups of near copies together with a number of pairs that grows with the entries of
+the columns, not with their squares. Then all pairs that could still tie two components are
+taken. The overlap of each remaining pair is counted over all n-grams, in blocks of the rows
+of one class. Which pairs are tried first is a matter of work: no pair that could tie two
+components goes uncounted.
 
 Columns and classes are compared by 64-bit hashes.
 """
@@ -45,9 +52,12 @@ NGRAM = 5
 THRESHOLD = Fraction(3, 4)
 # One in so many distinct texts is looked at for frequent n-grams; of those found in ``FREQUENT`` of them, the most
 # frequent ones are sent to all workers, up to ``FREQUENT_KEPT`` of eight bytes each.
-SAMPLED = 32
+SAMPLED = 8
 FREQUENT = 3
 FREQUENT_KEPT = 500_000
+# Columns of more members are tied together by pairs with a few of them (``MATES``) before all pairs are taken.
+WIDE = 32
+MATES = 4
 KEPT_WORDS = 300_000
 
 _words = re.compile(WORD).findall
@@ -151,16 +161,20 @@ def incidence(df: DataFrame, id_col: str, text_col: str, ngram: int, threshold:
 
 
 def shared_columns(rows: DataFrame) -> DataFrame:
-    """(h, key, n, mate, mate_n) of columns with two classes or more: every entry but one, and the column's random member."""
-    entries = rows.select(F.explode("columns").alias("h"), "key", "n")
-    # The order within a column is random and differs between columns.
-    dealt = entries.withColumn("place", F.xxhash64("h", "key")).repartition("h").sortWithinPartitions("h", "place", "key")
+    """(h, key, w, mate, mate_w) of columns with two classes or more: every entry, and the column's smallest class as its mate.
+
+    The smallest class itself is not given a row. ``w`` holds the set's size and the place of the
+    n-gram in the set's order, see ``_size`` and ``_place``.
+    """
+    entries = rows.select(F.posexplode("columns").alias("i", "h"), "key", "n").select(
+        "h", "key", (F.shiftleft(F.col("n"), 32) + F.col("i")).alias("w"))
+    dealt = entries.repartition("h").sortWithinPartitions("h", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = None  # column, key and size of the first entry of the current column
+        head = None  # column, class, size and place of the first entry of the current column
         last = None  # the last entry: it may be repeated
         for batch in batches:
-            h, key, n = (batch.column(i).to_numpy() for i in range(3))
+            h, key, w = (batch.column(i).to_numpy() for i in range(3))
             if not len(h):
                 continue
             fresh = np.ones(len(h), bool)
@@ -171,21 +185,54 @@ def shared_columns(rows: DataFrame) -> DataFrame:
             opens[1:] = h[1:] != h[:-1]
             opens[0] = head is None or head[0] != h[0]
             index = np.maximum.accumulate(np.where(opens, np.arange(len(h)), -1))
-            mate, mate_n = key[np.maximum(index, 0)].copy(), n[np.maximum(index, 0)].copy()
+            mate, mate_w = key[np.maximum(index, 0)].copy(), w[np.maximum(index, 0)].copy()
             if head is not None:
-                mate[index < 0], mate_n[index < 0] = head[1], head[2]
+                mate[index < 0], mate_w[index < 0] = head[1], head[2]
             kept = fresh & ~opens
             if opens.any():
                 i = int(np.flatnonzero(opens)[-1])
-                head = (h[i], key[i], n[i])
+                head = (h[i], key[i], w[i])
             if kept.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (h, key, n, mate, mate_n)], names=["h", "key", "n", "mate", "mate_n"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (h, key, w, mate, mate_w)], names=["h", "key", "w", "mate", "mate_w"])
+
+    return map_arrow(dealt, run, "h long, `key` long, w long, mate long, mate_w long")
+
 
-    return map_arrow(dealt, run, "h long, `key` long, n long, mate long, mate_n long")
+def _size(w: Column) -> Column:
+    return F.shiftright(w, 32)
+
+
+def _place(w: Column) -> Column:
+    return w.bitwiseAND(F.lit((1 << 32) - 1))
 
 
 def _size_bound(n: Column, m: Column, threshold: Fraction) -> Column:
-    return (F.lit(threshold.denominator) * F.least(n, m) >= F.lit(threshold.numerator) * F.greatest(n, m))
+    return F.lit(threshold.denominator) * F.least(n, m) >= F.lit(threshold.numerator) * F.greatest(n, m)
+
+
+def _wanted(n: Column, m: Column, threshold: Fraction) -> Column:
+    """The overlap from which sets of these sizes link."""
+    return F.ceil((n + m) * threshold.numerator / F.lit(threshold.numerator + threshold.denominator))
+
+
+def _reaches(common: Column, n: Column, m: Column, threshold: Fraction) -> Column:
+    """Whether two sets can link that share so many of their columns."""
+    beyond = F.ceil(F.greatest(n, m) * threshold.numerator / F.lit(threshold.denominator)) - 1
+    return common + beyond >= _wanted(n, m, threshold)
+
+
+def _early(n: Column, m: Column, threshold: Fraction) -> Column:
+    """A number of common n-grams that a pair which links must have early in both orders, see ``_is_early``: half of those that it
+    must have in its columns, one at least."""
+    beyond = F.ceil(F.greatest(n, m) * threshold.numerator / F.lit(threshold.denominator)) - 1
+    return F.greatest(F.lit(1), F.ceil((_wanted(n, m, threshold) - beyond) / F.lit(2)))
+
+
+def _is_early(w: Column, v: Column, threshold: Fraction) -> Column:
+    """Whether an entry can be one of the first ``_early`` common ones: those leave the rest of the wanted overlap behind them."""
+    n, m = _size(w), _size(v)
+    rest = _wanted(n, m, threshold) - _early(n, m, threshold) + 1
+    return (n - _place(w) >= rest) & (m - _place(v) >= rest)
 
 
 def counted(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
@@ -218,13 +265,14 @@ def counted(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame
     return map_arrow(dealt, run, "u long, v long")
 
 
-def _sets(df: DataFrame, rows: DataFrame, keys: DataFrame, id_col: str, text_col: str, ngram: int) -> DataFrame:
-    """(key, hashes) of the wanted classes, from the text of one document each."""
-    one = rows.filter(F.size("columns") > 0).join(keys, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
-    # A class without any id is looked up among the texts without id.
-    source = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    texts = source.join(one.select("id").distinct(), source["id"].eqNullSafe(one["id"]), "left_semi")
-    wanted = keys.withColumnRenamed("key", "_key")
+def _sets(df: DataFrame, rows: DataFrame, pairs: DataFrame, id_col: str, text_col: str, ngram: int) -> DataFrame:
+    """(key, hashes) of the classes of the pairs, from the texts of one document digest each."""
+    wanted = cut_lineage(pairs.select(F.col("a").alias("_key")).unionByName(pairs.select(F.col("b").alias("_key"))).distinct())
+    one = cut_lineage(rows.filter("n > 0").join(wanted, F.col("key") == F.col("_key"), "left_semi").groupBy("key").agg(
+        F.min(F.struct("id", "digest")).alias("one")).select("one.*").distinct())
+    texts = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text"))
+    texts = texts.withColumn("_digest", digest(F.col("text"))).join(
+        one, F.col("_id").eqNullSafe(one["id"]) & (F.col("_digest") == one["digest"]), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(ngram)
@@ -234,32 +282,53 @@ def _sets(df: DataFrame, rows: DataFrame, keys: DataFrame, id_col: str, text_col
                 digests = [int.from_bytes(blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "hashes"])
 
-    made = map_arrow(texts, run, "`key` long, hashes binary")
-    return made.join(wanted, made["key"] == wanted["_key"], "left_semi").groupBy("key").agg(F.any_value("hashes").alias("hashes"))
+    # Rows that repeat id and text give their set again.
+    return cut_lineage(map_arrow(texts, run, "`key` long, hashes binary").dropDuplicates(["key"]))
 
 
 def links(df: DataFrame, rows: DataFrame, id_col: str, text_col: str, ngram: int, threshold: Fraction) -> DataFrame:
     """(u, v): links between classes that give the same components as all links do."""
     columns = cut_lineage(shared_columns(rows))
-    star = columns.filter(_size_bound(F.col("n"), F.col("mate_n"), threshold)).select(
-        F.col("mate").alias("a"), F.col("key").alias("b")).distinct()
-    keys = columns.select("key").unionByName(columns.select(F.col("mate").alias("key"))).distinct()
-    sets = cut_lineage(_sets(df, rows, keys, id_col, text_col, ngram))
-    first = cut_lineage(counted(star, sets, threshold))
-
-    # What can still tie two components: entries of columns that hold members of both.
-    root = components(first)
-    members = columns.select("h", "key", "n").unionByName(
-        columns.select("h", F.col("mate").alias("key"), F.col("mate_n").alias("n")).distinct())
-    rooted = members.join(root, members["key"] == root["node"], "left").select(
-        "h", "key", "n", F.coalesce("root", "key").alias("root"))
-    mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("h")
-    open_ = cut_lineage(rooted.join(mixed, "h", "left_semi"))
-    other = open_.select("h", F.col("key").alias("b"), F.col("n").alias("m"), F.col("root").alias("broot"))
-    pairs = open_.join(other, "h").filter(
-        (F.col("key") < F.col("b")) & (F.col("root") != F.col("broot")) & _size_bound(F.col("n"), F.col("m"), threshold))
-    rest = pairs.select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
-    return first.unionByName(counted(rest, sets, threshold))
+    members = columns.select("h", "key", "w").unionByName(
+        columns.select("h", F.col("mate").alias("key"), F.col("mate_w").alias("w")).distinct())
+    n, m = _size(F.col("w")), _size(F.col("mate_w"))
+    tried = cut_lineage(columns.filter(_size_bound(n, m, threshold)).groupBy(F.col("mate").alias("a"), m.alias("n"), F.col("key").alias("b"), n.alias("m")).agg(
+        F.count("*").alias("c")).filter(_reaches(F.col("c"), F.col("n"), F.col("m"), threshold)).select("a", "b"))
+    found = cut_lineage(counted(tried, _sets(df, rows, tried, id_col, text_col, ngram), threshold))
+    for wide in (True, False):  # wide columns, then all
+        # What can still tie two components: entries of columns that hold members of both.
+        root = components(found)
+        rooted = members.join(root, members["key"] == root["node"], "left").select("h", "key", "w", F.coalesce("root", "key").alias("root"))
+        mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).filter(
+            "low <> high" + (f" AND size > {WIDE}" if wide else "")).select("h")
+        rooted = cut_lineage(rooted.join(mixed, "h", "left_semi"))
+        if rooted.isEmpty():
+            continue
+        if wide:
+            # A few members of the component that a column has most of, others in each column.
+            main = rooted.groupBy("h", "root").count().groupBy("h").agg(F.max_by("root", "count").alias("main"))
+            known = rooted.join(main, "h")
+            order = [F.xxhash64("h", "key", F.lit(seed)) for seed in range(MATES)]
+            mates = known.filter("root = main").groupBy("h").agg(F.array(*[F.min_by(F.struct("key", "w"), o) for o in order]).alias("mates"))
+            other = known.filter("root <> main").join(mates, "h").select("key", "w", F.explode("mates").alias("mate"))
+            paired = other.select("key", "w", F.col("mate.key").alias("b"), F.col("mate.w").alias("v")).filter(
+                _size_bound(_size(F.col("w")), _size(F.col("v")), threshold))
+            pairs = paired.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
+        else:
+            # Every pair that has enough common columns early in both orders.
+            right = rooted.select("h", F.col("key").alias("b"), F.col("w").alias("v"), F.col("root").alias("broot"))
+            one, two = _size(F.col("w")), _size(F.col("v"))
+            first = rooted.join(right, "h").filter(
+                (F.col("key") < F.col("b")) & (F.col("root") != F.col("broot")) & _size_bound(one, two, threshold)
+                & _is_early(F.col("w"), F.col("v"), threshold))
+            shared = first.groupBy(F.col("key").alias("a"), one.alias("n"), "b", two.alias("m")).agg(F.count("*").alias("c"))
+            pairs = shared.filter(F.col("c") >= _early(F.col("n"), F.col("m"), threshold)).select("a", "b")
+        pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            more = counted(pairs, _sets(df, rows, pairs, id_col, text_col, ngram), threshold)
+            found = cut_lineage(found.unionByName(more))
+            tried = tried.unionByName(pairs)
+    return found
 
 
 def _rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
