@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfmark.llm.common import map_arrow, pieces
 
@@ -141,6 +142,7 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     schema = T.StructType([T.StructField("_id", source.schema["_id"].dataType),
                            T.StructField("item", benchmark.schema[item_col].dataType),
                            *[T.StructField(n, T.LongType()) for n in ("score", "n_equal", "start", "end")]])
+    item_type = to_arrow_type(schema["item"].dataType)
     parts = []
     for items in _blocks(benchmark, item_col, item_text_col, block_words):
         sent = df.sparkSession.sparkContext.broadcast((items, masks, min_score))
@@ -154,7 +156,7 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
                     if rows:
                         at, *rest = zip(*rows)
                         columns = [pa.array(v, pa.int64()) for v in rest[1:]]
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array(rest[0]), *columns], names=schema.names)
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array(rest[0], item_type), *columns], names=schema.names)
 
         parts.append(map_arrow(source, run, schema))
     found = parts[0]

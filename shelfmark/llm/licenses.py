@@ -59,8 +59,8 @@ CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA
 NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
 }
 
-# A line that only says who holds the copyright. It is matched in the raw text.
-COPYRIGHT_LINE = r"(?i)(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+# A line that says who holds the copyright: a year, a holder or a sign follows the word. It is matched in the raw text.
+COPYRIGHT_LINE = (r"(?i)(^|\n)[^\p{L}\p{N}\n]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|by )|\(c\)[ \t]*[0-9]{4}|©|all rights reserved)[^\n]*")
 # Lines that can be a notice hold one of these; every canonical notice does.
 NOTICE_HINT = r"(?i)licen[cs]e|released|distributed"
 

@@ -270,9 +270,10 @@ def _sets(df: DataFrame, rows: DataFrame, pairs: DataFrame, id_col: str, text_co
     wanted = cut_lineage(pairs.select(F.col("a").alias("_key")).unionByName(pairs.select(F.col("b").alias("_key"))).distinct())
     one = cut_lineage(rows.filter("n > 0").join(wanted, F.col("key") == F.col("_key"), "left_semi").groupBy("key").agg(
         F.min(F.struct("id", "digest")).alias("one")).select("one.*").distinct())
+    # One plan at every size: texts meet their digests by a shuffle, also where the digests would fit a broadcast.
     texts = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text"))
     texts = texts.withColumn("_digest", digest(F.col("text"))).join(
-        one, F.col("_id").eqNullSafe(one["id"]) & (F.col("_digest") == one["digest"]), "left_semi").select("text")
+        one.hint("merge"), F.col("_id").eqNullSafe(one["id"]) & (F.col("_digest") == one["digest"]), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(ngram)
