@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,6 @@ def load_feeds(spark: SparkSession, files: dict[str, str], target_dir: str) -> D
             feed = read_feed(spark, path, name).observe(seen, F.count(F.lit(1)).alias("rows"))
             write_table(feed, f"{target_dir}/{name}", BRONZE[name])
             outcomes.append((name, "OK", int(seen.get["rows"]), None))
-        except PySparkException as problem:
-            outcomes.append((name, "FAILED", 0, str(problem).splitlines()[0][:200]))
+        except (PySparkException, Py4JJavaError) as problem:  # a wrong file shows up as a Java error while it is read
+            outcomes.append((name, "FAILED", 0, str(problem)))
     return spark.createDataFrame(outcomes, REPORT)
