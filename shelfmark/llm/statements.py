@@ -13,7 +13,7 @@ NGRAM_JOIN = f"""
 WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{WORD}') AS w FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
   FROM split),
 entries AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 links AS (
@@ -63,8 +63,8 @@ def _fails(rule: quality_rules.Rule) -> str:
 
 QUALITY_RULES = f"""
 WITH split AS (
-  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[{SPACE}]+'), w -> w <> '') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{WORD}')) AS l
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[{SPACE}]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS l
   FROM documents),
 windows AS (
   SELECT doc_id, unnest(range(1, len(w) - {_W - 2})) AS i, array_to_string(w[i:i + {_W - 1}], ' ') AS g FROM split WHERE len(w) > {_W}),
@@ -76,7 +76,7 @@ measured AS (
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words,
     CAST(len(l) AS BIGINT) AS n_lines,
-    CAST(len(list_filter(w, x -> x IN ({', '.join(map(_quoted, _STOPS))}))) AS BIGINT) AS n_stop_words,
+    CAST(len(list_filter(w, lambda x: x IN ({', '.join(map(_quoted, _STOPS))}))) AS BIGINT) AS n_stop_words,
     CAST(length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS BIGINT) AS n_capitals
   FROM split LEFT JOIN repeated ON repeated.doc_id = split.doc_id),
 judged AS (
