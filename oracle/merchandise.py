@@ -222,9 +222,6 @@ SELECT *, avg_basket_value_with_both - avg_basket_value_with_a_only AS increment
     AS recommendation_score,
   lift > 1.5 AND confidence_a_to_b > 0.3 AND transactions_with_both >= 3 AS is_strong_association FROM ({rules(held)})"""
 
-
-BRANDS = """SELECT DISTINCT transaction_id, brand AS thing, total_amount FROM item JOIN product USING (product_id)
-  JOIN txn USING (transaction_id)"""
 PARTS = "SELECT DISTINCT transaction_id, product_id AS thing, total_amount FROM item JOIN txn USING (transaction_id)"
 
 GOLD_BASKET = f"""
@@ -273,18 +270,17 @@ FROM ({FULL})""",
   MAX(revenue_rank_in_category) AS best_rank FROM ({FULL}) GROUP BY 1, 2 ORDER BY revenue DESC, 1, 2 LIMIT 10""",
     "growth_leaders": f"""SELECT {CKEYS}, total_revenue, revenue_growth_yoy, growth_rank_in_category FROM ({FULL})
 WHERE revenue_growth_yoy > 0 ORDER BY revenue_growth_yoy DESC, {LEVELS}, period_date LIMIT 10""",
-    "basket_pairs": f"SELECT item_a, item_b, transactions_with_both FROM ({PAIRS}) WHERE transactions_with_both >= 2",
+    "basket_pairs": f"SELECT item_a, item_b, transactions_with_both FROM ({PAIRS})",
     "association_rules": f"""SELECT item_a, item_b, transactions_with_both, transactions_with_a, transactions_with_b,
-  total_transactions, support, confidence_a_to_b, confidence_b_to_a, lift, conviction FROM ({scored(BRANDS)})""",
+  total_transactions, support, confidence_a_to_b, confidence_b_to_a, lift, conviction FROM ({scored(PARTS)})""",
     "basket_incremental_value": f"""SELECT item_a, item_b, avg_basket_value_with_both, avg_basket_value_with_a_only,
-  incremental_basket_value FROM ({scored(BRANDS)})""",
-    "recommendation_score": f"SELECT item_a, item_b, recommendation_score FROM ({scored(BRANDS)})",
-    "strong_associations": f"""SELECT item_a, item_b, lift, confidence_a_to_b, is_strong_association FROM ({scored(PARTS)})
-WHERE transactions_with_both >= 2""",
+  incremental_basket_value FROM ({scored(PARTS)})""",
+    "recommendation_score": f"SELECT item_a, item_b, recommendation_score FROM ({scored(PARTS)})",
+    "strong_associations": f"""SELECT item_a, item_b, lift, confidence_a_to_b, is_strong_association FROM ({scored(PARTS)})""",
     "topk_associations": f"""SELECT item_a, item_b, recommendation_score, lift FROM ({scored(PARTS)})
 WHERE transactions_with_both >= 2 AND lift > 1.5 AND confidence_a_to_b > 0 ORDER BY recommendation_score DESC, item_a, item_b LIMIT 10""",
     "basket_summary": f"""SELECT COUNT(*) AS total_pairs, COUNT(*) FILTER (is_strong_association) AS strong_pairs,
-  {MEAN("lift")} AS avg_lift, MAX(lift) AS max_lift FROM ({scored(BRANDS)})""",
+  {MEAN("lift")} AS avg_lift, MAX(lift) AS max_lift FROM ({scored(PARTS)})""",
     "gold_basket": GOLD_BASKET,
     "agg_global": f"""SELECT {M("SUM(line_subtotal)")} AS total_subtotal, {M("SUM(line_discount)")} AS total_discount,
   {M("SUM(line_tax)")} AS total_tax, {M("SUM(line_total)")} AS total_revenue, {M("SUM(line_cost)")} AS total_cost,

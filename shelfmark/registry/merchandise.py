@@ -182,39 +182,32 @@ def held(spark, folder):
     return baskets.baskets(shapes.transaction_items(spark, folder), shapes.transactions(spark, folder))
 
 
-def held_brands(spark, folder):
-    brands = shapes.product_catalog(spark, folder).select("product_id", "brand")
-    return baskets.baskets(
-        shapes.transaction_items(spark, folder).join(brands, "product_id"), shapes.transactions(spark, folder), "brand")
-
-
-def brand_rules(spark, folder):
-    return baskets.association_rules(held_brands(spark, folder), shapes.transactions(spark, folder))
+def product_rules(spark, folder):
+    return baskets.association_rules(held(spark, folder), shapes.transactions(spark, folder))
 
 
 def basket_pairs(spark, folder):
-    return baskets.pair_counts(held(spark, folder), min_count=2).select("item_a", "item_b", "transactions_with_both")
+    return baskets.pair_counts(held(spark, folder)).select("item_a", "item_b", "transactions_with_both")
 
 
 def association_rules(spark, folder):
-    return brand_rules(spark, folder).select(
+    return product_rules(spark, folder).select(
         "item_a", "item_b", "transactions_with_both", "transactions_with_a", "transactions_with_b", "total_transactions",
         "support", "confidence_a_to_b", "confidence_b_to_a", "lift", "conviction")
 
 
 def basket_incremental_value(spark, folder):
-    return brand_rules(spark, folder).select(
+    return product_rules(spark, folder).select(
         "item_a", "item_b", "avg_basket_value_with_both", "avg_basket_value_with_a_only", "incremental_basket_value")
 
 
 def recommendation_score(spark, folder):
-    return brand_rules(spark, folder).select("item_a", "item_b", "recommendation_score")
+    return product_rules(spark, folder).select("item_a", "item_b", "recommendation_score")
 
 
 def strong_associations(spark, folder):
-    """Strong flag at product level, for pairs seen in at least two orders (those below can never be strong)."""
-    rules = baskets.association_rules(held(spark, folder), shapes.transactions(spark, folder), min_count=2)
-    return rules.select("item_a", "item_b", "lift", "confidence_a_to_b", "is_strong_association")
+    """Strong flag at product level, for every pair."""
+    return product_rules(spark, folder).select("item_a", "item_b", "lift", "confidence_a_to_b", "is_strong_association")
 
 
 def topk_associations(spark, folder):
@@ -225,7 +218,7 @@ def topk_associations(spark, folder):
 
 
 def basket_summary(spark, folder):
-    return baskets.basket_summary(brand_rules(spark, folder))
+    return baskets.basket_summary(product_rules(spark, folder))
 
 
 def gold_basket(spark, folder):

@@ -38,22 +38,9 @@ TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
-# The key that spreads the rows of a fact table.
-FACT_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the folder. A fact that is stored as fewer pieces than there are cores is spread by its key.
-
-    A single small file would otherwise be decoded and enriched by one task.
-    Tables with enough pieces, as on a cluster, are read as they are; filters and
-    column pruning still reach the scan.
-    """
-    df = spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
-    key = FACT_KEYS.get(name)
-    if key and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        return df.repartition(key)
-    return df
+    """A table of the folder, read as it is stored: filters and column pruning reach the scan."""
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def padded(prefix: str, column: str | Column, width: int) -> Column:
