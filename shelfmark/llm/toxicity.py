@@ -41,6 +41,8 @@ SAMPLE_ROWS = {0: 4000, 1: 2000}
 # Units taken from one text in a round, and clean units taken at first.
 UNITS = 5
 FIRST_CLEAN = 6000
+# Units that the driver looks at together while it trains.
+BLOCK = 2000
 # Ends of a unit: behind its first word, its second, and so on.
 WORDS = 4
 
@@ -145,35 +147,50 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost:
     rng = np.random.default_rng(3)
     units = toxic + clean  # toxic units by frequency
     label = np.array([1.0] * len(toxic) + [-1.0] * len(clean))
-    at, value = unit_features(units)
     often = min(len(toxic), landmarks // 4)
     picked = np.concatenate([np.arange(often), often + rng.permutation(len(toxic) - often)[:landmarks // 2],
                              len(toxic) + rng.permutation(len(clean))[:landmarks // 4]])
-    columns, slot = np.unique(at[picked], return_inverse=True)
+    at, value = unit_features([units[i] for i in picked])
+    columns, slot = np.unique(at, return_inverse=True)
     table = np.zeros((len(columns) + 1, len(picked)))
-    np.add.at(table, (slot.reshape(len(picked), -1), np.arange(len(picked))[:, None]), value[picked])
-    where = np.searchsorted(columns, at)
-    where = np.where(columns[np.minimum(where, len(columns) - 1)] == at, where, len(columns))
-    kernel = np.zeros((len(units), len(picked)))
-    for s in range(at.shape[1]):
-        shared = np.flatnonzero((where[:, s] < len(columns)) & (value[:, s] > 0))
-        kernel[shared] += value[shared, s, None] * table[where[shared, s]]
-    own, basis = np.linalg.eigh((kernel[picked] + kernel[picked].T) / 2)
+    np.add.at(table, (slot.reshape(len(picked), -1), np.arange(len(picked))[:, None]), value)
+
+    def kernel(some: list[str]) -> np.ndarray:
+        at, value = unit_features(some)
+        where = np.searchsorted(columns, at)
+        where = np.where(columns[np.minimum(where, len(columns) - 1)] == at, where, len(columns))
+        total = np.zeros((len(some), len(picked)))
+        for s in range(at.shape[1]):
+            shared = np.flatnonzero((where[:, s] < len(columns)) & (value[:, s] > 0))
+            total[shared] += value[shared, s, None] * table[where[shared, s]]
+        return total
+
+    own = kernel([units[i] for i in picked])
+    own, basis = np.linalg.eigh((own + own.T) / 2)
     good = own > 1e-6 * own.max()
     features = basis[:, good] / np.sqrt(own[good])
-    x = np.hstack([kernel @ features, np.ones((len(units), 1))])
+    # Units are taken in blocks, so that the driver holds one single-precision row for each.
+    blocks = [slice(i, i + BLOCK) for i in range(0, len(units), BLOCK)]
+    x = np.ones((len(units), int(good.sum()) + 1), np.float32)
+    for block in blocks:
+        x[block, :-1] = kernel(units[block]) @ features
     # Squared hinge by Newton steps over the rows inside the margin; classes weigh alike.
     weight = cost * np.where(label > 0, 1.0, len(toxic) / len(clean))
     w, active = np.zeros(x.shape[1]), None
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-3
     for _ in range(steps):
-        now = label * (x @ w) < 1
+        now = label * (x @ w.astype(np.float32)) < 1
         if active is not None and (now == active).all():
             break
         active = now
-        a = x[active] * weight[active, None]
-        w = np.linalg.solve(ridge + a.T @ x[active], a.T @ label[active])
+        left, right = ridge.copy(), np.zeros(len(w))
+        for block in blocks:
+            rows = x[block][active[block]].astype(float)
+            weighted = rows * weight[block][active[block], None]
+            left += weighted.T @ rows
+            right += weighted.T @ label[block][active[block]]
+        w = np.linalg.solve(left, right)
     weights = np.zeros(1 << BITS, np.float32)
     weights[columns] = table[:-1] @ (features @ w[:-1])
     return Machine(weights, float(w[-1]))
