@@ -58,6 +58,9 @@ FREQUENT_KEPT = 500_000
 # Columns of more members are tied together by pairs with a few of them (``MATES``) before all pairs are taken.
 WIDE = 32
 MATES = 4
+# Of the common n-grams that a pair must have in its columns, one in so many must be early in both orders. Any number
+# gives the same links: a larger one multiplies fewer columns and leaves more pairs to count.
+EARLY = 4
 KEPT_WORDS = 300_000
 
 _words = re.compile(WORD).findall
@@ -222,10 +225,10 @@ def _reaches(common: Column, n: Column, m: Column, threshold: Fraction) -> Colum
 
 
 def _early(n: Column, m: Column, threshold: Fraction) -> Column:
-    """A number of common n-grams that a pair which links must have early in both orders, see ``_is_early``: half of those that it
-    must have in its columns, one at least."""
+    """A number of common n-grams that a pair which links must have early in both orders, see ``_is_early``: a share (``EARLY``) of
+    those that it must have in its columns, one at least."""
     beyond = F.ceil(F.greatest(n, m) * threshold.numerator / F.lit(threshold.denominator)) - 1
-    return F.greatest(F.lit(1), F.ceil((_wanted(n, m, threshold) - beyond) / F.lit(2)))
+    return F.greatest(F.lit(1), F.ceil((_wanted(n, m, threshold) - beyond) / F.lit(EARLY)))
 
 
 def _is_early(w: Column, v: Column, threshold: Fraction) -> Column:
