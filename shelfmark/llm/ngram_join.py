@@ -61,6 +61,8 @@ MATES = 4
 # Of the common n-grams that a pair must have in its columns, one in so many must be early in both orders. Any number
 # gives the same links: a larger one multiplies fewer columns and leaves more pairs to count.
 EARLY = 4
+# Bits of the table that tells which texts may be wanted: 8 MB at most, whatever the input.
+BITS = 1 << 26
 KEPT_WORDS = 300_000
 
 _words = re.compile(WORD).findall
@@ -268,6 +270,20 @@ def counted(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame
     return map_arrow(dealt, run, "u long, v long")
 
 
+def _maybe_among(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts without most of those whose ``_digest`` is no ``digest`` of the wanted rows, told by a table of ``BITS`` bits."""
+    def bit(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(BITS)) + 1
+
+    table = wanted.select(bit("digest").alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
+    at = F.bitmap_bit_position(bit("_digest"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    # The table has BITS / 32768 rows of 4 KB at most, so that it is sent to all.
+    return texts.join(F.broadcast(table), F.bitmap_bucket_number(bit("_digest")) == F.col("_part")).filter(
+        F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1).select(*texts.columns)
+
+
 def _sets(df: DataFrame, rows: DataFrame, pairs: DataFrame, id_col: str, text_col: str, ngram: int) -> DataFrame:
     """(key, hashes) of the classes of the pairs, from the texts of one document digest each."""
     wanted = cut_lineage(pairs.select(F.col("a").alias("_key")).unionByName(pairs.select(F.col("b").alias("_key"))).distinct())
@@ -275,7 +291,7 @@ def _sets(df: DataFrame, rows: DataFrame, pairs: DataFrame, id_col: str, text_co
         F.min(F.struct("id", "digest")).alias("one")).select("one.*").distinct())
     # One plan at every size: texts meet their digests by a shuffle, also where the digests would fit a broadcast.
     texts = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text"))
-    texts = texts.withColumn("_digest", digest(F.col("text"))).join(
+    texts = _maybe_among(texts.withColumn("_digest", digest(F.col("text"))), one).join(
         one.hint("merge"), F.col("_id").eqNullSafe(one["id"]) & (F.col("_digest") == one["digest"]), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
