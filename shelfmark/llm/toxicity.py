@@ -1,7 +1,8 @@
 """Toxicity: a support vector machine over a subsequence string kernel, with Nyström landmarks.
 
-The unit is a short string: a word with a space on either side, or a few neighbouring
-words up to ``LENGTH`` letters, every run of other characters being one space. The
+The unit is a short string: a word with a space on either side, a few neighbouring
+words up to ``LENGTH`` letters, or a window of a longer word (``WINDOWS``, at every place),
+every run of other characters being one space. The
 kernel of two units sums over common subsequences of ``ORDER`` letters, each occurrence
 weighted by ``DECAY`` to the power of the length it spans, up to ``SPAN``, and is scaled
 by the units' lengths; so an insult with gaps or inserted characters still shares most of
@@ -45,6 +46,10 @@ FIRST_CLEAN = 6000
 BLOCK = 2000
 # Ends of a unit: behind its first word, its second, and so on.
 WORDS = 4
+# Sizes of the windows that are slid over a word longer than a unit.
+WINDOWS = (LENGTH, LENGTH // 2)
+# Letters that are scored together.
+BLOCK_LETTERS = 1 << 16
 
 PATTERNS = [(0, *rest) for last in range(ORDER - 1, SPAN) for rest in combinations(range(1, last + 1), ORDER - 1) if rest[-1] == last]
 _other = re.compile(r"[\W\d_]+").sub
@@ -77,6 +82,45 @@ def places(numbers: list[np.ndarray], pattern: tuple[int, ...]) -> np.ndarray:
     return total >> np.uint32(32 - BITS)
 
 
+def text_blocks(texts: list[str]) -> Iterator[list[str]]:
+    """Runs of texts of about ``BLOCK_LETTERS`` letters; a longer text stands alone."""
+    block: list[str] = []
+    size = 0
+    for text in texts:
+        if block and size + len(text) > BLOCK_LETTERS:
+            yield block
+            block, size = [], 0
+        block.append(text)
+        size += len(text)
+    if block:
+        yield block
+
+
+# Letters of a word start that can be a key.
+STARTS = (4, 5, 6)
+
+
+def keys_of(word: str) -> set[str]:
+    """The word, its starts, and the pieces of a word longer than a unit, which may be several words without spaces."""
+    keys = {f" {word} "} | {f" {word[:n]}" for n in STARTS if len(word) >= n}
+    if len(word) > LENGTH - 2:
+        keys |= {word[i:i + n] for n in STARTS for i in range(len(word) - n + 1)}
+    return keys
+
+
+def windows(word: str, telling: frozenset[str]) -> list[str]:
+    """The units of a word that its telling keys lie in."""
+    flat = f" {word} "
+    if len(flat) <= LENGTH:
+        return [flat] if telling & keys_of(word) else []
+    last = len(flat) - LENGTH
+    if flat in telling:
+        return [flat[i:i + LENGTH] for i in sorted({*range(0, last, LENGTH // 2), last})]
+    found = [0] if any(f" {word[:n]}" in telling for n in STARTS) else []
+    found += [min(max(i + (n - LENGTH) // 2, 0), last) for n in STARTS for i in range(1, len(word) + 2 - n) if flat[i:i + n] in telling]
+    return [flat[i:i + LENGTH] for i in sorted(set(found))]
+
+
 # Scale of a unit by its length: the norm of its subsequence weights.
 SCALES = np.sqrt(np.array([max(sum(DECAY ** (2 * (p[-1] + 1)) * max(0, n - p[-1]) for p in PATTERNS), 1e-3) for n in range(LENGTH + 1)]))
 
@@ -89,46 +133,87 @@ class Machine:
     bias: float
     scale: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0)
 
-    def units(self, text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-        """The text's letters; start, end and score of the best unit from each word on."""
-        own = letters(text)
-        if len(own) <= 2:
-            return own, *np.zeros((2, 0), int), np.zeros(0)
-        code = codes(own)
+    def units(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' letters in one string; text number, start, end and score of the best unit from each word on.
+
+        A word longer than a unit is covered by overlapping windows, and the best one is its unit.
+        """
+        own = [letters(t) for t in texts]
+        flat = "".join(own)
+        code = codes(flat)
         space = np.flatnonzero(code == 32)
+        text = np.repeat(np.arange(len(own)), [len(t) for t in own])[space]
+        # Units start at a word's space; the space behind a text's last word starts none.
+        first = np.flatnonzero((text[1:] == text[:-1]) & (space[1:] > space[:-1] + 1))
+        starts, text = space[first], text[first]
         numbers = numbered(code)
-        starts = space[:-1]
-        runs = []
+        runs, before, upto = [], np.zeros(len(code) + 1), np.zeros(len(code) + 1)
         for span in range(ORDER, SPAN + 1):
             value = np.zeros(max(len(code) - span + 1, 0), np.float32)
             for p in PATTERNS:
                 if p[-1] == span - 1 and len(value):
                     value += self.weights[places(numbers, p)]
-            runs.append((span, np.concatenate(([0.0], np.cumsum(value, dtype=float))) * DECAY ** span))
-        best, until = np.full(len(starts), -np.inf), starts.copy()
-        for ahead in range(1, WORDS + 1):
-            follows = np.minimum(np.arange(len(starts)) + ahead, len(space) - 1)
-            end = space[follows] + 1
-            if ahead == 1:
-                end = np.minimum(end, starts + LENGTH)
-            valid = (end - starts <= LENGTH) & (np.arange(len(starts)) + ahead < len(space))
-            total = np.zeros(len(starts))
+            value *= DECAY ** span
+            before[1:len(value) + 1] += value
+            upto[span:] += value
+            if span < SPAN - 1:
+                runs.append((span, np.concatenate(([0.0], np.cumsum(value, dtype=float)))))
+        # Occurrences that start before a place, and those that end by it.
+        before, upto = np.cumsum(before), np.cumsum(upto)
+
+        def scored(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+            total = upto[end] - before[start]
+            # What starts before a very short unit and ends behind it is in the difference: sum by spans.
+            short = np.flatnonzero(end - start < SPAN - 1)
+            a, b, exact = start[short], end[short], np.zeros(len(short))
             for span, run in runs:
-                total += np.where(end - starts >= span, run[np.maximum(np.minimum(end - span + 1, len(run) - 1), 0)] - run[np.minimum(starts, len(run) - 1)], 0.0)
-            total = np.where(valid, total / SCALES[np.minimum(end - starts, LENGTH)] + self.bias, -np.inf)
-            until = np.where(total > best, end, until)
-            best = np.maximum(best, total)
-        return own, starts, until, best
-
-    def evidence(self, text: str) -> list[float]:
-        """Score of the worst unit, of the third worst, and the logarithm of one more than the number of toxic ones."""
-        score = np.sort(self.units(text)[3])[::-1]
-        if not len(score):
-            return [self.bias, self.bias, 0.0]
-        return [float(score[0]), float(score[min(2, len(score) - 1)]), float(np.log1p((score > 0).sum()))]
-
-    def probability(self, evidence: list[list[float]]) -> np.ndarray:
-        total = np.array(evidence).reshape(-1, 3) @ np.array(self.scale[:3]) + self.scale[3]
+                fits = np.flatnonzero(b - a >= span)
+                exact[fits] += run[b[fits] - span + 1] - run[a[fits]]
+            total[short] = exact
+            return total / SCALES[end - start] + self.bias
+
+        best, since, until = np.full(len(starts), -np.inf), starts.copy(), starts.copy()
+        limit = np.cumsum([len(t) for t in own])[text]
+        for ahead in range(1, WORDS + 1):
+            end = space[np.minimum(first + ahead, len(space) - 1)] + 1
+            valid = np.flatnonzero((end - starts <= LENGTH) & (end <= limit) & (first + ahead < len(space)))
+            total = scored(starts[valid], end[valid])
+            better = total > best[valid]
+            best[valid[better]], until[valid[better]] = total[better], end[valid[better]]
+        size = space[first + 1] + 1 - starts
+        long = np.flatnonzero(size > LENGTH)
+        if len(long):
+            for width in WINDOWS:
+                count = size[long] - width + 1
+                head = np.cumsum(count) - count
+                window = np.arange(count.sum()) + np.repeat(starts[long] - head, count)
+                total = scored(window, window + width)
+                top = np.maximum.reduceat(total, head)
+                at = np.flatnonzero(total == np.repeat(top, count))
+                at = at[np.searchsorted(at, head)]
+                better = top > best[long]
+                rows = long[better]
+                best[rows], since[rows], until[rows] = top[better], window[at][better], window[at][better] + width
+        return flat, text, since, until, best
+
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        """For each text the score of the worst unit, of the third worst, and the logarithm of one more than the number of toxic ones."""
+        found = [np.zeros((0, 3))]
+        for block in text_blocks(texts):
+            _, text, _, _, score = self.units(block)
+            order = np.lexsort((-score, text))
+            count = np.bincount(text, minlength=len(block))
+            head = np.cumsum(count) - count
+            some = np.flatnonzero(count)
+            out = np.tile([self.bias, self.bias, 0.0], (len(block), 1))
+            out[some, 0] = score[order[head[some]]]
+            out[some, 1] = score[order[head[some] + np.minimum(2, count[some] - 1)]]
+            out[:, 2] = np.log1p(np.bincount(text[score > 0], minlength=len(block)))
+            found.append(out)
+        return np.concatenate(found)
+
+    def probability(self, evidence: np.ndarray) -> np.ndarray:
+        total = evidence @ np.array(self.scale[:3]) + self.scale[3]
         return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
 
 
@@ -197,12 +282,12 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost:
 
 
 def _contrast(sample: DataFrame) -> list[str]:
-    """Words and word starts that mark toxic texts of the sample beyond chance, a bounded list: a space, then the letters."""
+    """Words, word starts and pieces of long words that mark toxic texts of the sample beyond chance, a bounded list; a space where a word starts or ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 words = set(letters(text or "").split())
-                keys = list({f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in (4, 5, 6) if len(w) >= n})
+                keys = list(set().union(*map(keys_of, words)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([label] * len(keys), pa.int32())], names=["key", "label"])
 
     classes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
@@ -230,12 +315,19 @@ def _units_of(sample: DataFrame, machine: Machine | None, keys: list[str]) -> li
             for order, text, label in zip(*(batch.column(c).to_pylist() for c in ("order", "text", "label"))):
                 if own is None:
                     words = sorted(set(letters(text or "").split()))
-                    marked = [w for w in words if f" {w} " in telling or any(f" {w[:n]}" in telling for n in (4, 5, 6))]
-                    rest = [words[crc32(f"{order}{i}".encode()) % len(words)] for i in range(min(3, len(words)))]
-                    out += [(order, label, f" {w} "[:LENGTH], 1.0, r) for r, w in enumerate(marked)]
-                    out += [(order, label, f" {w} "[:LENGTH], -1.0, len(marked) + r) for r, w in enumerate(dict.fromkeys(rest)) if w not in marked]
+                    marked = list(dict.fromkeys(u for w in words for u in windows(w, telling)))
+                    rest = []
+                    for i in range(min(3, len(words))):
+                        chosen = crc32(f"{order}{i}".encode())
+                        word, chosen = words[chosen % len(words)], chosen // len(words)
+                        if not windows(word, telling):
+                            flat = f" {word} "
+                            at = chosen % max(len(flat) - LENGTH + 1, 1)
+                            rest.append(flat[at:at + LENGTH])
+                    out += [(order, label, u, 1.0, r) for r, u in enumerate(marked)]
+                    out += [(order, label, u, -1.0, len(marked) + r) for r, u in enumerate(dict.fromkeys(rest))]
                 else:
-                    flat, starts, ends, score = own.units(text or "")
+                    flat, _, starts, ends, score = own.units([text or ""])
                     best = np.argsort(-score, kind="stable")[:UNITS]
                     out += [(order, label, flat[starts[i]:ends[i]], float(score[i]), r) for r, i in enumerate(best.tolist())]
             columns = list(zip(*out)) or [[]] * 5
@@ -252,8 +344,8 @@ def _scale(machine: Machine, sample: DataFrame) -> Machine:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sent.value.evidence(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("label"), pa.array(found, pa.list_(pa.float64()))],
+            found = sent.value.evidence([t or "" for t in batch.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("label"), pa.array(found.tolist(), pa.list_(pa.float64()))],
                                              names=["order", "label", "found"])
 
     rows = sorted(map_arrow(sample, run, "`order` long, label int, found array<double>").collect())
@@ -306,7 +398,7 @@ def score(df: DataFrame, machine: Machine, text_col: str = "text", keep: list[st
         own = sent.value
 
         def run(texts: list[str]) -> list[pa.Array]:
-            return [pa.array(own.probability([own.evidence(t) for t in texts]))]
+            return [pa.array(own.probability(own.evidence(texts)))]
 
         return run
 
@@ -321,6 +413,6 @@ def without_toxic(df: DataFrame, machine: Machine, text_col: str = "text", thres
         own = sent.value
         for batch in batches:
             for piece, texts in pieces(batch, text_col):
-                yield piece.filter(pa.array(own.probability([own.evidence(t) for t in texts]) < threshold))
+                yield piece.filter(pa.array(own.probability(own.evidence(texts)) < threshold))
 
     return map_arrow(df, run, df.schema)
