@@ -5,8 +5,8 @@ words up to ``LENGTH`` letters, or a window of a longer word (``WINDOWS``, at ev
 every run of other characters being one space. The
 kernel of two units sums over common subsequences of ``ORDER`` letters, each occurrence
 weighted by ``DECAY`` to the power of the length it spans, up to ``SPAN``, and is scaled
-by the units' lengths; so an insult with gaps or inserted characters still shares most of
-its subsequences with the plain one. Landmark units give Nyström features and a linear
+by the units' lengths. ``SPAN`` is twice ``ORDER``: four letters are still seen together with a
+letter inserted behind each of them, or with several inserted side by side. Landmark units give Nyström features and a linear
 machine is trained on them. Since the kernel is a product of subsequence weights, the
 machine folds into one weight per subsequence. A text is judged by its worst unit, its third
 worst and the number of its toxic units, put on the probability scale by a logistic regression.
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import TextFunction, map_arrow, map_texts, pieces
 
-ORDER, SPAN, LENGTH, DECAY = 4, 5, 16, 0.7
-BITS = 19
+ORDER, SPAN, LENGTH, DECAY = 4, 8, 16, 0.7
+BITS = 21
 LANDMARKS = 400
 ROUNDS = 3
 SAMPLE_ROWS = {0: 4000, 1: 2000}
@@ -43,13 +43,13 @@ SAMPLE_ROWS = {0: 4000, 1: 2000}
 UNITS = 5
 FIRST_CLEAN = 6000
 # Units that the driver looks at together while it trains.
-BLOCK = 2000
+BLOCK = 500
 # Ends of a unit: behind its first word, its second, and so on.
 WORDS = 4
 # Sizes of the windows that are slid over a word longer than a unit.
 WINDOWS = (LENGTH, LENGTH // 2)
 # Letters that are scored together.
-BLOCK_LETTERS = 1 << 16
+BLOCK_LETTERS = 1 << 15
 
 PATTERNS = [(0, *rest) for last in range(ORDER - 1, SPAN) for rest in combinations(range(1, last + 1), ORDER - 1) if rest[-1] == last]
 _other = re.compile(r"[\W\d_]+").sub
@@ -133,6 +133,22 @@ class Machine:
     bias: float
     scale: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0)
 
+    def spans(self, numbers: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        """For each span the weighted sum of the subsequences of that span from each position on."""
+        for span in range(ORDER, SPAN + 1):
+            n = max(numbers[0].shape[-1] - span + 1, 0)
+            value = np.zeros(n, np.float32)
+            # First and last letter once; the places of the letters between them are added up.
+            ends = numbers[0][:n] + numbers[-1][span - 1:span - 1 + n]
+            for p in PATTERNS:
+                if p[-1] == span - 1 and n:
+                    total = ends + numbers[1][p[1]:p[1] + n]
+                    for own, k in zip(numbers[2:-1], p[2:-1]):
+                        total += own[k:k + n]
+                    total >>= np.uint32(32 - BITS)
+                    value += self.weights.take(total)
+            yield span, value * np.float32(DECAY ** span)
+
     def units(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The texts' letters in one string; text number, start, end and score of the best unit from each word on.
 
@@ -148,12 +164,7 @@ class Machine:
         starts, text = space[first], text[first]
         numbers = numbered(code)
         runs, before, upto = [], np.zeros(len(code) + 1), np.zeros(len(code) + 1)
-        for span in range(ORDER, SPAN + 1):
-            value = np.zeros(max(len(code) - span + 1, 0), np.float32)
-            for p in PATTERNS:
-                if p[-1] == span - 1 and len(value):
-                    value += self.weights[places(numbers, p)]
-            value *= DECAY ** span
+        for span, value in self.spans(numbers):
             before[1:len(value) + 1] += value
             upto[span:] += value
             if span < SPAN - 1:
@@ -236,19 +247,24 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost:
     picked = np.concatenate([np.arange(often), often + rng.permutation(len(toxic) - often)[:landmarks // 2],
                              len(toxic) + rng.permutation(len(clean))[:landmarks // 4]])
     at, value = unit_features([units[i] for i in picked])
-    columns, slot = np.unique(at, return_inverse=True)
-    table = np.zeros((len(columns) + 1, len(picked)))
-    np.add.at(table, (slot.reshape(len(picked), -1), np.arange(len(picked))[:, None]), value)
+    # The landmarks' entries by place: places are many, and most of them belong to a few landmarks only.
+    filled = np.flatnonzero(value.ravel() > 0)
+    entries = filled[np.argsort(at.ravel()[filled], kind="stable")]
+    columns, head, count = np.unique(at.ravel()[entries], return_index=True, return_counts=True)
+    owner, held = entries // at.shape[1], value.ravel()[entries]
 
     def kernel(some: list[str]) -> np.ndarray:
         at, value = unit_features(some)
-        where = np.searchsorted(columns, at)
-        where = np.where(columns[np.minimum(where, len(columns) - 1)] == at, where, len(columns))
-        total = np.zeros((len(some), len(picked)))
-        for s in range(at.shape[1]):
-            shared = np.flatnonzero((where[:, s] < len(columns)) & (value[:, s] > 0))
-            total[shared] += value[shared, s, None] * table[where[shared, s]]
-        return total
+        used = np.flatnonzero(value.ravel() > 0)
+        place, slots = at.ravel()[used], at.shape[1]
+        where = np.minimum(np.searchsorted(columns, place), len(columns) - 1)
+        shared = np.flatnonzero(columns[where] == place)
+        where, used = where[shared], used[shared]
+        times = count[where]
+        entry = np.arange(times.sum()) + np.repeat(head[where] - (np.cumsum(times) - times), times)
+        unit = np.repeat(used // slots, times)
+        total = np.bincount(unit * len(picked) + owner[entry], np.repeat(value.ravel()[used], times) * held[entry], len(some) * len(picked))
+        return total.reshape(len(some), len(picked))
 
     own = kernel([units[i] for i in picked])
     own, basis = np.linalg.eigh((own + own.T) / 2)
@@ -277,7 +293,7 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost:
             right += weighted.T @ label[block][active[block]]
         w = np.linalg.solve(left, right)
     weights = np.zeros(1 << BITS, np.float32)
-    weights[columns] = table[:-1] @ (features @ w[:-1])
+    weights[columns] = np.add.reduceat(held * (features @ w[:-1])[owner], head)
     return Machine(weights, float(w[-1]))
 
 

@@ -45,3 +45,44 @@ def test_insults_behind_the_start_of_long_words(spark, machine):
     glued = [" ".join(prose(rng, 40) + ["".join(prose(rng, 8)) + rng.choice(["blockhead", "dunderhead"]) + tail]) for tail in ["", "tamiprolim"] * 10]
     assert predicted(spark, machine, clean) == [0] * 20
     assert sum(predicted(spark, machine, glued)) >= 19
+
+
+def shared(one, other):
+    """The kernel of two units."""
+    at, value = toxicity.unit_features([one, other])
+    return sum(a * b for p, a in zip(at[0], value[0]) for q, b in zip(at[1], value[1]) if p == q)
+
+
+def test_kernel_sees_inserted_letters():
+    plain = shared(" idiot ", " idiot ")
+    assert shared(" idiot ", " idxyiot ") > 0.2 * plain
+    assert shared(" idiot ", " ixdxixoxt ") > 0.02 * plain and shared(" idiot ", " iadsifogt ") > 0.02 * plain
+    assert shared(" idiot ", " garden ") == 0
+
+
+def spread(rng, word, others):
+    """A letter inserted behind each letter, or two side by side."""
+    i = rng.randrange(2, len(word) - 1)
+    two = word[:i] + "".join(rng.choices(others, k=2)) + word[i:]
+    return rng.choice(["".join(c + rng.choice(others) for c in word[:-1]) + word[-1], two])
+
+
+def test_insults_with_inserted_letters(spark, machine):
+    rng = random.Random(9)
+    insults = ["blockhead", "dunderhead"]
+    # Learnt from plain insults alone, two letters side by side do not hide one.
+    pairs = [" ".join(prose(rng, 40) + [w[:i] + "xy" + w[i:] for i in (1, 2, len(w) - 1)]) for w in insults]
+    assert predicted(spark, machine, pairs) == [1, 1]
+    rows = []
+    for i in range(900):
+        words = prose(rng, 60)
+        if i % 4 == 0:
+            words += [rng.choice([w, spread(rng, w, "qxzj")]) for w in rng.choices(insults, k=rng.choice([1, 2, 4]))]
+            rng.shuffle(words)
+        rows.append((" ".join(words), int(i % 4 == 0)))
+    own = fitted(spark, rows)
+    clean = [" ".join(prose(rng, 60)) for _ in range(40)]
+    # The sample shows such insults, with other choices of the inserted letters.
+    hidden = [" ".join(prose(rng, 60) + [spread(rng, rng.choice(insults), "qxzj")]) for _ in range(40)]
+    assert sum(predicted(spark, own, clean)) <= 1
+    assert sum(predicted(spark, own, hidden)) >= 38
