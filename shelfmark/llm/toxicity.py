@@ -12,7 +12,8 @@ machine folds into one weight per subsequence. A text is judged by its worst uni
 worst and the number of its toxic units, put on the probability scale by a logistic regression.
 
 Labels are given for texts, not for units. Training starts from words and word starts
-that occur in toxic texts of the sample significantly more often than in clean ones; then
+that occur in toxic texts of the sample significantly more often than in clean ones, or, in a
+sample too small for that, from those of the highest contrast; then
 the units of clean texts that the machine wrongly accuses become clean examples, and those
 of toxic texts that it finds become toxic ones. The sample is bounded (``SAMPLE_ROWS``);
 scoring covers every row and whole texts, and needs no shuffle.
@@ -42,6 +43,8 @@ SAMPLE_ROWS = {0: 4000, 1: 2000}
 # Units taken from one text in a round, and clean units taken at first.
 UNITS = 5
 FIRST_CLEAN = 6000
+# Keys that training starts from where none is beyond chance.
+FIRST_KEYS = 50
 # Units that the driver looks at together while it trains.
 BLOCK = 500
 # Ends of a unit: behind its first word, its second, and so on.
@@ -298,7 +301,7 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost:
 
 
 def _contrast(sample: DataFrame) -> list[str]:
-    """Words, word starts and pieces of long words that mark toxic texts of the sample beyond chance, a bounded list; a space where a word starts or ends."""
+    """Words, word starts and pieces of long words that mark toxic texts of the sample beyond chance (or best, if none is), a bounded list; a space where a word starts or ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
@@ -316,8 +319,9 @@ def _contrast(sample: DataFrame) -> list[str]:
     gain = F.col("toxic") * F.log(share / rate) + F.when(clean > 0, clean * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     # About so many keys are looked at; fewer than one of them should pass by chance.
     chance = float(np.log(100.0 * sum(classes.values())) + 1)
-    rows = counts.filter((share >= 0.9) & (gain >= chance)).orderBy(gain.desc(), "key").limit(2000).collect()
-    return [r["key"] for r in rows]
+    rows = counts.filter(share >= 0.9).select("key", gain.alias("gain")).orderBy(F.desc("gain"), "key").limit(2000).collect()
+    # In a small sample no key can be beyond chance: training starts from the best ones, and its rounds correct them.
+    return [r["key"] for r in rows if r["gain"] >= chance] or [r["key"] for r in rows[:FIRST_KEYS]]
 
 
 def _units_of(sample: DataFrame, machine: Machine | None, keys: list[str]) -> list[tuple[int, int, str, float, int]]:
@@ -382,7 +386,7 @@ def _scale(machine: Machine, sample: DataFrame) -> Machine:
 def fit(sample: DataFrame, rounds: int = ROUNDS) -> Machine:
     """The machine from a bounded sample (order, text, label) as ``labelled_sample`` gives it.
 
-    Where nothing tells toxic texts from clean ones (one class only, or no telling word),
+    Where nothing tells toxic texts from clean ones (one class only, or no word mainly in toxic texts),
     every text gets the share of toxic texts of the sample, or one half without rows.
     """
     keys = _contrast(sample)

@@ -86,3 +86,22 @@ def test_insults_with_inserted_letters(spark, machine):
     hidden = [" ".join(prose(rng, 60) + [spread(rng, rng.choice(insults), "qxzj")]) for _ in range(40)]
     assert sum(predicted(spark, own, clean)) <= 1
     assert sum(predicted(spark, own, hidden)) >= 38
+
+
+def test_small_samples(spark, folder):
+    rng = random.Random(10)
+    rows = [(" ".join(prose(rng, 60) + ["blockhead"] * (i < 8)), int(i < 8)) for i in range(60)]
+    own = fitted(spark, rows)
+    assert predicted(spark, own, [" ".join(prose(rng, 40)), " ".join(prose(rng, 40) + ["blockhead"])]) == [0, 1]
+
+
+def test_the_stage_drops_toxic_documents_of_the_smallest_folder(spark, folder):
+    import corpus_pipeline
+    from shelfmark.llm import queries
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, folder).select("doc_id").collect()}
+    label = {r["doc_id"]: r["toxic"] for r in queries.table(spark, folder, "labels").collect()}
+    dropped = {r["doc_id"] for r in docs.select("doc_id").collect()} - kept
+    assert dropped and sum(label.get(i, 0) for i in dropped) >= 0.8 * sum(i in label for i in dropped)
+    assert sum(label.get(i) == 1 for i in kept) <= 0.3 * sum(v == 1 for v in label.values())
