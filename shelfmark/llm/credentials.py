@@ -2,14 +2,14 @@
 
 An access identifier, a secret and an endpoint are the parts of a credential. Parts of
 a fixed form (``BASE``) are reported as found. Weak parts (login names, random-looking
-words, addresses) are common in clean text and are reported only where complementary
-parts start within the same scope, ``reach`` code points to either side.
+words, addresses) are common in clean text and are reported only where at most ``reach``
+code points lie between them and complementary parts, and where no base part covers them.
 
 Only built-in functions are used. The places of all matches of a pattern come from the
 lengths of the pieces between them, summed up by a window per text, so no match is
-searched twice. The interval join is a window with a range frame over the parts of one
-text: each part is compared with its scope by a merge, never pair by pair. Only part
-rows are shuffled, not texts.
+searched twice. The interval join is a pair of windows over the parts of one text: the
+furthest end of each role behind a part and the nearest start ahead, running values in
+either direction, never pair by pair. Only part rows are shuffled, not texts.
 """
 
 from __future__ import annotations
@@ -85,15 +85,20 @@ def located(df: DataFrame, row: str, carried: list[str]) -> DataFrame:
 
 
 def linked(lines: DataFrame, row: str, reach: int) -> DataFrame:
-    """Sets ``reported``: base parts always, weak parts where their complements lie in scope."""
+    """Sets ``reported``: base parts always, weak parts that no base part covers and whose complements lie in scope."""
     roles = {role: [i for i, k in enumerate(KINDS) if k.role == role] for role in ("id", "secret", "endpoint")}
-    scope = Window.partitionBy(row).orderBy("start").rangeBetween(-reach, reach)
-    upto = Window.partitionBy(row).orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
-    onward = Window.partitionBy(row).orderBy("start").rangeBetween(0, Window.unboundedFollowing)
+    upto = Window.partitionBy(row).orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = Window.partitionBy(row).orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ok, base = F.col("ok"), F.col("kind") < len(BASE)
-    near = {role: F.max(ok & F.col("kind").isin(own)).over(scope) for role, own in roles.items()}
-    inside = (F.coalesce(F.max(F.when(ok & base, F.col("end"))).over(upto) > F.col("start"), F.lit(False))
-              | F.coalesce(F.min(F.when(ok & base, F.col("start"))).over(onward) < F.col("end"), F.lit(False)))
+
+    def beside(own: list[int]) -> Column:
+        one = ok & F.col("kind").isin(own)
+        behind = F.max(F.when(one, F.col("end"))).over(upto) >= F.col("start") - reach
+        ahead = F.min(F.when(one, F.col("start"))).over(onward) <= F.col("end") + reach
+        return F.coalesce(behind, F.lit(False)) | F.coalesce(ahead, F.lit(False))
+
+    near = {role: beside(own) for role, own in roles.items()}
+    inside = F.coalesce(F.max(F.when(ok & base, F.col("end"))).over(upto) >= F.col("end"), F.lit(False))
     seen = lines.select("*", *[v.alias(f"_near_{k}") for k, v in near.items()], inside.alias("_inside"))
     weak = {
         "login": F.col("_near_secret"),

@@ -1,0 +1,23 @@
+"""The scope of a credential part runs from its end, and only parts within base parts are left out."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfmark.llm import credentials
+
+BLOB = "Zk3" + "aB4dE6gH8jK1mN3pQ5rS7tU9" * 13
+HEXED = "Xy9zKwQ" + "0123456789abcdef" + "Tr5uVwZq"
+
+
+def test_scope_runs_from_the_ends(spark):
+    near, far = credentials.REACH, credentials.REACH + 1
+    texts = [f"{BLOB} login: bobby", f"login: bobby {BLOB}", BLOB + " " * near + "login: bobby", BLOB + " " * far + "login: bobby",
+             "login: bobby" + " " * near + BLOB, "login: bobby" + " " * far + BLOB, f"login: bobby {HEXED}", HEXED, f"token={BLOB} login: bobby"]
+    rows = credentials.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), keep=["doc_id"])
+    got = {r["doc_id"]: [s.split(":")[0] for s in r["s"].split(",") if s] for r in rows.select("doc_id", credentials.written(F.col("spans")).alias("s")).collect()}
+    assert got[0] == ["blob", "login"] and got[1] == ["login", "blob"]
+    assert got[2] == ["blob", "login"] and got[3] == [] and got[4] == ["login", "blob"] and got[5] == []
+    assert got[6] == ["login", "blob", "hex"] and got[7] == ["hex"] and got[8] == ["assign", "login"]
+    masked = credentials.masked(spark.createDataFrame([(0, f"login: bobby {HEXED} end")], "doc_id int, text string")).collect()
+    assert masked[0]["text"] == "[MASKED] [MASKED] end"
