@@ -53,7 +53,7 @@ class Hasher:
     def number(self, word: str) -> tuple[int, int]:
         if len(self.known) >= KEPT_WORDS:
             self.known.clear()
-        made = crc32(word.lower().encode("utf-8", "surrogatepass")), crc32(b"#" + shape_of(word[:64]).encode("utf-8", "surrogatepass"))
+        made = crc32(word.lower().encode("utf-8", "surrogatepass")), crc32(b"#" + shape_of(word).encode("utf-8", "surrogatepass"))
         if len(word) <= 48:
             self.known[word] = made
         return made
