@@ -4,7 +4,7 @@ Conventions of every operator of this package, unless its docstring says otherwi
 a null text counts as the empty text, a null id is carried through like any other
 value, repeated rows are separate rows, an empty table gives an empty result with
 the same columns, and an input column that has the name of a result column is
-replaced by it (as ``withColumn`` does).
+replaced by it, whatever the case of its letters (as ``withColumn`` does).
 """
 
 from __future__ import annotations
@@ -75,22 +75,23 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def map_texts(df: DataFrame, text_col: str, keep: Sequence[str], fields: str,
-              make: Callable[[], TextFunction]) -> DataFrame:
+              make: Callable[[], TextFunction], piece_chars: int = PIECE_CHARS) -> DataFrame:
     """The kept columns of every row and, after them, the columns that a text function gives.
 
     ``make`` is called once per task, so that tables are built (or found in the
-    worker's own cache) where they are used. ``fields`` is a DDL list.
+    worker's own cache) where they are used. ``fields`` is a DDL list. The function gets
+    texts of about ``piece_chars`` characters at once.
     """
     added = T.StructType.fromDDL(fields)
-    clash = set(added.names)
-    kept = [name for name in keep if name not in clash]
+    clash = {name.lower() for name in added.names}
+    kept = [name for name in keep if name.lower() not in clash]
     source = df.select(*kept, *([] if text_col in kept else [text_col]))
     schema = T.StructType([source.schema[name] for name in kept] + list(added))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = None
         for batch in batches:
-            for piece, texts in pieces(batch, text_col):
+            for piece, texts in pieces(batch, text_col, piece_chars):
                 function = function or make()
                 columns = [piece.column(piece.schema.get_field_index(name)) for name in kept]
                 yield pa.RecordBatch.from_arrays(columns + list(function(texts)), names=schema.names)

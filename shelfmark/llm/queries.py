@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, credentials, decontamination, licenses, ngram_join, quality_model, quality_rules, repeats, token_counts, toxicity
+from shelfmark.llm import (bpe, credentials, decontamination, impact_search, licenses, ngram_join, periodic_runs, quality_model, quality_rules,
+                           ranked_search, repeats, token_counts, toxicity)
 from shelfmark.llm.sampling import fold, labelled_sample
 from shelfmark.llm.statements import STATEMENTS  # noqa: F401
 from shelfmark.session import cut_lineage
@@ -83,6 +84,26 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.overlaps(documents(spark, folder), table(spark, folder, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.with_planted_period(documents(spark, folder)), keep=["doc_id"])
+    best = periodic_runs.strongest("runs")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(periodic_runs.written("runs").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    ).select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+             F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_impact_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = impact_search.scaled(table(spark, folder, "embeddings"), 256)
+    return impact_search.top_k(vectors, vectors.where("id % 50 = 0"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,4 +112,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_counts, op2_ngram_join, op3_license_scan, op4_quality_model, op5_secret_scan, op6_toxicity, op7_repeats, op8_bpe, op9_quality_rules,
-    op10_decontamination, pipeline)}
+    op10_decontamination, op11_periodic_runs, op12_impact_search, op13_ranked_search, pipeline)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from shelfmark.llm import licenses, quality_rules
+from shelfmark.llm import licenses, quality_rules, ranked_search
 from shelfmark.llm.common import SPACE, WORD
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
@@ -86,4 +86,38 @@ judged AS (
 SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM judged
 """
 
-STATEMENTS = {"op2_ngram_join": NGRAM_JOIN, "op3_license_scan": LICENSE_SCAN, "op9_quality_rules": QUALITY_RULES}
+IMPACT_SEARCH = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, q.v AS qv, c.vec_id,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id OR q.v <> c.v WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+_TERMS = f"regexp_extract_all({_LOWER}, '[^{ranked_search.SEPARATORS}]+')"
+
+RANKED_SEARCH = f"""
+WITH split AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+docs AS (SELECT row_number() OVER () AS k, doc_id, t, len(t) AS n FROM split WHERE len(t) > 0),
+stats AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+items AS (SELECT row_number() OVER () AS i, item_id, list_distinct({_TERMS}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT i, item_id, unnest(t) AS term FROM items),
+postings AS (
+  SELECT k, doc_id, n, term, count(*) AS tf FROM (SELECT k, doc_id, n, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+held AS (SELECT term, count(*) AS df FROM postings GROUP BY term),
+scored AS (
+  SELECT i, item_id, k, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+      * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN postings USING (term) CROSS JOIN stats
+  WHERE doc_id IS NOT NULL GROUP BY i, item_id, k, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+STATEMENTS = {"op12_impact_search": IMPACT_SEARCH, "op13_ranked_search": RANKED_SEARCH,
+              "op2_ngram_join": NGRAM_JOIN, "op3_license_scan": LICENSE_SCAN, "op9_quality_rules": QUALITY_RULES}
