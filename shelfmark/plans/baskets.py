@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from shelfmark.functions import numbers
 from shelfmark.operators.pairing import item_pairs
+from shelfmark.operators.partners import top_partners
 from shelfmark.session import cut_lineage
 
 # Thresholds of a strong association and weights of the score.
@@ -143,17 +144,9 @@ def basket_summary(rules: DataFrame) -> DataFrame:
     )
 
 
-def cross_sell(pairs: DataFrame, top: int = 3) -> DataFrame:
-    """The most frequent partners of each item, best first.
-
-    ``row_number() <= top`` is applied before the shuffle as well, so an item
-    with very many partners sends only ``top`` rows per task.
-    """
-    forward = pairs.select(F.col("item_a").alias("item"), F.col("item_b").alias("partner"), "transactions_with_both")
-    backward = pairs.select(F.col("item_b").alias("item"), F.col("item_a").alias("partner"), "transactions_with_both")
-    best = Window.partitionBy("item").orderBy(F.col("transactions_with_both").desc(), F.col("partner").asc())
-    ranked = forward.unionByName(backward).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+def cross_sell(held: DataFrame, top: int = 3) -> DataFrame:
+    """The items that share most orders with each item, best first."""
     listed = F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "partner"))), lambda entry: entry["partner"].cast("string")
     )
-    return ranked.groupBy("item").agg(listed.alias("top_cross_sell_products"))
+    return top_partners(held, top).groupBy("item").agg(listed.alias("top_cross_sell_products"))

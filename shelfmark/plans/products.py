@@ -10,7 +10,7 @@ from shelfmark.functions import ladders, numbers
 from shelfmark.operators.firsts import top_value
 from shelfmark.operators.lines import by_order_and_product
 from shelfmark.operators.ranking import with_dense_rank, with_dense_ranks, with_row_number
-from shelfmark.plans.baskets import baskets, cross_sell, pair_counts
+from shelfmark.plans.baskets import baskets, cross_sell
 from shelfmark.session import cut_lineage
 
 # Category rank of a high performer, days compared for velocity.
@@ -218,7 +218,7 @@ def product_performance(
     ranked = with_row_number(
         with_market_share(with_ranks(metrics), txns), [F.col("gross_revenue").desc(), F.col("product_id").asc()], "product_key"
     )
-    partners = cross_sell(pair_counts(baskets(items, txns))).withColumnRenamed("item", "product_id")
+    partners = cross_sell(baskets(items, txns)).withColumnRenamed("item", "product_id")
     result = ranked
     for part in (return_reasons(items), stock_position(inventory, metrics), price_elasticity(sold), partners):
         result = result.join(part, "product_id", "left")

@@ -88,7 +88,7 @@ def price_elasticity(spark, folder):
 
 def cross_sell_top3(spark, folder):
     held = baskets.baskets(shapes.transaction_items(spark, folder), shapes.transactions(spark, folder))
-    top = baskets.cross_sell(baskets.pair_counts(held))
+    top = baskets.cross_sell(held)
     return top.select("item", F.array_join("top_cross_sell_products", ",").alias("partners"))
 
 
