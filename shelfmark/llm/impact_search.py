@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import map_arrow
 from shelfmark.session import cut_lineage
 
-STEP = 8  # values of one quantised level
-BLOCK_ROWS = 4096  # vectors of a block, on average; twice as many at most
-PACK_ROWS = 256  # queries of a pack, on average; twice as many at most
+STEP = 4  # values of one quantised level
+BLOCK_ROWS = 16384  # vectors of a block, on average; twice as many at most
+PACK_ROWS = 128  # queries of a pack, on average; twice as many at most
 # After so large a part of the postings the bounds are looked at; between two looks, segments are processed in order.
-LOOKS = (0.5, 0.7, 0.8, 0.9, 0.95, 1.0)
+LOOKS = (0.55, 0.65, 0.75, 0.9, 1.0)
 MOST_TASKS = 20_000  # of the join of packs with blocks; beyond it a task gets several pairs
-FEW = 64  # so few possible members are scored at once instead of reading on
+FEW = 8  # once no more than one row in so many is a possible member, all of these are scored instead of reading on
 
 PACK = "part int, base int, dims int, ids binary, components binary"
 
@@ -111,10 +111,11 @@ class Block:
         self.first = np.searchsorted(self.dim, np.arange(dims))  # of each component's segments
         self.segments = np.bincount(self.dim, minlength=dims)
         self.low, self.high = (values[:, 0], values[:, -1]) if n else (np.zeros(dims, np.int64),) * 2
-        # Quantised value of each posting: the bound of its segment, for queries of either sign.
+        # Quantised value of each posting: the bound of its segment, for queries of either sign, above the bits that count components.
+        self.shift = max(1, dims.bit_length())
         counts = self.end - self.begin
-        self.above = np.repeat(self.most, counts).reshape(dims, n)
-        self.below = np.repeat(self.least, counts).reshape(dims, n)
+        self.above = np.repeat(self.most << self.shift, counts).reshape(dims, n)
+        self.below = np.repeat(self.least << self.shift, counts).reshape(dims, n)
 
     def top(self, query: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and exact scores of the k best, smaller ids first among equals; ``own`` rows take no part."""
@@ -128,7 +129,8 @@ class Block:
         order = order[sign[order] != 0]
         read = np.cumsum((self.end - self.begin)[order])
         greatest = np.where(query > 0, query * self.high, query * self.low) - floor
-        base, shift = int(floor[used].sum()), max(1, dims.bit_length())
+        base, shift = int(floor[used].sum()), self.shift
+        factors, offsets = query.tolist(), (1 - (floor << shift)).tolist()
         seen = np.zeros(n, np.int64)  # impact so far, and in the lowest bits the number of components read
         done = np.zeros(dims, np.int64)  # segments read of each component
         scores = np.full(n, np.iinfo(np.int64).min)
@@ -144,25 +146,29 @@ class Block:
         for look in LOOKS:
             upto = int(np.searchsorted(read, look * read[-1], side="left")) + 1 if len(order) else 0
             now = np.bincount(self.dim[order[:upto]], minlength=dims)
-            for d in np.flatnonzero(now > done):
-                first, q = self.first[d], query[d]
-                if q > 0:
-                    stop = first + self.segments[d] - done[d] - 1
-                    a, b, bound = self.begin[first + self.segments[d] - now[d]], self.end[stop], self.above[d]
-                else:
-                    a, b, bound = self.begin[first + done[d]], self.end[first + now[d] - 1], self.below[d]
-                seen[self.rows[d, a:b]] += ((q * bound[a:b] - floor[d]) << shift) + 1
+            # A component is read from its end of the greater products: the last segments for a positive factor, else the first.
+            segment = self.first + np.where(query > 0, self.segments - now, done)
+            begins = self.begin[np.minimum(segment, len(self.begin) - 1)].tolist()
+            ends = self.end[np.minimum(segment + now - done, len(self.end)) - 1].tolist()
+            for d in np.flatnonzero(now > done).tolist():
+                a, b, q = begins[d], ends[d], factors[d]
+                given = (self.above if q > 0 else self.below)[d, a:b] * q
+                given += offsets[d]
+                given += seen.take(self.rows[d, a:b])
+                seen[self.rows[d, a:b]] = given
             done = now
             ahead = int(impact[order[upto]]) if upto < len(order) else 0
             started = done > 0
             unread = int(greatest[used][~started[used]].sum())
-            bounds = (seen >> shift) + (int(started.sum()) - (seen & ((1 << shift) - 1))) * ahead + unread + base
+            # The component bits, times what is ahead, come off; each started component not read adds it.
+            bounds = (seen >> shift) - (seen & ((1 << shift) - 1)) * ahead
+            bounds += int(started.sum()) * ahead + unread + base
             if n > 2 * k:
                 score(np.argpartition(seen, n - 2 * k)[n - 2 * k:])
                 best = scores[scores > np.iinfo(np.int64).min]
                 least = np.partition(best, len(best) - k)[len(best) - k] if len(best) >= k else None
             possible = np.flatnonzero((bounds >= least) & ~scored) if least is not None else np.flatnonzero(~scored)
-            if len(possible) <= FEW or upto >= len(order):
+            if len(possible) * FEW <= n or upto >= len(order):
                 score(possible)
                 break
         scored[own] = False
