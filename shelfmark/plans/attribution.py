@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfmark.functions import numbers
-from shelfmark.operators.pairing import GRID, hot_groups, on_grid
+from shelfmark.operators import journeys as journeys_of
 from shelfmark.operators.ranking import with_row_number
 
 # Look-back in days, half-life of the decay in days, position and
@@ -48,8 +48,12 @@ def union_touchpoints(txns: DataFrame, interactions: DataFrame) -> DataFrame:
 
 def touch_sequence(touches: DataFrame) -> DataFrame:
     """Running number of the touch within its customer, exact and without one task per customer."""
-    order = [F.col("touch_timestamp").asc(), _is_purchase().asc(), F.col("touch_id").asc()]
-    return with_row_number(touches, order, "touchpoint_seq", ["customer_id"])
+    return with_row_number(touches, _in_order(), "touchpoint_seq", ["customer_id"])
+
+
+def _in_order() -> list[Column]:
+    """The order of a journey: purchases come after other touches of the same moment."""
+    return [F.col("touch_timestamp").asc(), _is_purchase().asc(), F.col("touch_id").asc()]
 
 
 def _is_purchase() -> Column:
@@ -78,36 +82,38 @@ def _own_block(day: str) -> Column:
     return F.floor(F.col(day) / (LOOKBACK_DAYS + 1))
 
 
-def journey_touches(touches: DataFrame, limit: int = 4096) -> DataFrame:
-    """Purchase by touch rows of every journey.
+def journey_index(touches: DataFrame) -> DataFrame:
+    """Touches numbered within their customer, in the order of a journey; touches without a customer or a moment belong to none."""
+    return journeys_of.numbered(touches, _in_order(), "touch_timestamp")
 
-    An equality join on (customer, 31-day block) instead of customer alone; groups
-    with more than ``limit`` touches are cut into a grid.
-    """
-    keys = ["customer_id", "_block"]
-    seen = touches.withColumn("touch_day", _day_number("touch_timestamp")).withColumn("_block", _both_blocks("touch_day"))
-    bought = _purchases(touches).withColumn("_block", _own_block("bought_day"))
-    hot = hot_groups(seen, keys, limit)
-    left = on_grid(bought, keys, hot, "transaction_id", GRID[0])
-    right = on_grid(seen, keys, hot, "touch_id", GRID[1])
-    right = right.select(*keys, *GRID, "touch_id", "touch_timestamp", "touch_day", "channel", "campaign_id", "event_type")
-    age = F.col("bought_day") - F.col("touch_day")
-    met = left.join(right, [*keys, *GRID]).filter((F.col("touch_timestamp") <= F.col("bought_at")) & (age <= LOOKBACK_DAYS))
-    return met.withColumn("days_before", age).drop(*GRID, "_block", "touch_day", "bought_day")
-
-
-def journey_arrays(touches: DataFrame) -> DataFrame:
-    """The ordered touch list per purchase."""
-    step = F.struct(
-        F.col("touch_timestamp").alias("timestamp"), _is_purchase().alias("last"), F.col("touch_id").alias("id"),
-        "channel", "campaign_id", "event_type",
+
+def journey_ranges(index: DataFrame) -> DataFrame:
+    """Per purchase the first and last number of its journey in the index."""
+    found = journeys_of.ranges(index, F.col("event_type") == "purchase", "touch_timestamp", LOOKBACK_DAYS)
+    return found.select(
+        "customer_id", F.col("touch_id").alias("transaction_id"), F.col("touch_timestamp").alias("bought_at"),
+        F.col("revenue").alias("transaction_revenue"), "first", "last",
     )
-    listed = journey_touches(touches).groupBy("transaction_id").agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    public = F.transform("steps", lambda s: F.struct(
-        s["channel"].alias("channel"), s["timestamp"].alias("timestamp"), s["campaign_id"].alias("campaign_id"),
-        s["event_type"].alias("event_type"),
-    ))
-    return listed.select("transaction_id", public.alias("journey_touchpoints"))
+
+
+def journey_touches(touches: DataFrame, size: int = journeys_of.PIECE) -> DataFrame:
+    """Purchase by touch rows of every journey, taken out of the index by their numbers."""
+    index = journey_index(touches)
+    step = F.struct("touch_id", "touch_timestamp", "channel", "campaign_id", "event_type")
+    found = journeys_of.cuts(journey_ranges(index), journeys_of.pieces(index, step, size=size), size)
+    single = found.withColumn("_step", F.explode("steps")).select(
+        "customer_id", "transaction_id", "bought_at", "transaction_revenue", "_step.*")
+    return single.withColumn("days_before", _day_number("bought_at") - _day_number("touch_timestamp"))
+
+
+def journey_arrays(touches: DataFrame, size: int = journeys_of.PIECE) -> DataFrame:
+    """The ordered touch list per purchase: the parts of the pieces that its range covers, one after the other."""
+    index = journey_index(touches)
+    step = F.struct(F.col("channel"), F.col("touch_timestamp").alias("timestamp"), F.col("campaign_id"), F.col("event_type"))
+    parts = journeys_of.cuts(journey_ranges(index), journeys_of.pieces(index, step, size=size), size)
+    listed = parts.groupBy("transaction_id").agg(F.collect_list(F.struct("_piece", "steps")).alias("_parts"))
+    ordered = F.array_sort("_parts", lambda x, y: (x["_piece"] - y["_piece"]).cast("int"))
+    return listed.select("transaction_id", F.flatten(F.transform(ordered, lambda p: p["steps"])).alias("journey_touchpoints"))
 
 
 def channel_counts(touches: DataFrame) -> DataFrame:

@@ -173,10 +173,10 @@ def brute_journeys(rows):
     return found
 
 
-@pytest.mark.parametrize("limit", [5, 4096])
-def test_journey_touches(spark, limit):
+@pytest.mark.parametrize("size", [5, 512])
+def test_journey_touches(spark, size):
     rows = random_touches()
-    got = Counter((r.transaction_id, r.touch_id) for r in attribution.journey_touches(spark.createDataFrame(rows, TOUCH), limit).collect())
+    got = Counter((r.transaction_id, r.touch_id) for r in attribution.journey_touches(spark.createDataFrame(rows, TOUCH), size).collect())
     assert got == Counter((p, t[1]) for p, steps in brute_journeys(rows).items() for t in steps)
 
 
@@ -203,9 +203,10 @@ def test_credits_add_up_to_revenue(spark, model):
     assert dict(summed) == revenue
 
 
-def test_journey_arrays_are_ordered(spark):
+@pytest.mark.parametrize("size", [3, 512])
+def test_journey_arrays_are_ordered(spark, size):
     rows = random_touches(200, seed=9)
-    for r in attribution.journey_arrays(spark.createDataFrame(rows, TOUCH)).collect():
+    for r in attribution.journey_arrays(spark.createDataFrame(rows, TOUCH), size).collect():
         steps = brute_journeys(rows)[r.transaction_id]
         assert [(s.timestamp, s.channel, s.event_type) for s in r.journey_touchpoints] == [(t[2], t[3], t[5]) for t in steps]
 
