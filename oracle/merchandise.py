@@ -135,10 +135,14 @@ USING (period_date, {LEVELS})"""
 
 MONTHLY = category_base("month")
 
-SHARES = f"""SELECT *, {P("total_revenue", "SUM(total_revenue) OVER (PARTITION BY period_date, category_level1)")}
+def shares(unit: str) -> str:
+    return f"""SELECT *, {P("total_revenue", "SUM(total_revenue) OVER (PARTITION BY period_date, category_level1)")}
   AS category_revenue_percentage,
   {P("total_revenue", "SUM(total_revenue) OVER (PARTITION BY period_date, category_level1, brand)")}
-  AS brand_revenue_percentage FROM ({MONTHLY})"""
+  AS brand_revenue_percentage FROM ({category_base(unit)})"""
+
+
+SHARES = shares("month")
 
 
 def before(back: str, alias: str) -> str:
@@ -146,50 +150,72 @@ def before(back: str, alias: str) -> str:
     return f"LEFT JOIN b {alias} ON {same} AND {alias}.period_date = CAST(b.period_date - INTERVAL {back} AS DATE)"
 
 
-GROWTH = f"""
-WITH b AS ({SHARES})
-SELECT b.*, {G("b.total_revenue", "m.total_revenue")} AS revenue_growth_mom,
-  {G("b.total_revenue", "y.total_revenue")} AS revenue_growth_yoy,
-  {G("b.total_units_sold", "y.total_units_sold")} AS units_growth_yoy
-FROM b {before("1 MONTH", "m")} {before("12 MONTH", "y")}"""
+NO_GROWTH = "CAST(NULL AS DOUBLE)"
+
+
+def growth(unit: str) -> str:
+    week, month = unit == "week", unit == "month"
+    joins = before("7 DAY", "w") if week else before("1 MONTH", "m") + " " + before("12 MONTH", "y") if month else ""
+    return f"""
+WITH b AS ({shares(unit)})
+SELECT b.*, {G("b.total_revenue", "w.total_revenue") if week else NO_GROWTH} AS revenue_growth_wow,
+  {G("b.total_revenue", "m.total_revenue") if month else NO_GROWTH} AS revenue_growth_mom,
+  {G("b.total_revenue", "y.total_revenue") if month else NO_GROWTH} AS revenue_growth_yoy,
+  {G("b.total_units_sold", "y.total_units_sold") if month else NO_GROWTH} AS units_growth_yoy
+FROM b {joins}"""
+
 
-PERIOD = """SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS period_date, COUNT(DISTINCT customer_id) AS pc
-FROM txn GROUP BY 1"""
+GROWTH = growth("month")
 
 PRICE_INDEX = P("avg_price_point", """(CAST(SUM(CAST(avg_price_point AS DECIMAL(20,6))) OVER (PARTITION BY category_level1) AS DOUBLE)
   / COUNT(avg_price_point) OVER (PARTITION BY category_level1))""")
 
-FULL = f"""
+
+def full(unit: str) -> str:
+    return f"""
 SELECT g.*, {P("unique_customers", "pc")} AS customer_penetration_rate,
   {P("new_customers", "unique_customers")} AS new_customer_percentage,
   {P("repeat_customers", "unique_customers")} AS repeat_customer_rate, {PRICE_INDEX} AS price_index,
   dense_rank() OVER (PARTITION BY category_level1, period_date ORDER BY total_revenue DESC NULLS LAST) AS revenue_rank_in_category,
   dense_rank() OVER (PARTITION BY category_level1, period_date ORDER BY total_units_sold DESC NULLS LAST) AS units_rank_in_category,
   dense_rank() OVER (PARTITION BY category_level1, period_date ORDER BY revenue_growth_yoy DESC NULLS LAST) AS growth_rank_in_category
-FROM ({GROWTH}) g LEFT JOIN ({PERIOD}) USING (period_date)"""
+FROM ({growth(unit)}) g
+LEFT JOIN (SELECT CAST(date_trunc('{unit}', transaction_date) AS DATE) AS period_date, COUNT(DISTINCT customer_id) AS pc FROM txn GROUP BY 1)
+  USING (period_date)"""
 
-GOLD_CATEGORY = f"""
-SELECT {AS_OF} AS analysis_date, 'monthly' AS time_period, period_date, {LEVELS}, total_revenue, total_units_sold,
+
+FULL = full("month")
+
+UNITS = {"daily": "day", "weekly": "week", "monthly": "month", "quarterly": "quarter", "yearly": "year"}
+
+
+def gold_category(name: str) -> str:
+    stored = {"revenue_growth_wow": "weekly", "revenue_growth_mom": "monthly", "revenue_growth_yoy": "monthly", "units_growth_yoy": "monthly"}
+    grown = [D(f"COALESCE({n}, 0)", 12, 2) if grain == name else "CAST(NULL AS DECIMAL(12,2))" for n, grain in stored.items()]
+    return f"""
+SELECT {AS_OF} AS analysis_date, '{name}' AS time_period, period_date, {LEVELS}, total_revenue, total_units_sold,
   total_transactions, unique_customers, {d2(10, "avg_transaction_value", "avg_price_point")},
   {d2(12, "avg_units_per_transaction", "profit_margin_percentage", "price_index")}, total_profit,
   {d2(5, "category_revenue_percentage", "brand_revenue_percentage", "customer_penetration_rate", "new_customer_percentage",
     "repeat_customer_rate", "avg_discount_percentage", "promotional_sales_percentage")},
-  {nulls("DECIMAL(12,2)", "revenue_growth_wow")},
-  {", ".join(f"{D(f'COALESCE({n}, 0)', 12, 2)} AS {n}" for n in ("revenue_growth_mom", "revenue_growth_yoy", "units_growth_yoy"))},
-  revenue_rank_in_category, units_rank_in_category, growth_rank_in_category FROM ({FULL})"""
+  {", ".join(f"{value} AS {n}" for n, value in zip(stored, grown))},
+  revenue_rank_in_category, units_rank_in_category, growth_rank_in_category FROM ({full(UNITS[name])})"""
+
+
+GOLD_CATEGORY = " UNION ALL ".join(gold_category(name) for name in UNITS)
 
 CKEYS = f"period_date, {LEVELS}"
 
 
 def periods() -> str:
     parts = []
-    for name, unit in (("weekly", "week"), ("monthly", "month"), ("quarterly", "quarter"), ("yearly", "year")):
+    for name, unit in UNITS.items():
         growth = G("b.total_revenue", "w.total_revenue") if name == "weekly" else "CAST(NULL AS DOUBLE)"
         join = before("7 DAY", "w") if name == "weekly" else ""
         parts.append(f"""SELECT '{name}' AS time_period, b.period_date, {", ".join("b." + c for c in LEVELS.split(", "))},
   b.total_revenue, b.total_units_sold, b.total_transactions, b.unique_customers, {growth} AS revenue_growth_wow
 FROM b_{unit} b {join.replace("LEFT JOIN b ", f"LEFT JOIN b_{unit} ")}""")
-    ctes = ", ".join(f"b_{unit} AS ({category_base(unit)})" for unit in ("week", "month", "quarter", "year"))
+    ctes = ", ".join(f"b_{unit} AS ({category_base(unit)})" for unit in UNITS.values())
     return f"WITH {ctes} " + " UNION ALL ".join(parts)
 
 

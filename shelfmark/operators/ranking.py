@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from shelfmark.session import cut_lineage
 
 
-def _in_slices(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
+def in_slices(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """Sorted slices with the slice number and the position in the slice, fixed on disk.
 
     The slice borders come from sampling, so they are written out once: every
@@ -48,7 +48,7 @@ def with_row_number(
     many rows more than there are partitions, and is broadcast.
     """
     group = group or []
-    placed = _in_slices(df, group, order)
+    placed = in_slices(df, group, order)
     slices = placed.groupBy("_slice", *group).agg(F.min("_place").alias("_from"), F.count(F.lit(1)).alias("_rows"))
     # One row per slice and group, so this window is never longer than the number of partitions.
     of_group = Window.partitionBy(*group)
@@ -130,20 +130,25 @@ def with_dense_rank(df: DataFrame, value: str, name: str, group: list[str]) -> D
     return df.join(ranks, same, "left").drop(*[f"_r_{c}" for c in [*group, value]])
 
 
-def with_dense_ranks(df: DataFrame, key: str, ranks: dict[str, tuple[str, str | None]]) -> DataFrame:
+def with_dense_ranks(
+    df: DataFrame, key: str | list[str], ranks: dict[str, tuple[str, str | list[str] | None]]
+) -> DataFrame:
     """Several descending dense ranks in one sort, otherwise as ``with_dense_rank``.
 
-    ``ranks`` maps a new column to (value column, group column or None); ``key`` is
-    unique.
+    ``ranks`` maps a new column to (value column, group column or columns or None); ``key``,
+    one column or several, is unique and not null.
     """
+    keys = [key] if isinstance(key, str) else key
+
+    def grouped(group: str | list[str] | None) -> Column:
+        named = [group] if isinstance(group, str) else group
+        return F.to_json(F.struct(*named)) if named else F.lit(None).cast("string")
+
     entries = F.array(*[
-        F.struct(
-            F.lit(name).alias("_rank"), (F.col(group) if group else F.lit(None)).cast("string").alias("_group"),
-            F.col(value).cast("decimal(38,6)").alias("_value"),
-        )
+        F.struct(F.lit(name).alias("_rank"), grouped(group).alias("_group"), F.col(value).cast("decimal(38,6)").alias("_value"))
         for name, (value, group) in ranks.items()
     ])
-    stacked = df.select(key, F.explode(entries).alias("_e")).select(key, "_e.*")
+    stacked = df.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.*")
     groups = ["_rank", "_group"]
     distinct = stacked.select(*groups, "_value").distinct()
     numbered = with_row_number(distinct, [F.col("_value").desc_nulls_last()], "_rn", groups)
@@ -151,10 +156,10 @@ def with_dense_ranks(df: DataFrame, key: str, ranks: dict[str, tuple[str, str |
     same = F.lit(True)
     for c in [*groups, "_value"]:
         same = same & F.col(c).eqNullSafe(F.col(f"_n{c}"))
-    found = stacked.join(numbered, same, "left").groupBy(key).agg(
+    found = stacked.join(numbered, same, "left").groupBy(*keys).agg(
         *[F.max(F.when(F.col("_rank") == name, F.col("_rn"))).cast("int").alias(name) for name in ranks]
     )
-    return df.join(found, key, "left")
+    return df.join(found, keys, "left")
 
 
 def with_neighbour(
@@ -165,7 +170,7 @@ def with_neighbour(
     Inside a slice the neighbour is the adjacent row; across a slice border it is
     the last (first) row of the same group in the nearest earlier (later) slice.
     """
-    placed = _in_slices(df, group, order)
+    placed = in_slices(df, group, order)
     near = Window.partitionBy("_slice", *group).orderBy("_place")
     step = F.lead if following else F.lag
     packed = F.struct(*[F.col(source).alias(new) for source, new in columns.items()])

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from shelfmark.functions import numbers
 from shelfmark.operators import journeys as journeys_of
 from shelfmark.operators.ranking import with_row_number
+from shelfmark.operators.totals import with_running_sums
 
 # Look-back in days, half-life of the decay in days, position and
 # first/last weights.
@@ -155,14 +156,13 @@ def channel_counts(touches: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("transaction_id"), F.lit(None).cast(daily.schema["first"].dataType).alias("first"),
         F.lit(1).alias("one"),
     )
-    # Range frame: touches at the very moment of the purchase count as well.
-    up_to_now = Window.partitionBy("customer_id", "day", "channel").orderBy("ts").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
+    # Purchases ask behind the touches of their very moment, so these count as well.
+    running = with_running_sums(
+        asked.unionByName(told), ["customer_id", "day", "channel"], [F.col("ts").asc(), F.col("one").desc(), F.col("transaction_id").asc_nulls_first()],
+        {"n": F.col("one")},
     )
-    on_the_day = (
-        asked.unionByName(told).withColumn("n", F.sum("one").over(up_to_now))
-        .filter("transaction_id is not null and n > 0")
-        .select("transaction_id", "channel", "n", F.col("n").cast("double").alias("w"), "first")
+    on_the_day = running.filter("transaction_id is not null and n > 0").select(
+        "transaction_id", "channel", "n", F.col("n").cast("double").alias("w"), "first"
     )
     return on_earlier_days.unionByName(on_the_day).groupBy("transaction_id", "channel").agg(
         F.sum("n").alias("touches"), F.round(F.sum("w"), 9).alias("weight"), F.min("first").alias("first")

@@ -8,13 +8,17 @@ from pyspark.sql.window import Window
 
 from shelfmark.functions import numbers
 from shelfmark.functions.calendar import month_number
+from shelfmark.operators import idsets
 from shelfmark.operators.lines import by_order_and_product
+from shelfmark.operators.ranking import with_dense_ranks
+from shelfmark.operators.totals import with_group_totals
 from shelfmark.plans.products import UNKNOWN
+from shelfmark.session import cut_lineage
 
 LEVELS = ["category_level1", "category_level2", "category_level3", "brand"]
 
 # Period names and the calendar unit each one starts on.
-GRAINS = {"weekly": "week", "monthly": "month", "quarterly": "quarter", "yearly": "year"}
+GRAINS = {"daily": "day", "weekly": "week", "monthly": "month", "quarterly": "quarter", "yearly": "year"}
 
 
 def order_groups(items: DataFrame, products: DataFrame, txns: DataFrame) -> DataFrame:
@@ -53,21 +57,32 @@ def in_periods(groups: DataFrame, grains: list[str]) -> DataFrame:
 
 
 def base(groups: DataFrame, grains: list[str] | None = None) -> DataFrame:
-    """Sales per period and (category, brand), counted through customers first."""
+    """Sales per period and (category, brand), every grain from one aggregate of days.
+
+    Days are summed first, with their customers as sets that can be united: words of 64 customers
+    each. Days then go to their periods, where sums are added and sets united word by word; so
+    customers are counted exactly at every grain, and no task gets all of a group's customers.
+    """
     keys = ["time_period", "period_date", *LEVELS]
     sums = ["revenue", "promoted", "units", "profit", "net_revenue", "price_sum", "discount_sum", "lines", "total_amount"]
-    per_customer = in_periods(groups, grains or ["monthly"]).groupBy(*keys, "customer_id").agg(
+    marked = idsets.with_word(groups, "customer_id")
+    first = F.col("is_first_purchase")
+    daily = marked.groupBy("transaction_date", *LEVELS, idsets.WORD).agg(
         *[F.sum(name).alias(name) for name in sums],
         F.count(F.lit(1)).alias("orders"),
-        F.max("is_first_purchase").alias("bought_first"),
-        F.max(~F.col("is_first_purchase")).alias("bought_again"),
+        idsets.collected(F.lit(True)).alias("buyers"),
+        idsets.collected(first).alias("new_buyers"),
+        idsets.collected(~first).alias("old_buyers"),
     )
-    total = per_customer.groupBy(*keys).agg(
-        *[F.sum(name).alias(name) for name in sums],
-        F.sum("orders").alias("orders"),
-        F.count("customer_id").alias("unique_customers"),
-        F.count_if("bought_first").alias("new_customers"),
-        F.count_if("bought_again").alias("repeat_customers"),
+    sets = ["buyers", "new_buyers", "old_buyers"]
+    per_word = in_periods(daily, grains or ["monthly"]).groupBy(*keys, idsets.WORD).agg(
+        *[F.sum(name).alias(name) for name in [*sums, "orders"]], *[F.bit_or(name).alias(name) for name in sets]
+    )
+    total = per_word.groupBy(*keys).agg(
+        *[F.sum(name).alias(name) for name in [*sums, "orders"]],
+        idsets.counted("buyers").alias("unique_customers"),
+        idsets.counted("new_buyers").alias("new_customers"),
+        idsets.counted("old_buyers").alias("repeat_customers"),
     )
     amount = lambda name: numbers.from_cents(F.col(name))
     return total.select(
@@ -86,51 +101,48 @@ def base(groups: DataFrame, grains: list[str] | None = None) -> DataFrame:
     )
 
 
-# The windows below run over aggregated rows. A partition holds at most the
-# (category, brand) combinations of the catalog, or the periods of the calendar.
-
 def with_shares(rows: DataFrame) -> DataFrame:
     """Share of the category's and of the brand's revenue in the period."""
-    category = Window.partitionBy("time_period", "period_date", "category_level1")
-    brand = Window.partitionBy("time_period", "period_date", "category_level1", "brand")
+    category = ["time_period", "period_date", "category_level1"]
     revenue = F.col("total_revenue")
-    return rows.withColumns(
+    whole = with_group_totals(rows, category, {"_category": F.sum(revenue)})
+    both = with_group_totals(whole, [*category, "brand"], {"_brand": F.sum(revenue)})
+    return both.withColumns(
         {
-            "category_revenue_percentage": numbers.percent(revenue, F.sum(revenue).over(category)),
-            "brand_revenue_percentage": numbers.percent(revenue, F.sum(revenue).over(brand)),
+            "category_revenue_percentage": numbers.percent(revenue, F.col("_category")),
+            "brand_revenue_percentage": numbers.percent(revenue, F.col("_brand")),
         }
-    )
-
-
-def _history(scale: str) -> Window:
-    return Window.partitionBy("time_period", *LEVELS).orderBy(scale)
+    ).drop("_category", "_brand")
 
 
 def with_growth(rows: DataFrame) -> DataFrame:
-    """Growth against the previous week, the previous month and the same month a year ago, by calendar."""
+    """Growth against the previous week, the previous month and the same month a year ago, by calendar.
+
+    Months and weeks are numbered, so that one order serves all; a window holds the periods of the calendar.
+    """
     monthly, weekly = F.col("time_period") == "monthly", F.col("time_period") == "weekly"
-    scaled = rows.withColumns(
-        {
-            "_month": month_number(F.col("period_date")),
-            "_day": F.date_diff(F.col("period_date"), F.lit("1970-01-01").cast("date")),
-        }
-    )
-    before = lambda name, scale, back: F.max(name).over(_history(scale).rangeBetween(-back, -back))
+    days = F.date_diff(F.col("period_date"), F.lit("1970-01-05").cast("date"))
+    numbered = rows.withColumn("_number", F.when(weekly, F.floor(days / 7)).otherwise(month_number(F.col("period_date"))).cast("int"))
+    history = Window.partitionBy("time_period", *LEVELS).orderBy("_number")
+    before = lambda name, back: F.max(name).over(history.rangeBetween(-back, -back))
     revenue, units = F.col("total_revenue"), F.col("total_units_sold")
-    return scaled.withColumns(
+    one, twelve = numbers.growth(revenue, before("total_revenue", 1)), numbers.growth(revenue, before("total_revenue", 12))
+    return numbered.withColumns(
         {
-            "revenue_growth_wow": F.when(weekly, numbers.growth(revenue, before("total_revenue", "_day", 7))),
-            "revenue_growth_mom": F.when(monthly, numbers.growth(revenue, before("total_revenue", "_month", 1))),
-            "revenue_growth_yoy": F.when(monthly, numbers.growth(revenue, before("total_revenue", "_month", 12))),
-            "units_growth_yoy": F.when(monthly, numbers.growth(units, before("total_units_sold", "_month", 12))),
+            "revenue_growth_wow": F.when(weekly, one),
+            "revenue_growth_mom": F.when(monthly, one),
+            "revenue_growth_yoy": F.when(monthly, twelve),
+            "units_growth_yoy": F.when(monthly, numbers.growth(units, before("total_units_sold", 12))),
         }
-    ).drop("_month", "_day")
+    ).drop("_number")
 
 
 def period_customers(txns: DataFrame, grains: list[str]) -> DataFrame:
-    """Distinct buyers per period."""
-    seen = in_periods(txns.select("customer_id", "transaction_date"), grains)
-    return seen.groupBy("time_period", "period_date").agg(F.count_distinct("customer_id").alias("period_customers"))
+    """Distinct buyers per period, from the sets of the days."""
+    seen = idsets.with_word(txns.select("customer_id", "transaction_date"), "customer_id")
+    daily = seen.groupBy("transaction_date", idsets.WORD).agg(idsets.collected(F.lit(True)).alias("buyers"))
+    united = in_periods(daily, grains).groupBy("time_period", "period_date", idsets.WORD).agg(F.bit_or("buyers").alias("buyers"))
+    return united.groupBy("time_period", "period_date").agg(idsets.counted("buyers").alias("period_customers"))
 
 
 def with_penetration(rows: DataFrame, txns: DataFrame, grains: list[str]) -> DataFrame:
@@ -149,35 +161,39 @@ def with_penetration(rows: DataFrame, txns: DataFrame, grains: list[str]) -> Dat
 def with_price_index(rows: DataFrame) -> DataFrame:
     """Price point against the mean price point of the category, 100 = mean."""
     price = F.col("avg_price_point").cast("decimal(20,6)")
-    category = Window.partitionBy("time_period", "category_level1")
-    mean = F.sum(price).over(category).cast("double") / F.count(price).over(category)
-    return rows.withColumn("price_index", numbers.percent(F.col("avg_price_point"), mean))
+    known = with_group_totals(rows, ["time_period", "category_level1"], {"_sum": F.sum(price), "_count": F.count(price)})
+    mean = F.col("_sum").cast("double") / F.col("_count")
+    return known.withColumn("price_index", numbers.percent(F.col("avg_price_point"), mean)).drop("_sum", "_count")
 
 
 def with_rankings(rows: DataFrame) -> DataFrame:
     """Dense ranks by revenue, units and yearly growth within category and period."""
-    inside = Window.partitionBy("time_period", "category_level1", "period_date")
-    rank = lambda name: F.dense_rank().over(inside.orderBy(F.col(name).desc_nulls_last()))
-    return rows.withColumns(
+    inside = ["time_period", "period_date", "category_level1"]
+    return with_dense_ranks(
+        rows, ["time_period", "period_date", *LEVELS],
         {
-            "revenue_rank_in_category": rank("total_revenue"),
-            "units_rank_in_category": rank("total_units_sold"),
-            "growth_rank_in_category": rank("revenue_growth_yoy"),
-        }
+            "revenue_rank_in_category": ("total_revenue", inside),
+            "units_rank_in_category": ("total_units_sold", inside),
+            "growth_rank_in_category": ("revenue_growth_yoy", inside),
+        },
     )
 
 
 def category_brand_performance(
     items: DataFrame, products: DataFrame, txns: DataFrame, as_of: Column, grains: list[str] | None = None
 ) -> DataFrame:
-    """One row per period, three category levels and brand."""
-    grains = grains or ["monthly"]
-    rows = with_growth(base(order_groups(items, products, txns), grains))
-    # Shares and ranks come last: they use the same (period, category) partitioning, so one shuffle serves both.
+    """One row per period of every grain, three category levels and brand.
+
+    Growth without a period to compare with is stored as 0, in the grain that has it.
+    """
+    grains = grains or list(GRAINS)
+    # Written once: shares, price means and ranks each read the rows again.
+    rows = cut_lineage(with_growth(base(order_groups(items, products, txns), grains)))
     full = with_rankings(with_shares(with_price_index(with_penetration(rows, txns, grains))))
-    zero_when_unknown = ["revenue_growth_mom", "revenue_growth_yoy", "units_growth_yoy"]
+    compared = {"revenue_growth_wow": "weekly", **dict.fromkeys(("revenue_growth_mom", "revenue_growth_yoy", "units_growth_yoy"), "monthly")}
     return full.withColumns(
-        {**{name: F.coalesce(F.col(name), F.lit(0.0)) for name in zero_when_unknown}, "analysis_date": as_of}
+        {**{name: F.when(F.col("time_period") == grain, F.coalesce(name, F.lit(0.0))) for name, grain in compared.items()},
+         "analysis_date": as_of}
     )
 
 
