@@ -74,7 +74,7 @@ SELECT * EXCLUDE (notes, interaction_timestamp),
   strftime(interaction_timestamp, '%Y-%m-%d %H:%M:%S') AS interaction_timestamp FROM talk""",
     "silver_campaigns": """
 SELECT campaign_id, campaign_name, campaign_type, channel, start_date, end_date, duration_days, budget,
-  '25-45' AS audience_age_range, 'deals,' || interest AS audience_interests, audience_segment, campaign_id AS creative_id
+  '18-99' AS audience_age_range, 'sample,' || interest AS audience_interests, audience_segment, campaign_id AS creative_id
 FROM campaign""",
     "silver_campaign_events": "SELECT * FROM cevent",
     "scd2_history": """

@@ -19,45 +19,30 @@ def null_rows(name: str, source: str, checks: dict[str, str]) -> str:
     )
 
 
-READ = r"\b(?:from|join)\s+([\w.]+)"
-CTE = r"(?:\bwith\s+|,\s*)(\w+)\s+as\s*\("
-
-SOURCES = f"""SELECT DISTINCT job, source FROM (SELECT job, q, unnest(regexp_extract_all(q, '{READ}', 1)) AS source FROM querylog)
-WHERE NOT list_contains(regexp_extract_all(q, '{CTE}', 1), source)"""
-
-TARGETS = r"""
-SELECT DISTINCT job, COALESCE(ins, cre) AS target, CASE WHEN ins IS NOT NULL THEN 'INSERT'
-  WHEN regexp_matches(q, '\bas\s+select\b') THEN 'CTAS' WHEN regexp_matches(q, 'create\s+or\s+replace\s') THEN 'REPLACE'
-  ELSE 'CREATE' END AS op,
-  CASE WHEN ins IS NULL THEN NULLIF(regexp_extract(q, 'location\s+''([^'']+)''', 1), '') END AS location
-FROM (SELECT *, NULLIF(regexp_extract(q, 'insert\s+(?:overwrite\s+table|into\s+table|into)\s+([\w.]+)', 1), '') AS ins,
-  NULLIF(regexp_extract(q, 'create\s+(?:or\s+replace\s+)?(?:external\s+)?table\s+(?:if\s+not\s+exists\s+)?([\w.]+)', 1), '') AS cre
-  FROM querylog) WHERE COALESCE(ins, cre) IS NOT NULL"""
-
-# The log's only statement form with expressions has exactly these two.
-CTES = r"""
-SELECT DISTINCT job, 'base' AS cte, regexp_extract(q, 'base as \(select \* from ([\w.]+)', 1) AS source FROM querylog
-WHERE q LIKE '%with base as%'
-UNION SELECT DISTINCT job, 'totals', unnest(['base', 'silver.calendar']) FROM querylog WHERE q LIKE '%totals as%'"""
+LOT, PACK, PART = "'lot:' || l_suppkey || '-' || l_partkey", "'pack:' || l_orderkey", "'part:' || l_partkey"
+READS = f"""SELECT {LOT} AS job, 'supplier:' || l_suppkey AS source FROM lineitem UNION SELECT {PACK}, {PART} FROM lineitem
+UNION SELECT 'bill:' || o_orderkey, 'order:' || o_orderkey FROM orders"""
+WRITES = f"""SELECT {LOT} AS job, {PART} AS target, 'SUPPLY' AS op FROM lineitem
+UNION SELECT {PACK}, 'order:' || l_orderkey, 'PACK' FROM lineitem
+UNION SELECT 'bill:' || o_orderkey, 'customer:' || o_custkey, 'BILL' FROM orders"""
+STEPS = f"""SELECT DISTINCT {PACK} AS job, 'line:' || l_orderkey || '-' || l_linenumber AS step, {PART} AS source FROM lineitem"""
 
 EDGES = f"""
-SELECT source AS src, job AS dst, 'FLOWS_TO' AS kind, job, CAST(NULL AS VARCHAR) AS op FROM ({SOURCES})
-UNION SELECT job, target, 'WRITES_TO', job, op FROM ({TARGETS})
-UNION SELECT CASE WHEN source IN ('base', 'totals') THEN job || '/' || source ELSE source END, job || '/' || cte, 'FLOWS_TO', job,
-  NULL FROM ({CTES})
-UNION SELECT job || '/' || cte, job, 'FLOWS_TO', job, NULL FROM ({CTES})"""
+SELECT source AS src, job AS dst, 'FLOWS_TO' AS kind, job, CAST(NULL AS VARCHAR) AS op FROM ({READS})
+UNION SELECT job, target, 'WRITES_TO', job, op FROM ({WRITES})
+UNION SELECT source, step, 'FLOWS_TO', job, NULL FROM ({STEPS})
+UNION SELECT step, job, 'FLOWS_TO', job, NULL FROM ({STEPS})"""
 
 
 def reach(start: str, here: str, there: str) -> str:
+    """To the fixpoint: the flow of goods has no cycles, so the recursion ends by itself."""
     return f"""
 WITH RECURSIVE e AS (SELECT DISTINCT {here} AS h, {there} AS t FROM ({EDGES})),
-r AS (SELECT t AS node, 1 AS steps FROM e WHERE h = '{start}'
-  UNION SELECT e.t, r.steps + 1 FROM r JOIN e ON r.node = e.h WHERE r.steps < 5)
+r AS (SELECT t AS node, 1 AS steps FROM e WHERE h = '{start}' UNION SELECT e.t, r.steps + 1 FROM r JOIN e ON r.node = e.h)
 SELECT node, MIN(steps) AS steps FROM r WHERE node <> '{start}' GROUP BY node"""
 
 
-MOVES = f"""SELECT DISTINCT r.src, r.job, w.dst FROM (SELECT * FROM ({EDGES}) WHERE kind = 'FLOWS_TO' AND dst = job) r
-JOIN (SELECT * FROM ({EDGES}) WHERE kind = 'WRITES_TO') w USING (job)"""
+MOVES = f"""SELECT DISTINCT r.source AS src, r.job, w.target AS dst FROM ({READS}) r JOIN ({WRITES}) w USING (job)"""
 
 TALK = f"""{MEAN("sentiment_score")} AS avg_sentiment"""
 
@@ -121,17 +106,16 @@ WHERE c_mktsegment = 'BUILDING'""",
     "group_counts": distribution("customer", "c_nationkey"),
     "topk_simple": """SELECT c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(12,2)) AS balance, c_nationkey FROM customer
 ORDER BY balance DESC, c_custkey LIMIT 5""",
-    "lineage_sources": SOURCES,
-    "lineage_targets": TARGETS,
-    "lineage_ctes": CTES,
+    "lineage_sources": READS,
+    "lineage_targets": WRITES,
+    "lineage_ctes": STEPS,
     "lineage_edges": EDGES,
-    "lineage_downstream": reach("bronze.feed_0", "src", "dst"),
-    "lineage_upstream": reach("gold.mart_0", "dst", "src"),
-    "lineage_readers": f"""SELECT DISTINCT job, 'reads' AS role FROM ({EDGES}) WHERE src = 'silver.table_1' AND dst = job
-UNION SELECT DISTINCT job, 'writes' FROM ({EDGES}) WHERE dst = 'silver.table_1' AND kind = 'WRITES_TO'""",
-    "lineage_paths": f"""SELECT a.src AS bronze, a.job AS silver_job, a.dst AS silver, b.job AS gold_job, b.dst AS gold
-FROM ({MOVES}) a JOIN ({MOVES}) b ON a.dst = b.src
-WHERE a.src LIKE 'bronze.%' AND a.dst LIKE 'silver.%' AND b.dst LIKE 'gold.%'""",
-    "lineage_hot_datasets": f"""SELECT src AS dataset, COUNT(DISTINCT job) AS job_count FROM ({EDGES})
-WHERE kind = 'FLOWS_TO' AND dst = job AND src LIKE '%.%' AND src NOT LIKE '%/%' GROUP BY 1 HAVING COUNT(DISTINCT job) > 1""",
+    "lineage_downstream": reach("supplier:1", "src", "dst"),
+    "lineage_upstream": reach("customer:1", "dst", "src"),
+    "lineage_readers": f"""SELECT job, 'reads' AS role FROM ({READS}) WHERE source = 'part:1'
+UNION SELECT job, 'writes' FROM ({WRITES}) WHERE target = 'part:1'""",
+    "lineage_paths": f"""SELECT a.src AS lower, a.job AS middle_job, a.dst AS middle, b.job AS upper_job, b.dst AS upper
+FROM ({MOVES}) a JOIN ({MOVES}) b ON a.dst = b.src WHERE a.src LIKE 'part:%' AND a.dst LIKE 'order:%' AND b.dst LIKE 'customer:%'""",
+    "lineage_hot_datasets": f"""SELECT source AS dataset, COUNT(DISTINCT job) AS job_count FROM ({READS}) GROUP BY 1
+HAVING COUNT(DISTINCT job) > 1""",
 }

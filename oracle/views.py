@@ -243,17 +243,3 @@ SELECT p.touch_id AS transaction_id, p.customer_id, p.ts AS bought_at, p.d AS bo
 FROM touch p JOIN touch t ON p.customer_id = t.customer_id AND t.ts <= p.ts AND p.d - t.d <= 30
 WHERE p.is_purchase = 1
 """
-
-VIEWS["querylog"] = """
-SELECT 'job_' || CAST(event_id % 12 AS VARCHAR) AS job, event_id AS statement_id, lower(regexp_replace(regexp_replace(
-  CASE event_id % 4
-  WHEN 0 THEN 'INSERT OVERWRITE TABLE silver.table_' || event_id % 5 || ' SELECT * FROM bronze.feed_' || event_id % 7
-    || ' -- FROM bronze.ignored' || chr(10) || ' WHERE id > 0'
-  WHEN 1 THEN 'INSERT INTO gold.mart_' || event_id % 3 || ' WITH base AS (SELECT * FROM silver.table_' || event_id % 5
-    || '), totals AS (SELECT count(*) n FROM base JOIN silver.calendar ON 1 = 1) SELECT * FROM totals /* JOIN bronze.ignored */'
-  WHEN 2 THEN 'CREATE TABLE gold.mart_' || event_id % 3 || ' USING PARQUET LOCATION ''s3a://data/mart/' || event_id % 3
-    || ''' AS SELECT * FROM silver.table_' || event_id % 5 || ' JOIN bronze.feed_' || event_id % 7 || ' USING (id)'
-  ELSE 'SELECT count(*) FROM silver.table_' || event_id % 5 END,
-  '/\\*.*?\\*/', ' ', 'gs'), '--[^\\n]*', ' ', 'g')) AS q
-FROM events
-"""

@@ -1,136 +1,75 @@
-"""Table lineage from a log of SQL statements, with column functions and joins only.
+"""Lineage as a relation: what jobs read, write and compute inside, and what can be reached from a node.
 
-Input is ``(job, statement_id, sql_text)``. Limits, by choice: names are found by
-keyword, not by parsing; the sources of a common table expression are the names
-in its own text, up to the next one or to the closing bracket before the main
-statement.
+Inputs are tables of facts: ``reads`` (job, source), ``writes`` (job, target, op) and ``inner``
+(job, step, source) for named steps inside a job. Nothing is taken from statement texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.session import cut_lineage
 
-# Patterns of the statement parts that matter.
-LINE_COMMENT, BLOCK_COMMENT = r"--[^\n]*", r"(?s)/\*.*?\*/"
-READ_NAME = r"\b(?:from|join)\s+([\w.]+)"
-CTE_HEADER = r"(?:\bwith\s+|,\s*)(\w+)\s+as\s*\("
-CTE_END = r"(?s)\)\s*(?:select|insert)\b.*"
-INSERT_NAME = r"insert\s+(?:overwrite\s+table|into\s+table|into)\s+([\w.]+)"
-CREATE_NAME = r"create\s+(?:or\s+replace\s+)?(?:external\s+)?table\s+(?:if\s+not\s+exists\s+)?([\w.]+)"
-REPLACE_TABLE, AS_SELECT = r"create\s+or\s+replace\s", r"\bas\s+select\b"
-LOCATION = r"location\s+'([^']+)'"
-
 FLOWS, WRITES = "FLOWS_TO", "WRITES_TO"
 
 
-def cleaned(sql: Column) -> Column:
-    """Statement in lower case without comments."""
-    return F.lower(F.regexp_replace(F.regexp_replace(sql, BLOCK_COMMENT, " "), LINE_COMMENT, " "))
-
-
-def _all(text: Column, pattern: str) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-
-
-def _found(text: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-
-
-def statements(log: DataFrame) -> DataFrame:
-    """Distinct (job, text) first: a job that runs every minute is read once."""
-    text = F.col("text")
-    return log.select("job", cleaned(F.col("sql_text")).alias("text")).distinct().withColumn("cte_names", _all(text, CTE_HEADER))
-
-
-def sources(log: DataFrame) -> DataFrame:
-    """(job, source): tables read, without the names of common table expressions."""
-    names = F.array_except(_all(F.col("text"), READ_NAME), F.col("cte_names"))
-    return statements(log).select("job", F.explode(names).alias("source")).distinct()
-
-
-def targets(log: DataFrame) -> DataFrame:
-    """(job, target, op, location): tables written."""
-    text = F.col("text")
-    created = _found(text, CREATE_NAME)
-    inserted = _found(text, INSERT_NAME)
-    op = (
-        F.when(inserted.isNotNull(), "INSERT").when(text.rlike(AS_SELECT), "CTAS")
-        .when(text.rlike(REPLACE_TABLE), "REPLACE").otherwise("CREATE")
-    )
-    location = F.when(inserted.isNull(), _found(text, LOCATION))
-    return statements(log).select(
-        "job", F.coalesce(inserted, created).alias("target"), op.alias("op"), location.alias("location")
-    ).filter("target is not null").distinct()
-
-
-def cte_sources(log: DataFrame) -> DataFrame:
-    """(job, cte, source): direct sources of each common table expression."""
-    bodies = F.slice(F.split(F.col("text"), CTE_HEADER), 2, 1000000)
-    parts = statements(log).filter(F.size("cte_names") > 0).select(
-        "job", F.explode(F.arrays_zip(F.col("cte_names").alias("cte"), bodies.alias("body"))).alias("_p")
-    )
-    body = F.regexp_replace(F.col("_p.body"), CTE_END, " ")
-    return parts.select("job", F.col("_p.cte").alias("cte"), F.explode(_all(body, READ_NAME)).alias("source")).distinct()
-
-
-def edges(log: DataFrame) -> DataFrame:
-    """Distinct (src, dst, kind, job, op) edges between tables, expressions and jobs."""
+def edges(reads: DataFrame, writes: DataFrame, inner: DataFrame) -> DataFrame:
+    """Distinct (src, dst, kind, job, op) edges between datasets, inner steps and jobs."""
     none = F.lit(None).cast("string")
-    node = lambda name: F.concat(F.col("job"), F.lit("/"), F.col(name))
-    reads = sources(log).select(F.col("source").alias("src"), F.col("job").alias("dst"), F.lit(FLOWS).alias("kind"), "job", none.alias("op"))
-    writes = targets(log).select(F.col("job").alias("src"), F.col("target").alias("dst"), F.lit(WRITES).alias("kind"), "job", "op")
-    inside = cte_sources(log)
-    known = inside.select("job", F.col("cte").alias("source"), F.lit(True).alias("_cte")).distinct()
-    placed = inside.join(known, ["job", "source"], "left")
-    src = F.when(F.col("_cte"), node("source")).otherwise(F.col("source"))
-    to_cte = placed.select(src.alias("src"), node("cte").alias("dst"), F.lit(FLOWS).alias("kind"), "job", none.alias("op"))
-    from_cte = inside.select(node("cte").alias("src"), F.col("job").alias("dst"), F.lit(FLOWS).alias("kind"), "job", none.alias("op"))
-    return reads.unionByName(writes).unionByName(to_cte).unionByName(from_cte).distinct()
-
-
-def reachable(links: DataFrame, start: str, depth: int = 5, upstream: bool = False) -> DataFrame:
-    """Nodes reached from ``start`` in at most ``depth`` steps, with the least number of steps.
-
-    One join per step; nodes already reached are collapsed in each step, so
-    cycles end and the number of paths does not matter.
+    flow = lambda rows, src, dst: rows.select(
+        F.col(src).alias("src"), F.col(dst).alias("dst"), F.lit(FLOWS).alias("kind"), F.col("job"), none.alias("op"))
+    written = writes.select(F.col("job").alias("src"), F.col("target").alias("dst"), F.lit(WRITES).alias("kind"), "job", "op")
+    parts = [flow(reads, "source", "job"), written, flow(inner, "source", "step"), flow(inner, "step", "job")]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.distinct()
+
+
+def reachable(links: DataFrame, start: str, upstream: bool = False) -> DataFrame:
+    """Every node that can be reached from ``start``, with the least number of steps to it.
+
+    Semi-naive closure: each round joins the nodes found in the round before, and only those,
+    with the edges, and drops what was visited. It ends when a round finds nothing new, however
+    long the paths are; cycles end too. Rounds are written out and never read back by the driver.
     """
     here, there = ("dst", "src") if upstream else ("src", "dst")
-    steps = cut_lineage(links.select(F.col(here).alias("here"), F.col(there).alias("there")).distinct())
-    reached = steps.filter(F.col("here") == start).select(F.col("there").alias("node"), F.lit(1).alias("steps"))
-    for _ in range(depth - 1):
-        onward = reached.join(steps, reached["node"] == steps["here"]).select(
-            F.col("there").alias("node"), (F.col("steps") + 1).alias("steps")
-        )
-        reached = cut_lineage(reached.unionByName(onward).groupBy("node").agg(F.min("steps").alias("steps")))
-    return reached.filter(F.col("node") != start)
+    steps = cut_lineage(links.select(F.col(here).alias("here"), F.col(there).alias("node")).distinct())
+    frontier = steps.sparkSession.createDataFrame([(start, 0)], "node string, steps int")
+    visited = frontier
+    while True:
+        met = steps.join(frontier.select(F.col("node").alias("here"), "steps"), "here").groupBy("node").agg(
+            (F.min("steps") + 1).cast("int").alias("steps"))
+        frontier = cut_lineage(met.join(visited.select("node"), "node", "left_anti"))
+        if frontier.isEmpty():
+            return visited.filter(F.col("node") != start)
+        visited = visited.unionByName(frontier)
 
 
 def readers(links: DataFrame, name: str) -> DataFrame:
-    """Jobs that read or write a table."""
+    """Jobs that read or write a dataset."""
     reads = links.filter((F.col("src") == name) & (F.col("dst") == F.col("job"))).select("job", F.lit("reads").alias("role"))
     writes = links.filter((F.col("dst") == name) & (F.col("kind") == WRITES)).select("job", F.lit("writes").alias("role"))
     return reads.unionByName(writes).distinct()
 
 
-def layer_paths(links: DataFrame) -> DataFrame:
-    """bronze -> job -> silver -> job -> gold paths."""
-    reads = links.filter((F.col("kind") == FLOWS) & (F.col("dst") == F.col("job"))).select("src", "job")
-    writes = links.filter(F.col("kind") == WRITES).select("job", "dst")
-    moves = reads.join(writes, "job").distinct()
-    lower = moves.filter("src like 'bronze.%' and dst like 'silver.%'").select(
-        F.col("src").alias("bronze"), F.col("job").alias("silver_job"), F.col("dst").alias("silver")
-    )
-    upper = moves.filter("src like 'silver.%' and dst like 'gold.%'").select(
-        F.col("src").alias("silver"), F.col("job").alias("gold_job"), F.col("dst").alias("gold")
-    )
-    return lower.join(upper, "silver").select("bronze", "silver_job", "silver", "gold_job", "gold")
+def layer_paths(links: DataFrame, lower: str, middle: str, upper: str) -> DataFrame:
+    """Paths of datasets over two jobs, through the layers whose names start with the given prefixes."""
+    moves = links.filter((F.col("kind") == FLOWS) & (F.col("dst") == F.col("job"))).select("src", "job").join(
+        links.filter(F.col("kind") == WRITES).select("job", "dst"), "job").distinct()
+    between = lambda first, second: F.col("src").startswith(first) & F.col("dst").startswith(second)
+    up = moves.filter(between(lower, middle)).select(
+        F.col("src").alias("lower"), F.col("job").alias("middle_job"), F.col("dst").alias("middle"))
+    on = moves.filter(between(middle, upper)).select(
+        F.col("src").alias("middle"), F.col("job").alias("upper_job"), F.col("dst").alias("upper"))
+    return up.join(on, "middle").select("lower", "middle_job", "middle", "upper_job", "upper")
 
 
 def hot_datasets(links: DataFrame) -> DataFrame:
-    """Tables read by more than one job."""
-    reads = links.filter((F.col("kind") == FLOWS) & (F.col("dst") == F.col("job")) & F.col("src").contains("."))
-    counted = reads.filter(~F.col("src").contains("/")).groupBy("src").agg(F.count_distinct("job").alias("job_count"))
+    """Datasets read by more than one job."""
+    reads = links.filter((F.col("kind") == FLOWS) & (F.col("dst") == F.col("job"))).join(
+        links.filter(F.col("kind") == FLOWS).filter(F.col("dst") != F.col("job")).select(F.col("dst").alias("src")).distinct(), "src", "left_anti")
+    # One row per dataset and job, counted in two steps, so a dataset with very many readers is no single task's work.
+    counted = reads.select("src", "job").distinct().groupBy("src").agg(F.count(F.lit(1)).alias("job_count"))
     return counted.filter("job_count > 1").withColumnRenamed("src", "dataset")

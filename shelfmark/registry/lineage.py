@@ -1,51 +1,46 @@
-"""Lineage queries over the statement log derived from the event stream."""
+"""Lineage queries over the flow of goods: suppliers, the lots they supply, parts, order lines, orders, customers."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from shelfmark.operators import lineage
 from shelfmark.sources import shapes
 
 
-def edges(spark, folder):
-    return lineage.edges(shapes.query_log(spark, folder))
-
-
 def lineage_sources(spark, folder):
-    return lineage.sources(shapes.query_log(spark, folder))
+    return shapes.flow_reads(spark, folder).distinct()
 
 
 def lineage_targets(spark, folder):
-    return lineage.targets(shapes.query_log(spark, folder))
+    return shapes.flow_writes(spark, folder).distinct()
 
 
 def lineage_ctes(spark, folder):
-    return lineage.cte_sources(shapes.query_log(spark, folder))
+    """Inner steps of a job and their direct sources: the lines that packing an order goes through."""
+    return shapes.flow_steps(spark, folder).distinct()
 
 
 def lineage_edges(spark, folder):
-    return edges(spark, folder)
+    return lineage.edges(shapes.flow_reads(spark, folder), shapes.flow_writes(spark, folder), shapes.flow_steps(spark, folder))
 
 
 def lineage_downstream(spark, folder):
-    return lineage.reachable(edges(spark, folder), "bronze.feed_0")
+    return lineage.reachable(lineage_edges(spark, folder), "supplier:1")
 
 
 def lineage_upstream(spark, folder):
-    return lineage.reachable(edges(spark, folder), "gold.mart_0", upstream=True)
+    return lineage.reachable(lineage_edges(spark, folder), "customer:1", upstream=True)
 
 
 def lineage_readers(spark, folder):
-    return lineage.readers(edges(spark, folder), "silver.table_1")
+    return lineage.readers(lineage_edges(spark, folder), "part:1")
 
 
 def lineage_paths(spark, folder):
-    return lineage.layer_paths(edges(spark, folder))
+    return lineage.layer_paths(lineage_edges(spark, folder), "part:", "order:", "customer:")
 
 
 def lineage_hot_datasets(spark, folder):
-    return lineage.hot_datasets(edges(spark, folder)).orderBy(F.col("job_count").desc(), "dataset")
+    return lineage.hot_datasets(lineage_edges(spark, folder))
 
 
 QUERIES = {

@@ -446,7 +446,7 @@ def raw_marketing_campaigns(spark: SparkSession, folder: str) -> DataFrame:
         F.date_add(start, 30).cast("string").alias("end_date"),
         budget.cast("string").alias("budget"),
         F.concat(
-            F.lit('{"age_range":"25-45","interests":["deals","kind-'), (key % 3).cast("string"),
+            F.lit('{"age_range":"18-99","interests":["sample","kind-'), (key % 3).cast("string"),
             F.lit('"],"segment":"segment-'), (key % 6).cast("string"), F.lit('"}'),
         ).alias("target_audience"),
         padded("CRE", "s_suppkey", 9).alias("creative_id"),
@@ -488,27 +488,29 @@ def touchpoints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def query_log(spark: SparkSession, folder: str) -> DataFrame:
-    """A statement log derived from the event stream: one logged statement per event."""
-    number = F.col("event_id")
-    part = lambda modulo: (number % modulo).cast("string")
-    bronze = F.concat(F.lit("bronze.feed_"), part(7))
-    silver = F.concat(F.lit("silver.table_"), part(5))
-    gold = F.concat(F.lit("gold.mart_"), part(3))
-    joined = lambda *pieces: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
-    statement = (
-        F.when(number % 4 == 0, joined(
-            "INSERT OVERWRITE TABLE ", silver, " SELECT * FROM ", bronze, " -- FROM bronze.ignored\n WHERE id > 0"))
-        .when(number % 4 == 1, joined(
-            "INSERT INTO ", gold, " WITH base AS (SELECT * FROM ", silver, "), totals AS (SELECT count(*) n FROM base",
-            " JOIN silver.calendar ON 1 = 1) SELECT * FROM totals /* JOIN bronze.ignored */"))
-        .when(number % 4 == 2, joined(
-            "CREATE TABLE ", gold, " USING PARQUET LOCATION 's3a://data/mart/", part(3), "' AS SELECT * FROM ", silver,
-            " JOIN ", bronze, " USING (id)"))
-        .otherwise(joined("SELECT count(*) FROM ", silver))
-    )
-    return table(spark, folder, "events").select(
-        F.concat(F.lit("job_"), part(12)).alias("job"),
-        F.col("event_id").alias("statement_id"),
-        statement.alias("sql_text"),
-    )
+def _node(kind: str, *columns: str) -> Column:
+    return F.concat(F.lit(f"{kind}:"), F.concat_ws("-", *columns))
+
+
+def flow_reads(spark: SparkSession, folder: str) -> DataFrame:
+    """What jobs read: a lot, one supplier's deliveries of a part, the supplier; packing an order its parts; billing the order."""
+    lines = table(spark, folder, "lineitem")
+    lots = lines.select(_node("lot", "l_suppkey", "l_partkey").alias("job"), _node("supplier", "l_suppkey").alias("source"))
+    packed = lines.select(_node("pack", "l_orderkey").alias("job"), _node("part", "l_partkey").alias("source"))
+    billed = table(spark, folder, "orders").select(_node("bill", "o_orderkey").alias("job"), _node("order", "o_orderkey").alias("source"))
+    return lots.unionByName(packed).unionByName(billed)
+
+
+def flow_writes(spark: SparkSession, folder: str) -> DataFrame:
+    """What jobs write: a lot its part, packing the order, billing the customer."""
+    lines = table(spark, folder, "lineitem")
+    lots = lines.select(_node("lot", "l_suppkey", "l_partkey").alias("job"), _node("part", "l_partkey").alias("target"), F.lit("SUPPLY").alias("op"))
+    packed = lines.select(_node("pack", "l_orderkey").alias("job"), _node("order", "l_orderkey").alias("target"), F.lit("PACK").alias("op"))
+    return lots.unionByName(packed).unionByName(table(spark, folder, "orders").select(
+        _node("bill", "o_orderkey").alias("job"), _node("customer", "o_custkey").alias("target"), F.lit("BILL").alias("op")))
+
+
+def flow_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """Steps inside the packing of an order: its lines, each with the part it takes."""
+    return table(spark, folder, "lineitem").select(
+        _node("pack", "l_orderkey").alias("job"), _node("line", "l_orderkey", "l_linenumber").alias("step"), _node("part", "l_partkey").alias("source"))

@@ -15,49 +15,49 @@ from shelfmark.contracts.silver import SILVER
 from shelfmark.plans import medallion
 from shelfmark.sources import readers, writers
 
-AUDIT = "|feed|2025-10-20 15:00:00|file.json|{}"
+AUDIT = "|tester|2025-11-05 04:30:00|part.csv|{}"
 
 FEEDS = {
     "transactions_raw": [
-        'TXN001|CUST1|2025-01-31 14:32:15|online||card|completed|145.50|11.64|8.99|14.55|151.58|USD|152|0|["FALL25"]',
-        "TXN002|CUST2|2025-02-28 15:45:22|mobile||paypal|completed|89.99|7.20|0.00|0.00|97.19|USD|97|0|[]",
-        "TXN003|CUST1|2025-04-30 16:12:08|store|STR001|cash|completed|234.75|18.78|0.00|23.48|230.05|USD|230|50|[]",
-        'TXN004|CUST3|2025-12-25 09:23:45|online||card|failed|567.80|45.42|12.99|56.78|569.43|USD|569|0|["VIP10","FREESHIP"]',
-        "TXN005|CUST3|not a time|marketplace||card|pending|10.00|0.80|0.00|0.00|10.80|USD||0|",
+        'TXN011|CUST4|2025-03-30 08:05:10|online||wire|completed|60.00|4.50|5.00|15.00|54.50|USD|54|0|["SPRING31"]',
+        "TXN012|CUST5|2025-05-31 21:40:00|mobile||voucher|completed|33.30|1.11|0.00|0.00|34.41|USD|34|0|[]",
+        "TXN013|CUST4|2025-07-01 07:00:59|store|STR002|cash|completed|120.06|6.06|0.00|0.00|126.12|USD|126|20|[]",
+        'TXN014|CUST6|2025-12-25 23:59:59|online||wire|failed|400.10|20.20|7.70|40.00|388.00|USD|388|0|["VIP77","NOSHIP"]',
+        "TXN015|CUST6|half past nine|marketplace||wire|pending|5.55|0.45|0.00|0.00|6.00|USD||0|",
     ],
     "transaction_items_raw": [
-        "TXNI1|TXN001|PROD1|VAR1|2|45.00|10.00|0.08|0||shipped|WH001",
-        "TXNI2|TXN001|PROD2|VAR2|1|65.50|10.00|0.08|1|defective|shipped|WH001",
-        "TXNI3|TXN002|PROD1|VAR1|1|89.99|||0||shipped|WH002",
-        "TXNI4|TXN003|PROD9|VAR9|3|78.25|10.00|0.08|0||completed|STR001",
-        "TXNI5|TXN003|PROD1|VAR1|1|45.00|0.00|0.08|0||completed|STR001",
-        "TXNI6|TXN004|PROD2|VAR2|4|65.50|0.00|0.08|0||pending|WH003",
+        "TXNI21|TXN011|PROD5|VAR5|3|20.00|25.00|0.10|0||shipped|WH004",
+        "TXNI22|TXN011|PROD6|VAR6|2|30.03|0.00|0.05|2|torn|shipped|WH004",
+        "TXNI23|TXN012|PROD5|VAR5|1|33.30|||0||shipped|WH005",
+        "TXNI24|TXN013|PROD8|VAR8|4|30.00|0.00|0.05|0||completed|STR002",
+        "TXNI25|TXN013|PROD5|VAR5|1|20.00|0.00|0.10|0||completed|STR002",
+        "TXNI26|TXN014|PROD6|VAR6|5|30.03|0.00|0.05|0||pending|WH006",
     ],
     "subscriptions_raw": [
-        "SUB1|CUST1|premium|PLAN001|2025-01-15||active|monthly|29.99|2025-11-15|true||",
-        "SUB2|CUST2|basic|PLAN002|2024-06-20|2025-10-01|cancelled|annual|149.90||False|2025-09-28|too_expensive",
+        "SUB7|CUST4|gold|PLAN014|2025-10-24||active|monthly|12.50|2026-01-24|true||",
+        "SUB8|CUST5|silver|PLAN015|2023-02-01|2025-08-15|cancelled|annual|80.00||False|2025-08-01|moved_away",
     ],
     "customer_interactions_raw": [
-        "INT1|CUST1|2025-01-20 10:15:30|chat|web|AGT001|order|delay|0.45|125|4|All fine.",
-        "INT2|CUST1|2025-04-20 10:15:30|phone|phone|AGT002|order|delay|-0.60|20|1|Escalated to manager.",
-        "INT3|CUST2|2025-04-21 10:15:30|email|email||order|delay|||0|",
+        "INT41|CUST4|2025-03-25 12:00:01|chat|web|AGT021|billing|refund|0.12|15|5|Sorted out at once.",
+        "INT42|CUST4|2025-06-11 18:30:00|phone|phone|AGT022|billing|refund|-0.35|55|2|Had to be escalated twice.",
+        "INT43|CUST5|2025-06-12 09:09:09|email|email||billing|refund|||0|",
     ],
     "product_catalog_raw": [
-        'PROD1|Headphones|Electronics|Audio|Over-ear|SoundPro|Audio Inc|35.00|89.99||SUP001|7|0.250|{"length":18}|["wireless"]|2024-03-15|',
-        'PROD2|Mat|Sports||Yoga|FlexLife|Flex Corp|12.00|45.99||SUP003|5|1.200|{"length":183}|[]|2019-06-10|2025-01-01',
+        'PROD5|Desk lamp|Home|Lighting|Lamps|Lumo|Lumo Works|8.00|20.00||SUP031|9|1.500|{"height":40}|["metal"]|2023-09-09|',
+        'PROD6|Rope|Outdoor||Climbing|Gripco|Grip Ltd|11.00|30.03||SUP032|3|2.100|{"length":900}|[]|2018-01-20|2025-02-02',
     ],
     "inventory_snapshots_raw": [
-        "SNAP1|2025-10-20 00:00:00|PROD1|VAR1|WH001|245|32|213|50|200",
-        "SNAP2|2025-10-21 00:00:00|PROD1|VAR1|WH001|10|10||50|200",
+        "SNAP31|2025-11-02 00:00:00|PROD5|VAR5|WH004|80|5|75|30|90",
+        "SNAP32|2025-11-03 00:00:00|PROD5|VAR5|WH004|6|6||30|90",
     ],
     "marketing_campaigns_raw": [
-        'CAMP025|Fall|email|email|2025-01-01|2025-01-31|1000.00|{"age_range":"25-45","interests":["a","b"],"segment":"s"}|CRE1',
-        "CAMP010|Vip|social|facebook|2025-12-01|2025-12-31|500.00||CRE2",
+        'CAMP031|Spring|email|email|2025-03-15|2025-04-14|600.00|{"age_range":"18-99","interests":["x","y"],"segment":"t"}|CRE7',
+        "CAMP077|Guests|social|facebook|2025-12-01|2025-12-31|250.00||CRE8",
     ],
     "campaign_events_raw": [
-        "EVT1|CAMP025|CUST1|2025-01-18 09:15:30|impression|desktop|New York|0.00",
-        "EVT2|CAMP025|CUST1|2025-01-18 09:17:45|click|desktop|New York|0.00",
-        "EVT3|CAMP025|CUST1|2025-01-20 14:32:15|conversion|desktop|New York|151.58",
+        "EVT51|CAMP031|CUST4|2025-03-28 06:00:00|impression|tablet|Oslo|0.00",
+        "EVT52|CAMP031|CUST4|2025-03-28 06:01:30|click|tablet|Oslo|0.00",
+        "EVT53|CAMP031|CUST4|2025-03-30 08:05:10|conversion|tablet|Oslo|54.50",
     ],
 }
 
@@ -95,62 +95,62 @@ def test_a_bad_feed_does_not_stop_the_others(spark, tmp_path, lake):
 
 def test_silver_transactions(lake):
     rows = {r.transaction_id: r for r in lake["silver"]["transactions"].collect()}
-    assert rows[3].store_id == 1 and rows[3].channel == "in-store" and rows[1].store_id is None
-    assert rows[4].coupon_codes == ["VIP10", "FREESHIP"] and rows[4].is_holiday and rows[4].has_coupon
-    assert not rows[2].has_coupon and rows[2].coupon_codes == []
-    assert rows[1].is_first_purchase and not rows[3].is_first_purchase
-    assert rows[1].is_return_transaction and not rows[3].is_return_transaction
-    assert rows[5].transaction_timestamp is None and rows[5].loyalty_points_earned is None
+    assert rows[13].store_id == 2 and rows[13].channel == "in-store" and rows[11].store_id is None
+    assert rows[14].coupon_codes == ["VIP77", "NOSHIP"] and rows[14].is_holiday and rows[14].has_coupon
+    assert not rows[12].has_coupon and rows[12].coupon_codes == []
+    assert rows[11].is_first_purchase and not rows[13].is_first_purchase
+    assert rows[11].is_return_transaction and not rows[13].is_return_transaction
+    assert rows[15].transaction_timestamp is None and rows[15].loyalty_points_earned is None
 
 
 def test_silver_items(lake):
     rows = {r.transaction_item_id: r for r in lake["silver"]["transaction_items"].collect()}
-    first = rows[1]
+    first = rows[21]
     assert (first.line_subtotal, first.line_discount, first.line_tax, first.line_total) == tuple(
-        map(Decimal, ("90.00", "9.00", "6.48", "87.48")))
-    assert (first.line_cost, first.line_profit, first.net_line_revenue) == tuple(map(Decimal, ("63.00", "24.48", "81.00")))
-    assert rows[2].net_quantity == 0 and rows[2].net_line_revenue == 0
-    assert rows[3].discount_percentage == 0 and rows[3].tax_rate == 0
-    assert rows[4].location_type == "store" and rows[4].warehouse_id == 1
+        map(Decimal, ("60.00", "15.00", "4.50", "49.50")))
+    assert (first.line_cost, first.line_profit, first.net_line_revenue) == tuple(map(Decimal, ("42.00", "7.50", "45.00")))
+    assert rows[22].net_quantity == 0 and rows[22].net_line_revenue == 0
+    assert rows[23].discount_percentage == 0 and rows[23].tax_rate == 0
+    assert rows[24].location_type == "store" and rows[24].warehouse_id == 2
 
 
 def test_silver_subscriptions_and_products(lake):
     subs = {r.subscription_id: r for r in lake["silver"]["subscriptions"].collect()}
-    assert subs[1].subscription_duration_days == 352 and subs[1].total_payments_made == 11 and not subs[1].is_churned
-    assert subs[2].is_churned and subs[2].total_payments_made == 1 and subs[2].churn_risk_score == Decimal("1.00")
+    assert subs[7].subscription_duration_days == 70 and subs[7].total_payments_made == 2 and not subs[7].is_churned
+    assert subs[8].is_churned and subs[8].total_payments_made == 2 and subs[8].churn_risk_score == Decimal("1.00")
     products = {r.product_id: r for r in lake["silver"]["product_catalog"].collect()}
-    assert products[2].full_category_path == "Sports > Yoga" and products[2].lifecycle_stage == "discontinued"
-    assert products[1].price_tier == "mid-range" and products[1].tags == ["wireless"] and products[2].tags is None
+    assert products[6].full_category_path == "Outdoor > Climbing" and products[6].lifecycle_stage == "discontinued"
+    assert products[5].price_tier == "budget" and products[5].tags == ["metal"] and products[6].tags is None
 
 
 def test_gold_customers(lake):
     rows = {r.customer_id: r for r in lake["gold"]["customer_360"].collect()}
-    assert set(rows) == {1, 2, 3} and sorted(r.customer_key for r in rows.values()) == [1, 2, 3]
-    one = rows[1]
-    assert one.total_orders == 2 and one.total_revenue == Decimal("381.63") and one.has_active_subscription
-    assert one.total_support_interactions == 2 and one.total_returns == 1 and one.most_purchased_category == "Electronics"
-    assert rows[3].total_orders == 2 and rows[2].subscription_mrr == 0
+    assert set(rows) == {4, 5, 6} and sorted(r.customer_key for r in rows.values()) == [1, 2, 3]
+    four = rows[4]
+    assert four.total_orders == 2 and four.total_revenue == Decimal("180.62") and four.has_active_subscription
+    assert four.total_support_interactions == 2 and four.total_returns == 1 and four.most_purchased_category == "Home"
+    assert rows[6].total_orders == 2 and rows[5].subscription_mrr == 0
 
 
 def test_gold_products_keep_lines_without_a_catalog_row(lake):
     rows = {r.product_id: r for r in lake["gold"]["product_performance"].collect()}
-    assert rows[9].category_level1 == "Unknown" and rows[9].gross_revenue == Decimal("228.18")
-    assert rows[1].top_cross_sell_products == ["2", "9"] and rows[1].requires_reorder
+    assert rows[8].category_level1 == "Unknown" and rows[8].gross_revenue == Decimal("126.00")
+    assert rows[5].top_cross_sell_products == ["6", "8"] and rows[5].requires_reorder
 
 
 def test_gold_attribution_maps(lake):
     rows = {r.transaction_id: r for r in lake["gold"]["channel_attribution"].collect()}
-    first = rows[1]
+    first = rows[11]
     assert first.first_touch_channel == "chat" and first.last_touch_channel == "online" and first.touchpoint_count == 2
-    assert sum(first.time_decay_attribution_map.values()) == Decimal("151.58")
+    assert sum(first.time_decay_attribution_map.values()) == Decimal("54.50")
     assert [t.channel for t in first.journey_touchpoints] == ["chat", "online"]
 
 
 def test_gold_campaigns_use_the_feeds(lake):
     rows = {(r.coupon_code, r.channel): r for r in lake["gold"]["campaign_roi_analysis"].collect()}
-    fall = rows["FALL25", "online"]
-    assert fall.campaign_id == 25 and fall.actual_spend == Decimal("1000.00") and fall.total_clicks == 1
-    assert rows["FREESHIP", "online"].campaign_id is None and rows["ORGANIC", "mobile"].actual_spend == 0
+    spring = rows["SPRING31", "online"]
+    assert spring.campaign_id == 31 and spring.actual_spend == Decimal("600.00") and spring.total_clicks == 1
+    assert rows["NOSHIP", "online"].campaign_id is None and rows["ORGANIC", "mobile"].actual_spend == 0
 
 
 def test_gold_schemas_follow_the_contracts(lake):
@@ -191,7 +191,7 @@ def test_catalog_tables(spark, tmp_path):
 
 
 def test_arrived_since_prunes_partitions(spark, lake):
-    late = readers.arrived_since(lake["raw"]["transactions_raw"], "2025-10-20 14:00:00")
+    late = readers.arrived_since(lake["raw"]["transactions_raw"], "2025-11-05 04:00:00")
     assert late.count() == 5
     plan = late._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_ingestion_date" in plan

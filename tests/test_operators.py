@@ -227,25 +227,46 @@ def test_cohort_month_zero_and_gaps(spark):
     assert got[day(2025, 2, 1), 0].repeat_customers_count == 1
 
 
-def test_lineage_of_handwritten_statements(spark):
-    log = [
-        ("j1", 1, "INSERT OVERWRITE TABLE silver.a SELECT * FROM bronze.x -- FROM bronze.no\n JOIN bronze.y ON 1 = 1"),
-        ("j2", 2, "INSERT INTO gold.m WITH c AS (SELECT * FROM silver.a), d AS (SELECT * FROM c) SELECT * FROM d /* FROM no */"),
-        ("j3", 3, "CREATE OR REPLACE TABLE gold.k (a INT) USING PARQUET LOCATION 's3://b/k'"),
-        ("j3", 4, "SELECT 1 FROM silver.a"),
-    ]
-    df = spark.createDataFrame(log, "job string, statement_id int, sql_text string")
-    assert {tuple(r) for r in lineage.sources(df).collect()} == {
-        ("j1", "bronze.x"), ("j1", "bronze.y"), ("j2", "silver.a"), ("j3", "silver.a")}
-    assert {tuple(r) for r in lineage.targets(df).collect()} == {
-        ("j1", "silver.a", "INSERT", None), ("j2", "gold.m", "INSERT", None), ("j3", "gold.k", "REPLACE", "s3://b/k")}
-    assert {tuple(r) for r in lineage.cte_sources(df).collect()} == {("j2", "c", "silver.a"), ("j2", "d", "c")}
-    links = lineage.edges(df)
-    down = {r.node: r.steps for r in lineage.reachable(links, "bronze.x").collect()}
-    assert down["silver.a"] == 2 and down["gold.m"] == 4 and "bronze.y" not in down
-    paths = {tuple(r) for r in lineage.layer_paths(links).collect()}
-    assert ("bronze.x", "j1", "silver.a", "j2", "gold.m") in paths
-    assert {tuple(r) for r in lineage.hot_datasets(links).collect()} == {("silver.a", 2)}
+def links_of(spark, reads, writes, inner):
+    return lineage.edges(
+        spark.createDataFrame(reads, "job string, source string"), spark.createDataFrame(writes, "job string, target string, op string"),
+        spark.createDataFrame(inner, "job string, step string, source string"))
+
+
+def test_lineage_of_handwritten_flows(spark):
+    links = links_of(
+        spark,
+        [("mill", "raw:wheat"), ("mill", "raw:wheat"), ("bakery", "mid:flour"), ("kitchen", "mid:flour")],
+        [("mill", "mid:flour", "GRIND"), ("bakery", "top:bread", "BAKE")],
+        [("bakery", "dough", "mid:flour"), ("bakery", "loaf", "dough")],
+    )
+    assert {tuple(r)[:3] for r in links.collect()} == {
+        ("raw:wheat", "mill", "FLOWS_TO"), ("mid:flour", "bakery", "FLOWS_TO"), ("mid:flour", "kitchen", "FLOWS_TO"),
+        ("mill", "mid:flour", "WRITES_TO"), ("bakery", "top:bread", "WRITES_TO"),
+        ("mid:flour", "dough", "FLOWS_TO"), ("dough", "bakery", "FLOWS_TO"), ("dough", "loaf", "FLOWS_TO"), ("loaf", "bakery", "FLOWS_TO")}
+    down = {r.node: r.steps for r in lineage.reachable(links, "raw:wheat").collect()}
+    assert down == {"mill": 1, "mid:flour": 2, "bakery": 3, "kitchen": 3, "dough": 3, "loaf": 4, "top:bread": 4}
+    assert {r.node for r in lineage.reachable(links, "top:bread", upstream=True).collect()} == {"bakery", "mid:flour", "mill", "raw:wheat", "dough", "loaf"}
+    assert {tuple(r) for r in lineage.layer_paths(links, "raw:", "mid:", "top:").collect()} == {("raw:wheat", "mill", "mid:flour", "bakery", "top:bread")}
+    assert {tuple(r) for r in lineage.hot_datasets(links).collect()} == {("mid:flour", 2)}
+    assert {tuple(r) for r in lineage.readers(links, "mid:flour").collect()} == {("bakery", "reads"), ("kitchen", "reads"), ("mill", "writes")}
+
+
+def test_reach_goes_to_the_end_of_long_chains_and_round_cycles(spark):
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(12)]
+    cycle = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "c"), ("a", "c")]
+    links = spark.createDataFrame(chain + cycle, "src string, dst string")
+    assert {r.node: r.steps for r in lineage.reachable(links, "n0").collect()} == {f"n{i}": i for i in range(1, 13)}
+    assert {r.node: r.steps for r in lineage.reachable(links, "n12", upstream=True).collect()} == {f"n{i}": 12 - i for i in range(12)}
+    assert {r.node: r.steps for r in lineage.reachable(links, "a").collect()} == {"b": 1, "c": 1}
+    assert lineage.reachable(links, "nowhere").count() == 0
+
+
+def test_reach_from_a_hub(spark):
+    hub = spark.range(30_000).selectExpr("'hub' as src", "concat('x', id) as dst").unionByName(
+        spark.range(30_000).selectExpr("concat('x', id) as src", "'end' as dst"))
+    rows = lineage.reachable(hub, "hub").groupBy("steps").count().collect()
+    assert {r["steps"]: r["count"] for r in rows} == {1: 30_000, 2: 1}
 
 
 def test_nonempty_gate(spark):
