@@ -172,7 +172,7 @@ SELECT event_id AS interaction_id, user_id AS customer_id, date_trunc('second',
     AS sentiment_score,
   CAST(event_id % 240 AS INTEGER) AS resolution_time_minutes,
   CASE WHEN event_id % 6 <> 0 THEN CAST(event_id % 6 AS INTEGER) END AS satisfaction_rating,
-  CASE event_id % 7 WHEN 0 THEN 'Escalated to manager' WHEN 1 THEN 'Handled at once' WHEN 2 THEN 'URGENT: call back'
+  CASE event_id % 7 WHEN 0 THEN 'Will escalate by letter' WHEN 1 THEN 'Handled at once' WHEN 2 THEN 'URGENT: call back'
        WHEN 3 THEN 'Asked for a Supervisor' WHEN 4 THEN 'Follow-up sent' ELSE 'Resolved' END AS notes
 FROM events
 """

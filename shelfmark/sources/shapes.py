@@ -362,7 +362,7 @@ def _interaction_columns() -> list[Column]:
         .alias("sentiment_score"),
         (key % 240).cast("int").alias("resolution_time_minutes"),
         F.when(key % 6 != 0, (key % 6).cast("int")).alias("satisfaction_rating"),
-        pick(key % 7, "Escalated to manager", "Handled at once", "URGENT: call back", "Asked for a Supervisor",
+        pick(key % 7, "Will escalate by letter", "Handled at once", "URGENT: call back", "Asked for a Supervisor",
              "Follow-up sent", "Resolved").alias("notes_text"),
     ]
 
