@@ -6,18 +6,34 @@ STATEMENTS = {
     "bronze_csv_roundtrip": """
 SELECT 'TXN' || lpad(CAST(transaction_id AS VARCHAR), 12, '0') AS transaction_id,
   'CUST' || lpad(CAST(customer_id AS VARCHAR), 12, '0') AS customer_id,
-  CASE WHEN channel = 'in-store' THEN 'STR' || lpad(CAST(store_id AS VARCHAR), 3, '0') END AS store_id,
-  CAST(total_amount AS VARCHAR) AS total_amount,
+  strftime(transaction_timestamp, '%Y-%m-%d %H:%M:%S') AS transaction_timestamp,
+  CASE WHEN channel = 'in-store' THEN 'store' ELSE channel END AS channel,
+  CASE WHEN channel = 'in-store' THEN 'STR' || lpad(CAST(store_id AS VARCHAR), 3, '0') END AS store_id, payment_method, payment_status,
+  CAST(subtotal AS VARCHAR) AS subtotal, CAST(tax_amount AS VARCHAR) AS tax_amount, CAST(shipping_cost AS VARCHAR) AS shipping_cost,
+  CAST(discount_amount AS VARCHAR) AS discount_amount, CAST(total_amount AS VARCHAR) AS total_amount, currency,
+  CAST(loyalty_points_earned AS VARCHAR) AS loyalty_points_earned, CAST(loyalty_points_redeemed AS VARCHAR) AS loyalty_points_redeemed,
   CASE transaction_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '[]'
     ELSE '["VIP' || CAST(transaction_id % 10 AS VARCHAR) || '","FREESHIP"]' END AS coupon_codes,
-  strftime(date_trunc('month', transaction_timestamp), '%Y-%m-%d 00:00:00') AS _ingestion_timestamp,
-  transaction_id AS _record_offset
+  'orders_feed' AS _source_system, strftime(date_trunc('month', transaction_timestamp), '%Y-%m-%d 00:00:00') AS _ingestion_timestamp,
+  'orders_' || strftime(transaction_timestamp, '%Y%m') || '.json' AS _file_name, transaction_id AS _record_offset
 FROM txn""",
     "load_report": """
-SELECT 'transactions_raw' AS table_name, 'OK' AS status, COUNT(*) AS row_count FROM orders
-UNION ALL SELECT 'transaction_items_raw', 'OK', COUNT(*) FROM lineitem
-UNION ALL SELECT 'campaign_events_raw', 'OK', COUNT(*) FROM events
-UNION ALL SELECT 'product_catalog_raw', 'FAILED', 0""",
+WITH feeds AS (
+  SELECT 'transactions_raw' AS table_name, COUNT(*) AS n, 0 AS bad FROM orders
+  UNION ALL SELECT 'transaction_items_raw', COUNT(*), 0 FROM lineitem
+  UNION ALL SELECT 'subscriptions_raw', COUNT(*), 0 FROM orders
+  UNION ALL SELECT 'customer_interactions_raw', COUNT(*), 0 FROM events
+  UNION ALL SELECT 'product_catalog_raw', COUNT(*), 0 FROM part
+  UNION ALL SELECT 'inventory_snapshots_raw', COUNT(*), 0 FROM lineitem
+  UNION ALL SELECT 'marketing_campaigns_raw', COUNT(*), 0 FROM supplier
+  UNION ALL SELECT 'campaign_events_raw', COUNT(*) FILTER (event_id % 100 <> 0), COUNT(*) FILTER (event_id % 100 = 0) FROM events)
+SELECT 1 AS load, table_name, 'OK' AS status, n AS row_count, bad AS rejected_count, n AS published_rows FROM feeds
+UNION ALL SELECT 2, table_name, CASE WHEN table_name = 'inventory_snapshots_raw' THEN 'OK' ELSE 'FAILED' END,
+  CASE WHEN table_name = 'inventory_snapshots_raw' THEN n ELSE 0 END, 0, n
+FROM feeds WHERE table_name IN ('product_catalog_raw', 'marketing_campaigns_raw', 'inventory_snapshots_raw')""",
+    "load_quarantine": """
+SELECT 'campaign_events_raw' AS table_name, 'EVT' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS row_key,
+  '_ingestion_timestamp' AS column_name, 'late ' || event_id AS text FROM events WHERE event_id % 100 = 0""",
     "bronze_since": """
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS row_count
 FROM orders WHERE date_trunc('month', o_orderdate) > TIMESTAMP '2001-01-01' GROUP BY ALL""",
@@ -33,13 +49,13 @@ SELECT 'TXN' || lpad(CAST(transaction_id AS VARCHAR), 12, '0') AS transaction_id
   CAST(loyalty_points_redeemed AS VARCHAR) AS loyalty_points_redeemed
 FROM txn WHERE loyalty_points_redeemed > 0""",
     "validate_nonempty": """
-SELECT *, CASE WHEN row_count = 0 THEN 'EMPTY' ELSE 'OK' END AS status FROM (
-SELECT 'transactions_raw' AS table_name, COUNT(*) AS row_count FROM orders
-UNION ALL SELECT 'transaction_items_raw', COUNT(*) FROM lineitem
-UNION ALL SELECT 'subscriptions_raw', COUNT(*) FROM orders
-UNION ALL SELECT 'product_catalog_raw', COUNT(*) FROM part
-UNION ALL SELECT 'inventory_snapshots_raw', COUNT(*) FROM lineitem
-UNION ALL SELECT 'customer_interactions_raw', COUNT(*) FROM events)""",
+SELECT 'transactions_raw' AS table_name, COUNT(*) AS row_count, 'OK' AS status FROM orders
+UNION ALL SELECT 'transaction_items_raw', COUNT(*), 'OK' FROM lineitem
+UNION ALL SELECT 'subscriptions_raw', COUNT(*), 'OK' FROM orders
+UNION ALL SELECT 'product_catalog_raw', COUNT(*), 'OK' FROM part
+UNION ALL SELECT 'inventory_snapshots_raw', COUNT(*), 'OK' FROM lineitem
+UNION ALL SELECT 'customer_interactions_raw', COUNT(*), 'OK' FROM events
+UNION ALL SELECT 'no_rows', 0, 'EMPTY' UNION ALL SELECT 'not_there', NULL, 'ERROR'""",
     "table_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
         for t in ("orders", "lineitem", "customer", "part", "events", "supplier", "nation", "region")

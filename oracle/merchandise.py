@@ -225,10 +225,10 @@ def rules(held: str) -> str:
     """Association rules over (transaction_id, thing) rows."""
     return f"""
 SELECT item_a, item_b, transactions_with_both, transactions_with_a, transactions_with_b, total_transactions,
-  {D(R("transactions_with_both", "total_transactions"), 8, 6)} AS support,
-  {D(R("transactions_with_both", "transactions_with_a"), 8, 6)} AS confidence_a_to_b,
-  {D(R("transactions_with_both", "transactions_with_b"), 8, 6)} AS confidence_b_to_a,
-  {D(R("CAST(transactions_with_both AS DOUBLE) * total_transactions", "CAST(transactions_with_a AS DOUBLE) * transactions_with_b"), 16, 4)} AS lift,
+  CAST(transactions_with_both AS DOUBLE) / total_transactions AS support,
+  CAST(transactions_with_both AS DOUBLE) / transactions_with_a AS confidence_a_to_b,
+  CAST(transactions_with_both AS DOUBLE) / transactions_with_b AS confidence_b_to_a,
+  CAST(transactions_with_both AS DOUBLE) * total_transactions / (CAST(transactions_with_a AS DOUBLE) * transactions_with_b) AS lift,
   {D(R("amount_both", "transactions_with_both"), 12, 2)} AS avg_basket_value_with_both,
   {D(R("amount_a - amount_both", "transactions_with_a - transactions_with_both"), 12, 2)} AS avg_basket_value_with_a_only
 FROM (SELECT a.thing AS item_a, b.thing AS item_b, COUNT(*) AS transactions_with_both, SUM(a.total_amount) AS amount_both
@@ -239,13 +239,13 @@ CROSS JOIN (SELECT COUNT(*) AS total_transactions FROM txn)"""
 
 
 def scored(held: str) -> str:
-    gain = "COALESCE(greatest(avg_basket_value_with_both - avg_basket_value_with_a_only, 0), 0)"
-    conviction = R("1 - CAST(transactions_with_b AS DOUBLE) / total_transactions", "1 - CAST(confidence_a_to_b AS DOUBLE)")
+    gain = "greatest(COALESCE(CAST(avg_basket_value_with_both - avg_basket_value_with_a_only AS DOUBLE), 0), 0)"
+    score = f"lift * 20 + confidence_a_to_b * 50 + support * 1000 + {gain} * CAST(0.1 AS DOUBLE)"
     return f"""
 SELECT *, avg_basket_value_with_both - avg_basket_value_with_a_only AS incremental_basket_value,
-  CASE WHEN confidence_a_to_b < 1 THEN {D(conviction, 16, 4)} END AS conviction,
-  CAST(lift * 20 + confidence_a_to_b * 50 + support * 1000 + {gain} * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(16,2))
-    AS recommendation_score,
+  CASE WHEN transactions_with_both < transactions_with_a
+    THEN (1 - CAST(transactions_with_b AS DOUBLE) / total_transactions) / (1 - confidence_a_to_b) END AS conviction,
+  {D(score, 20, 2)} AS recommendation_score,
   lift > 1.5 AND confidence_a_to_b > 0.3 AND transactions_with_both >= 3 AS is_strong_association FROM ({rules(held)})"""
 
 PARTS = "SELECT DISTINCT transaction_id, product_id AS thing, total_amount FROM item JOIN txn USING (transaction_id)"
@@ -254,8 +254,7 @@ GOLD_BASKET = f"""
 SELECT {AS_OF} AS analysis_date, item_a AS product_id_a, item_b AS product_id_b, a.product_name AS product_name_a,
   b.product_name AS product_name_b, a.category_level1 AS category_a, b.category_level1 AS category_b, transactions_with_a,
   transactions_with_b, transactions_with_both, total_transactions, support, confidence_a_to_b, confidence_b_to_a,
-  TRY_CAST(lift AS DECIMAL(10,4)) AS lift, TRY_CAST(conviction AS DECIMAL(10,4)) AS conviction, avg_basket_value_with_both,
-  avg_basket_value_with_a_only, incremental_basket_value, TRY_CAST(recommendation_score AS DECIMAL(12,2)) AS recommendation_score,
+  lift, conviction, avg_basket_value_with_both, avg_basket_value_with_a_only, incremental_basket_value, recommendation_score,
   is_strong_association
 FROM ({scored(PARTS)}) LEFT JOIN product a ON item_a = a.product_id LEFT JOIN product b ON item_b = b.product_id"""
 
@@ -304,9 +303,9 @@ WHERE revenue_growth_yoy > 0 ORDER BY revenue_growth_yoy DESC, {LEVELS}, period_
     "recommendation_score": f"SELECT item_a, item_b, recommendation_score FROM ({scored(PARTS)})",
     "strong_associations": f"""SELECT item_a, item_b, lift, confidence_a_to_b, is_strong_association FROM ({scored(PARTS)})""",
     "topk_associations": f"""SELECT item_a, item_b, recommendation_score, lift FROM ({scored(PARTS)})
-WHERE transactions_with_both >= 2 AND lift > 1.5 AND confidence_a_to_b > 0 ORDER BY recommendation_score DESC, item_a, item_b LIMIT 10""",
+WHERE is_strong_association ORDER BY recommendation_score DESC, item_a, item_b LIMIT 10""",
     "basket_summary": f"""SELECT COUNT(*) AS total_pairs, COUNT(*) FILTER (is_strong_association) AS strong_pairs,
-  {MEAN("lift")} AS avg_lift, MAX(lift) AS max_lift FROM ({scored(PARTS)})""",
+  {MEAN("CAST(lift AS DECIMAL(30,6))")} AS avg_lift, MAX(lift) AS max_lift FROM ({scored(PARTS)})""",
     "gold_basket": GOLD_BASKET,
     "agg_global": f"""SELECT {M("SUM(line_subtotal)")} AS total_subtotal, {M("SUM(line_discount)")} AS total_discount,
   {M("SUM(line_tax)")} AS total_tax, {M("SUM(line_total)")} AS total_revenue, {M("SUM(line_cost)")} AS total_cost,

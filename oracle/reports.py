@@ -11,10 +11,10 @@ def distribution(source: str, *columns: str) -> str:
 
 
 def null_rows(name: str, source: str, checks: dict[str, str]) -> str:
-    worst = "greatest(" + ", ".join(f"COUNT(*) FILTER ({c})" for c in checks.values()) + ", 0)"
+    bad = "COUNT(*) FILTER (" + " OR ".join(checks.values()) + ")"
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, '{key}' AS key_column, COUNT(*) FILTER ({check}) AS null_keys,"
-        f" COUNT(*) AS total_records, {P(f'COUNT(*) - {worst}', 'COUNT(*)')} AS valid_percentage FROM {source}"
+        f" COUNT(*) AS total_records, {P(f'COUNT(*) - {bad}', 'COUNT(*)')} AS valid_percentage FROM {source}"
         for key, check in checks.items()
     )
 
@@ -50,6 +50,10 @@ STATEMENTS = {
     "dq_null_keys": " UNION ALL ".join([
         null_rows("transactions", "txn", {"transaction_id": "transaction_id % 97 = 0", "customer_id": "transaction_id % 89 = 0"}),
         null_rows("transaction_items", "item", {k: "FALSE" for k in ("transaction_item_id", "transaction_id", "product_id")}),
+        null_rows("subscriptions", "sub", {"subscription_id": "FALSE", "customer_id": "subscription_id % 83 = 0"}),
+        null_rows("product_catalog", "product", {"product_id": "FALSE", "supplier_id": "supplier_id % 5 = 0"}),
+        null_rows("inventory_snapshots", "stock", {
+            "snapshot_id": "FALSE", "product_id": "FALSE", "warehouse_id": "snapshot_id % 10 % 4 = 0"}),
         null_rows("customer_interactions", "talk", {
             "interaction_id": "FALSE", "customer_id": "FALSE", "agent_id": "interaction_id % 10 = 0"}),
     ]),

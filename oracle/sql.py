@@ -29,8 +29,8 @@ def MEAN(x: str, where: str = "") -> str:
 
 
 def D(x: str, p: int, s: int) -> str:
-    """DOUBLE to DECIMAL through six exact digits."""
-    return f"TRY_CAST(CAST({x} AS DECIMAL(20,6)) AS DECIMAL({p},{s}))"
+    """DOUBLE to DECIMAL through six exact digits; a value that does not fit is an error."""
+    return f"CAST(CAST({x} AS DECIMAL(26,6)) AS DECIMAL({max(p, 20)},{s}))"
 
 
 def M(x: str, p: int = 18) -> str:

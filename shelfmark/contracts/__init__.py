@@ -42,20 +42,48 @@ def contract(name: str, text: str, key: str, partition_by: str = "") -> Contract
     return Contract(name, fields, tuple(key.split()), tuple(partition_by.split()))
 
 
+# What a checked frame says about a row: the columns whose value does not fit, with the value as text.
+REJECTED = "_rejected"
+REJECTS = "array<struct<column: string, text: string>>"
+
+
 def conform(df: DataFrame, target: Contract) -> DataFrame:
     """Select the contract's columns by name and cast them; absent columns become NULL.
 
-    Values that do not fit the declared type become NULL instead of failing the job.
+    A value that does not fit its type is an error, never a NULL: see ``checked`` for keeping the other rows.
+    """
+    have = dict(df.dtypes)
+    return df.select(*[(F.col(name) if name in have else F.lit(None)).cast(kind).alias(name) for name, kind in target.fields])
+
+
+def checked(df: DataFrame, target: Contract, times: str | None = None, extra: list[str] | None = None) -> DataFrame:
+    """The contract's columns, and in ``_rejected`` every value that does not fit, with its column and its text.
+
+    ``times`` is the format of text that is to become a timestamp. ``extra`` columns are carried as they are.
     """
-    present = set(df.columns)
     have = dict(df.dtypes)
-    picked = []
+    picked, errors = [], []
     for name, kind in target.fields:
-        if name not in present:
-            column = F.lit(None).cast(kind)
-        elif "<" in kind or have[name] == kind.lower():
-            column = F.col(name).cast(kind)
+        if name not in have:
+            picked.append(F.lit(None).cast(kind).alias(name))
+            continue
+        value = F.col(name)
+        if "<" in kind or have[name] == kind.lower():
+            picked.append(value.cast(kind).alias(name))
+            continue
+        if times and kind == "timestamp" and have[name] == "string":
+            typed = F.try_to_timestamp(value, F.lit(times))
         else:
-            column = F.col(name).try_cast(kind)
-        picked.append(column.alias(name))
-    return df.select(*picked)
+            typed = value.try_cast(kind)
+        picked.append(typed.alias(name))
+        errors.append(F.when(value.isNotNull() & typed.isNull(), F.struct(F.lit(name).alias("column"), value.cast("string").alias("text"))))
+    rejected = F.array_compact(F.array(*errors)) if errors else F.array()
+    return df.select(*picked, *(extra or []), rejected.cast(REJECTS).alias(REJECTED))
+
+
+def quarantined(rows: DataFrame, target: Contract) -> DataFrame:
+    """One row per value that did not fit: table, key of the row as text, column and text."""
+    key = F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in target.key])
+    return rows.filter(F.size(REJECTED) > 0).select(
+        F.lit(target.name).alias("table_name"), key.alias("row_key"), F.explode(REJECTED).alias("_r")
+    ).select("table_name", "row_key", F.col("_r.column").alias("column_name"), F.col("_r.text").alias("text"))

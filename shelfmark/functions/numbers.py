@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Digits every ratio is rounded to before it is stored or compared.
 RATIO_DIGITS = 6
+# Digits on the way from DOUBLE to DECIMAL.
+FIT_DIGITS = 26
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -35,8 +37,8 @@ def mean_when(condition: Column, value: Column) -> Column:
 
 
 def as_decimal(value: Column, precision: int, scale: int) -> Column:
-    """DOUBLE to DECIMAL through six exact digits; NULL instead of an overflow error."""
-    return value.cast(f"decimal(20,{RATIO_DIGITS})").try_cast(f"decimal({precision},{scale})")
+    """DOUBLE to DECIMAL through six exact digits; a value that does not fit is an error."""
+    return value.cast(f"decimal({FIT_DIGITS},{RATIO_DIGITS})").cast(f"decimal({precision},{scale})")
 
 
 def money(value: Column, precision: int = 18) -> Column:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import numbers
+from shelfmark.functions.problems import first_cause
 
 
 def stacked(frames: list[DataFrame]) -> DataFrame:
@@ -15,18 +19,21 @@ def stacked(frames: list[DataFrame]) -> DataFrame:
 
 
 def null_keys(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
-    """Per table and key column: rows, NULL keys, and the share of rows valid in all keys' worst case."""
+    """Per table and key column: rows, NULL keys, and the share of rows whose keys are all there."""
     reports = []
     for name, (df, keys) in tables.items():
+        any_null = F.lit(False)
+        for k in keys:
+            any_null = any_null | F.col(k).isNull()
         counted = df.agg(
-            F.count(F.lit(1)).alias("total_records"), *[F.count_if(F.col(k).isNull()).alias(k) for k in keys]
+            F.count(F.lit(1)).alias("total_records"), F.count_if(any_null).alias("_bad"),
+            *[F.count_if(F.col(k).isNull()).alias(k) for k in keys],
         )
-        worst = F.greatest(*[F.col(k) for k in keys]) if len(keys) > 1 else F.col(keys[0])
         pairs = F.array(*[F.struct(F.lit(k).alias("key_column"), F.col(k).alias("null_keys")) for k in keys])
         reports.append(
             counted.select(
                 F.lit(name).alias("table_name"), "total_records",
-                numbers.percent(F.col("total_records") - worst, F.col("total_records")).alias("valid_percentage"),
+                numbers.percent(F.col("total_records") - F.col("_bad"), F.col("total_records")).alias("valid_percentage"),
                 F.explode(pairs).alias("_p"),
             ).select("table_name", "_p.key_column", "_p.null_keys", "total_records", "valid_percentage")
         )
@@ -39,17 +46,27 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def nonempty(tables: dict[str, DataFrame]) -> DataFrame:
-    """OK or EMPTY per table."""
-    status = F.when(F.col("row_count") == 0, "EMPTY").otherwise("OK")
-    return row_counts(tables).withColumn("status", status)
+def nonempty(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]]) -> DataFrame:
+    """OK, EMPTY or ERROR per table, with the first cause of an error.
 
+    A table may be given as a function that reads it, so that one that is not there is an
+    ERROR as well. Each table is counted on its own: a broken one does not hide the others.
+    """
+    found = []
+    for name, table in tables.items():
+        try:
+            rows = (table() if callable(table) else table).count()
+            found.append((name, rows, "OK" if rows else "EMPTY", None))
+        except (PySparkException, Py4JJavaError) as problem:
+            found.append((name, None, "ERROR", first_cause(problem)))
+    return spark.createDataFrame(found, "table_name string, row_count bigint, status string, message string")
 
-def require_nonempty(tables: dict[str, DataFrame]) -> None:
-    """Stops the load when a table has no rows. Reads one row per table, at most one from each."""
-    bad = [name for name, df in tables.items() if df.isEmpty()]
+
+def require_nonempty(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]]) -> None:
+    """The gate: stops the load, naming every table that has no rows or cannot be read."""
+    bad = [f"{r['table_name']} ({r['status']})" for r in nonempty(spark, tables).collect() if r["status"] != "OK"]
     if bad:
-        raise ValueError(f"empty tables: {', '.join(sorted(bad))}")
+        raise ValueError(f"tables without rows: {', '.join(sorted(bad))}")
 
 
 def reconciliation(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:

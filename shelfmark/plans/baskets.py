@@ -13,7 +13,7 @@ from shelfmark.session import cut_lineage
 
 # Thresholds of a strong association and weights of the score.
 STRONG = {"lift": 1.5, "confidence": 0.3, "count": 3}
-LIFT_WEIGHT, CONFIDENCE_WEIGHT, SUPPORT_WEIGHT, INCREMENT_WEIGHT = 20, 50, 1000, "0.1"
+LIFT_WEIGHT, CONFIDENCE_WEIGHT, SUPPORT_WEIGHT, INCREMENT_WEIGHT = 20, 50, 1000, 0.1
 
 
 def baskets(items: DataFrame, txns: DataFrame, item: str = "product_id") -> DataFrame:
@@ -64,23 +64,16 @@ def association_rules(
     total = F.col("total_transactions")
     ruled = counted.withColumn("total_transactions", orders).withColumns(
         {
-            "support": numbers.as_decimal(numbers.ratio(both, total), 8, 6),
-            "confidence_a_to_b": numbers.as_decimal(numbers.ratio(both, n_a), 8, 6),
-            "confidence_b_to_a": numbers.as_decimal(numbers.ratio(both, n_b), 8, 6),
-            "lift": numbers.as_decimal(
-                numbers.ratio(both.cast("double") * total, n_a.cast("double") * n_b), 16, 4
-            ),
+            "support": F.try_divide(both.cast("double"), total.cast("double")),
+            "confidence_a_to_b": F.try_divide(both.cast("double"), n_a.cast("double")),
+            "confidence_b_to_a": F.try_divide(both.cast("double"), n_b.cast("double")),
+            "lift": F.try_divide(both.cast("double") * total, n_a.cast("double") * n_b),
         }
     )
     against = 1 - n_b.cast("double") / total
+    uncertain = both < n_a
     return with_score(with_increment(
-        ruled.withColumn(
-            "conviction",
-            F.when(
-                F.col("confidence_a_to_b") < 1,
-                numbers.as_decimal(numbers.ratio(against, 1 - F.col("confidence_a_to_b").cast("double")), 16, 4),
-            ),
-        )
+        ruled.withColumn("conviction", F.when(uncertain, against / (1 - F.col("confidence_a_to_b"))))
     ), strong)
 
 
@@ -92,8 +85,8 @@ def with_increment(ruled: DataFrame) -> DataFrame:
     )
     return ruled.withColumns(
         {
-            "avg_basket_value_with_both": numbers.as_decimal(both, 12, 2),
-            "avg_basket_value_with_a_only": numbers.as_decimal(only, 12, 2),
+            "avg_basket_value_with_both": numbers.as_decimal(both, 20, 2),
+            "avg_basket_value_with_a_only": numbers.as_decimal(only, 20, 2),
         }
     ).withColumn(
         "incremental_basket_value", F.col("avg_basket_value_with_both") - F.col("avg_basket_value_with_a_only")
@@ -101,17 +94,17 @@ def with_increment(ruled: DataFrame) -> DataFrame:
 
 
 def with_score(ruled: DataFrame, thresholds: dict[str, float] = STRONG) -> DataFrame:
-    gain = F.coalesce(F.greatest("incremental_basket_value", F.lit(0).cast("decimal(12,2)")), F.lit(0).cast("decimal(12,2)"))
+    gain = F.greatest(F.coalesce(F.col("incremental_basket_value").cast("double"), F.lit(0.0)), F.lit(0.0))
     score = (
         F.col("lift") * LIFT_WEIGHT + F.col("confidence_a_to_b") * CONFIDENCE_WEIGHT + F.col("support") * SUPPORT_WEIGHT
-        + gain * F.lit(INCREMENT_WEIGHT).cast("decimal(2,1)")
+        + gain * INCREMENT_WEIGHT
     )
     strong = (
         (F.col("lift") > thresholds["lift"]) & (F.col("confidence_a_to_b") > thresholds["confidence"])
         & (F.col("transactions_with_both") >= thresholds["count"])
     )
     return ruled.withColumns(
-        {"recommendation_score": score.cast("decimal(16,2)"), "is_strong_association": F.coalesce(strong, F.lit(False))}
+        {"recommendation_score": numbers.as_decimal(score, 20, 2), "is_strong_association": F.coalesce(strong, F.lit(False))}
     )
 
 
@@ -139,7 +132,7 @@ def basket_summary(rules: DataFrame) -> DataFrame:
     return rules.agg(
         F.count(F.lit(1)).alias("total_pairs"),
         F.count_if("is_strong_association").alias("strong_pairs"),
-        numbers.mean(F.col("lift")).alias("avg_lift"),
+        numbers.mean(F.col("lift").cast("decimal(30,6)")).alias("avg_lift"),
         F.max("lift").alias("max_lift"),
     )
 

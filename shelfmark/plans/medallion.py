@@ -5,19 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.contracts.bronze import BRONZE
 from shelfmark.contracts.gold import GOLD
 from shelfmark.contracts.silver import SILVER
 from shelfmark.operators import silver as typing
+from shelfmark.operators.quality import require_nonempty
 from shelfmark.plans import attribution, baskets, campaigns, categories, cohorts, customers, products, stores, subscriptions
 from shelfmark.sources.loading import load_feeds
+from shelfmark.sources.readers import read_layer
+from shelfmark.sources.staging import read_published
 from shelfmark.sources.writers import write_table
 
 
+# The feeds without which no mart can be computed.
+REQUIRED = ("transactions_raw", "transaction_items_raw", "subscriptions_raw", "customer_interactions_raw", "product_catalog_raw",
+            "inventory_snapshots_raw")
+
+
 def bronze(spark: SparkSession, files: dict[str, str], folder: str) -> DataFrame:
-    """Loads the feeds and returns the load report."""
+    """Loads the feeds and returns the load report; feeds that pass their audit are published."""
     return load_feeds(spark, files, folder)
 
 
+def published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The current version of every feed."""
+    return {name: read_published(spark, folder, target) for name, target in BRONZE.items()}
+
+
+def run(spark: SparkSession, files: dict[str, str], store_dim: DataFrame, folder: str, as_of: str, run_ts: str) -> DataFrame:
+    """All three layers below a folder. Stops at the gate, before silver, when a required feed has no published rows."""
+    report = bronze(spark, files, f"{folder}/bronze")
+    raw = published(spark, f"{folder}/bronze")
+    require_nonempty(spark, {name: raw[name] for name in REQUIRED})
+    write_silver(silver(raw, as_of, run_ts), f"{folder}/silver")
+    typed = {name: read_layer(spark, f"{folder}/silver/{name}", target) for name, target in SILVER.items()}
+    write_gold(gold(typed, store_dim, as_of), f"{folder}/gold", run_ts)
+    return report
+
+
 def silver(raw: dict[str, DataFrame], as_of: str, run_ts: str) -> dict[str, DataFrame]:
     """Silver frames from raw feeds."""
     day, moment = F.lit(as_of).cast("date"), F.lit(run_ts).cast("timestamp")

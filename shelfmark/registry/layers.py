@@ -10,8 +10,8 @@ from shelfmark.contracts import silver as silver_contracts
 from shelfmark.contracts.bronze import BRONZE
 from shelfmark.functions import calendar, ladders, text
 from shelfmark.operators import firsts, history, quality, silver
-from shelfmark.plans import cohorts
-from shelfmark.sources import readers, shapes, writers
+from shelfmark.plans import cohorts, medallion
+from shelfmark.sources import readers, shapes, staging, writers
 from shelfmark.session import scratch
 from shelfmark.sources.loading import load_feeds
 
@@ -32,22 +32,51 @@ def write_feed_csv(df: DataFrame, path: str) -> str:
 
 def bronze_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = write_feed_csv(shapes.raw_transactions(spark, folder), scratch(spark, "csv"))
-    back = readers.read_feed(spark, path, "transactions_raw")
-    return as_text(back, "_ingestion_timestamp").select(
-        "transaction_id", "customer_id", "store_id", "total_amount", "coupon_codes", "_ingestion_timestamp", "_record_offset"
-    )
+    return as_text(readers.read_feed(spark, path, "transactions_raw"), "_ingestion_timestamp").select(BRONZE["transactions_raw"].columns)
+
+
+RAW = {
+    "transactions_raw": shapes.raw_transactions, "transaction_items_raw": shapes.raw_transaction_items,
+    "subscriptions_raw": shapes.raw_subscriptions, "customer_interactions_raw": shapes.raw_customer_interactions,
+    "product_catalog_raw": shapes.raw_product_catalog, "inventory_snapshots_raw": shapes.raw_inventory_snapshots,
+    "marketing_campaigns_raw": shapes.raw_marketing_campaigns, "campaign_events_raw": shapes.raw_campaign_events,
+}
+
+
+def feed_files(spark: SparkSession, folder: str, base: str) -> dict[str, str]:
+    """All feeds as files. Every hundredth campaign event has an arrival time that is none."""
+    files = {}
+    for name, make in RAW.items():
+        feed = make(spark, folder).withColumn("_ingestion_timestamp", F.date_format("_ingestion_timestamp", TIME_TEXT))
+        if name == "campaign_events_raw":
+            feed = feed.withColumn("_ingestion_timestamp", F.when(
+                F.col("_record_offset") % 100 == 0, F.concat(F.lit("late "), F.col("_record_offset"))).otherwise(F.col("_ingestion_timestamp")))
+        feed.select(BRONZE[name].columns).write.csv(f"{base}/{name}", sep="|", header=True, quote='"', escape='"')
+        files[name] = f"{base}/{name}"
+    return files
 
 
 def load_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads: all feeds, then three of them of which two are bad. What is published after both is that of the last good load."""
     base = scratch(spark, "load")
-    feeds = {
-        "transactions_raw": shapes.raw_transactions, "transaction_items_raw": shapes.raw_transaction_items,
-        "campaign_events_raw": shapes.raw_campaign_events,
+    files = feed_files(spark, folder, f"{base}/csv")
+    again = {
+        "product_catalog_raw": f"{base}/csv/not_there",
+        "marketing_campaigns_raw": files["campaign_events_raw"],  # a header of another feed
+        "inventory_snapshots_raw": files["inventory_snapshots_raw"],
     }
-    files = {name: write_feed_csv(make(spark, folder), f"{base}/csv/{name}") for name, make in feeds.items()}
-    files["product_catalog_raw"] = f"{base}/csv/does_not_exist"
-    report = load_feeds(spark, files, f"{base}/bronze")
-    return report.select("table_name", "status", "row_count")
+    loads = [load_feeds(spark, paths, f"{base}/bronze").withColumn("load", F.lit(number)) for number, paths in enumerate((files, again), 1)]
+    kept = quality.row_counts(medallion.published(spark, f"{base}/bronze")).withColumnRenamed("row_count", "published_rows")
+    report = loads[0].unionByName(loads[1]).join(kept, "table_name")
+    return report.select("load", "table_name", "status", "row_count", "rejected_count", "published_rows")
+
+
+def load_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Values of a feed that did not fit the contract, kept with their row's key, column and text."""
+    base = scratch(spark, "quarantine")
+    name = "campaign_events_raw"
+    report = load_feeds(spark, {name: feed_files(spark, folder, f"{base}/csv")[name]}, f"{base}/bronze")
+    return staging.read_quarantine(spark, report.first()["path"], BRONZE[name])
 
 
 def bronze_since(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,18 +104,15 @@ def clean_template(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def validate_nonempty(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.nonempty(raw_tables(spark, folder))
+    """The gate's view of the required feeds, of one that has no rows and of one that is not there."""
+    tables = {name: RAW[name](spark, folder) for name in medallion.REQUIRED}
+    tables["no_rows"] = readers.empty(spark, BRONZE["transactions_raw"])
+    tables["not_there"] = lambda: readers.read_table(spark, f"{folder}/not_there.parquet")
+    return quality.nonempty(spark, tables).drop("message")
 
 
 def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {
-        "transactions_raw": shapes.raw_transactions(spark, folder),
-        "transaction_items_raw": shapes.raw_transaction_items(spark, folder),
-        "subscriptions_raw": shapes.raw_subscriptions(spark, folder),
-        "product_catalog_raw": shapes.raw_product_catalog(spark, folder),
-        "inventory_snapshots_raw": shapes.raw_inventory_snapshots(spark, folder),
-        "customer_interactions_raw": shapes.raw_customer_interactions(spark, folder),
-    }
+    return {name: RAW[name](spark, folder) for name in medallion.REQUIRED}
 
 
 def table_row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -229,7 +255,7 @@ def escalation_flag(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        bronze_csv_roundtrip, load_report, bronze_since, dedupe_latest, clean_template, validate_nonempty,
+        bronze_csv_roundtrip, load_report, load_quarantine, bronze_since, dedupe_latest, clean_template, validate_nonempty,
         table_row_counts, cohort_without_subs, silver_transactions, silver_items_economics, silver_subscriptions,
         silver_product_catalog, silver_inventory, silver_interactions, silver_campaigns, silver_campaign_events,
         scd2_history, code_to_id, calendar_parts, fiscal_calendar, first_purchase_flag, holiday_flag,

@@ -211,10 +211,7 @@ def strong_associations(spark, folder):
 
 
 def topk_associations(spark, folder):
-    """Top pairs at product level under looser thresholds (the data has no pair above the default confidence)."""
-    loose = {"lift": 1.5, "confidence": 0.0, "count": 2}
-    rules = baskets.association_rules(held(spark, folder), shapes.transactions(spark, folder), 2, loose)
-    return baskets.top_associations(rules).select("item_a", "item_b", "recommendation_score", "lift")
+    return baskets.top_associations(product_rules(spark, folder)).select("item_a", "item_b", "recommendation_score", "lift")
 
 
 def basket_summary(spark, folder):

@@ -16,19 +16,28 @@ def accounts(spark, folder):
 
 
 def dq_null_keys(spark, folder):
-    """Key checks on feeds in which every 97th (89th) code is unreadable."""
+    """Key checks on all silver tables, from feeds in which some codes are unreadable."""
     raw = raw_tables(spark, folder)
-    broken = lambda name, step: F.when(F.col("_record_offset") % step == 0, F.lit("n/a")).otherwise(F.col(name))
-    txns = raw["transactions_raw"].withColumn("transaction_id", broken("transaction_id", 97)).withColumn(
-        "customer_id", broken("customer_id", 89))
-    talks = raw["customer_interactions_raw"].withColumn("agent_id", broken("agent_id", 10))
-    run = F.lit(RUN_TIME)
+    run, day = F.lit(RUN_TIME), shapes.day(shapes.ORDERS_AS_OF)
+
+    def broken(name, **steps):
+        offset = F.col("_record_offset")
+        return raw[name].withColumns({c: F.when(offset % step == 0, F.lit("n/a")).otherwise(F.col(c)) for c, step in steps.items()})
+
     return quality.null_keys({
-        "transactions": (silver.transactions_from_raw(txns, run), ["transaction_id", "customer_id"]),
+        "transactions": (
+            silver.transactions_from_raw(broken("transactions_raw", transaction_id=97, customer_id=89), run), ["transaction_id", "customer_id"]),
         "transaction_items": (
             silver.transaction_items_from_raw(raw["transaction_items_raw"], run),
             ["transaction_item_id", "transaction_id", "product_id"]),
-        "customer_interactions": (silver.interactions_from_raw(talks, run), ["interaction_id", "customer_id", "agent_id"]),
+        "subscriptions": (
+            silver.subscriptions_from_raw(broken("subscriptions_raw", customer_id=83), day, run), ["subscription_id", "customer_id"]),
+        "product_catalog": (
+            silver.product_catalog_from_raw(broken("product_catalog_raw", supplier_id=5), day, run), ["product_id", "supplier_id"]),
+        "inventory_snapshots": (
+            silver.inventory_from_raw(broken("inventory_snapshots_raw", warehouse_id=4), run), ["snapshot_id", "product_id", "warehouse_id"]),
+        "customer_interactions": (
+            silver.interactions_from_raw(broken("customer_interactions_raw", agent_id=10), run), ["interaction_id", "customer_id", "agent_id"]),
     })
 
 

@@ -1,32 +1,33 @@
-"""Loading all raw feeds, one after another, and reporting what happened."""
+"""Loading all raw feeds: each is staged and audited, and the good ones are published together."""
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.contracts.bronze import BRONZE
-from shelfmark.sources.readers import read_feed
-from shelfmark.sources.writers import write_table
+from shelfmark.functions.problems import first_cause
+from shelfmark.sources import staging
+from shelfmark.sources.readers import FEED_TIME, read_feed_text
 
-REPORT = "table_name string, status string, row_count bigint, message string"
+REPORT = "table_name string, status string, row_count bigint, rejected_count bigint, message string, path string"
 
 
 def load_feeds(spark: SparkSession, files: dict[str, str], target_dir: str) -> DataFrame:
-    """Load ``{feed: csv path}`` into ``target_dir``; a bad feed does not stop the others.
+    """Load ``{feed: csv path}`` into ``target_dir``; a bad feed stops neither the others nor its own last version.
 
-    Row counts are observed while writing, so each file is read once.
+    A feed is FAILED if its file is missing, its header is not the contract's, or it cannot be read to
+    the end; EMPTY if no row fits the contract; else OK and published. Each file is read once.
     """
-    outcomes = []
+    audits = []
     for name, path in files.items():
-        observed = f"load_{name}"
+        target = BRONZE[name]
         try:
-            seen = Observation(observed)
-            feed = read_feed(spark, path, name).observe(seen, F.count(F.lit(1)).alias("rows"))
-            write_table(feed, f"{target_dir}/{name}", BRONZE[name])
-            outcomes.append((name, "OK", int(seen.get["rows"]), None))
-        except (PySparkException, Py4JJavaError) as problem:  # a wrong file shows up as a Java error while it is read
-            outcomes.append((name, "FAILED", 0, str(problem)))
-    return spark.createDataFrame(outcomes, REPORT)
+            feed = read_feed_text(spark, path, target.columns)
+        except PySparkException as problem:
+            audits.append(staging.Audit(name, staging.FAILED, "", message=first_cause(problem)))
+            continue
+        audits.append(staging.stage(feed, target_dir, target, FEED_TIME, {"_ingestion_date": F.to_date("_ingestion_timestamp")}))
+    staging.publish(spark, target_dir, audits)
+    return spark.createDataFrame([(a.name, a.status, a.row_count, a.rejected_count, a.message, a.path) for a in audits], REPORT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.contracts import Contract
+from shelfmark.contracts import Contract, checked
 from shelfmark.contracts.bronze import BRONZE
 
 # Fixed value: time format of the audit column and of event times in the feeds.
@@ -18,20 +18,10 @@ def read_feed_text(spark: SparkSession, path: str, columns: list[str]) -> DataFr
     return spark.read.schema(schema).csv(path, sep="|", header=True, quote='"', escape='"', enforceSchema=False)
 
 
-def type_audit_columns(df: DataFrame) -> DataFrame:
-    arrived = F.try_to_timestamp(F.col("_ingestion_timestamp"), F.lit(FEED_TIME))
-    return df.withColumns(
-        {
-            "_ingestion_timestamp": arrived,
-            "_record_offset": F.col("_record_offset").try_cast("bigint"),
-        }
-    )
-
-
 def read_feed(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """One raw feed under its bronze contract."""
+    """One raw feed under its bronze contract; ``_rejected`` lists audit values that are no time or number."""
     target = BRONZE[name]
-    return type_audit_columns(read_feed_text(spark, path, target.columns)).select(*target.columns)
+    return checked(read_feed_text(spark, path, target.columns), target, FEED_TIME)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.contracts import Contract, conform
+from shelfmark.contracts import REJECTED, Contract, checked, conform, quarantined
 
 
 def with_partition_columns(df: DataFrame, target: Contract) -> DataFrame:
@@ -18,30 +21,40 @@ def with_partition_columns(df: DataFrame, target: Contract) -> DataFrame:
     return df.withColumns({name: derived[name]() for name in missing}) if missing else df
 
 
+QUARANTINE = "_quarantine"
+
+
 def write_table(df: DataFrame, path: str, target: Contract) -> None:
-    """Conform and write as Parquet, replacing only the partitions present in ``df``.
+    """Write under the contract as Parquet, replacing only the partitions present in ``df``.
+
+    Rows with a value that does not fit go to the quarantine beside the table, with the column and the
+    value as text. They are counted while the others are written; only where there are
+    any does a second pass write them.
 
     Partition values go to separate tasks only as far as the data needs it:
     ``rebalance`` lets adaptive execution split a hot partition value over
     several files and merge small ones.
     """
     carried = [name for name in target.partition_by if name not in target.columns and name in df.columns]
-    typed = conform(df, target)
-    if carried:
-        typed = conform_with(df, target, carried)
-    out = with_partition_columns(typed, target)
-    if not target.partition_by:
+    rows = with_partition_columns(checked(df, target, extra=carried), target)
+    fits = F.size(REJECTED) == 0
+    seen = Observation(f"write {target.name} {uuid.uuid4().hex}")
+    out = rows.observe(seen, F.count_if(~fits).alias("unfit")).filter(fits).drop(REJECTED)
+    if target.partition_by:
+        balanced = out.hint("rebalance", *target.partition_by)
+        writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*target.partition_by).parquet(path)
+    else:
         out.write.mode("overwrite").parquet(path)
-        return
-    balanced = out.hint("rebalance", *target.partition_by)
-    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*target.partition_by).parquet(path)
+    if _unfit(seen):
+        quarantined(rows, target).write.mode("append").parquet(f"{path}{QUARANTINE}")
 
 
-def conform_with(df: DataFrame, target: Contract, extra: list[str]) -> DataFrame:
-    """``conform`` that also carries storage-only columns through."""
-    widened = Contract(target.name, target.fields + tuple((n, dict(df.dtypes)[n]) for n in extra), target.key)
-    return conform(df, widened)
+def _unfit(seen: Observation) -> int:
+    try:
+        return seen.get["unfit"]
+    except Py4JJavaError:  # a frame known to be empty is not run, so nothing was observed
+        return 0
 
 
 def save_managed(df: DataFrame, name: str, target: Contract) -> None:

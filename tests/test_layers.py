@@ -6,6 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from shelfmark.contracts import conform
@@ -13,7 +14,7 @@ from shelfmark.contracts.bronze import BRONZE
 from shelfmark.contracts.gold import GOLD
 from shelfmark.contracts.silver import SILVER
 from shelfmark.plans import medallion
-from shelfmark.sources import readers, writers
+from shelfmark.sources import readers, staging, writers
 
 AUDIT = "|tester|2025-11-05 04:30:00|part.csv|{}"
 
@@ -73,7 +74,7 @@ def lake(spark, tmp_path_factory):
         path.write_text("\n".join(["|".join(BRONZE[name].columns), *rows]) + "\n")
         files[name] = str(path)
     report = medallion.bronze(spark, files, f"{folder}/bronze")
-    raw = {name: readers.read_layer(spark, f"{folder}/bronze/{name}", BRONZE[name]) for name in FEEDS}
+    raw = medallion.published(spark, f"{folder}/bronze")
     medallion.write_silver(medallion.silver(raw, "2026-01-02", "2026-01-02 06:00:00"), f"{folder}/silver")
     tables = {name: readers.read_layer(spark, f"{folder}/silver/{name}", SILVER[name]) for name in SILVER}
     stores = spark.createDataFrame([(1, "Main Street", "North")], "store_id long, store_name string, store_region string")
@@ -87,10 +88,63 @@ def test_every_feed_loaded(lake):
     assert got == {name: ("OK", len(lines)) for name, lines in FEEDS.items()}
 
 
-def test_a_bad_feed_does_not_stop_the_others(spark, tmp_path, lake):
-    files = {"campaign_events_raw": f"{lake['folder']}/campaign_events_raw.csv", "transactions_raw": f"{tmp_path}/none.csv"}
-    report = {r.table_name: r.status for r in medallion.bronze(spark, files, str(tmp_path / "bronze")).collect()}
-    assert report == {"campaign_events_raw": "OK", "transactions_raw": "FAILED"}
+def header(name):
+    return "|".join(BRONZE[name].columns) + "\n"
+
+
+def test_a_bad_feed_stops_neither_the_others_nor_its_last_version(spark, tmp_path, lake):
+    good, bronze = f"{lake['folder']}/campaign_events_raw.csv", str(tmp_path / "bronze")
+    status = lambda files: {r.table_name: (r.status, r.row_count) for r in medallion.bronze(spark, files, bronze).collect()}
+    assert status({"campaign_events_raw": good, "transactions_raw": f"{tmp_path}/none.csv"}) == {
+        "campaign_events_raw": ("OK", 3), "transactions_raw": ("FAILED", 0)}
+    (tmp_path / "other.csv").write_text(header("subscriptions_raw") + "x|" * 16 + "\n")
+    (tmp_path / "blank.csv").write_text(header("campaign_events_raw"))
+    for bad, outcome in (("other.csv", "FAILED"), ("blank.csv", "EMPTY")):
+        assert status({"campaign_events_raw": str(tmp_path / bad)}) == {"campaign_events_raw": (outcome, 0)}
+        assert staging.read_published(spark, bronze, BRONZE["campaign_events_raw"]).count() == 3
+    (tmp_path / "new.csv").write_text(header("campaign_events_raw") + "EVT9|CAMP1|CUST1|2025-01-01 00:00:00|click|tablet|Oslo|0.00" + AUDIT.format(7) + "\n")
+    assert status({"campaign_events_raw": str(tmp_path / "new.csv")}) == {"campaign_events_raw": ("OK", 1)}
+    assert [r.event_id for r in staging.read_published(spark, bronze, BRONZE["campaign_events_raw"]).collect()] == ["EVT9"]
+    assert staging.read_published(spark, bronze, BRONZE["transactions_raw"]).isEmpty()
+
+
+def test_the_cause_of_a_wrong_header_is_one_line(spark, tmp_path):
+    (tmp_path / "other.csv").write_text(header("subscriptions_raw") + "x|" * 16 + "\n")
+    row = medallion.bronze(spark, {"campaign_events_raw": str(tmp_path / "other.csv")}, str(tmp_path / "b")).first()
+    assert "header" in row.message and "\n" not in row.message
+
+
+def test_values_that_do_not_fit_are_quarantined(spark, tmp_path):
+    lines = ["EVT1|C|C|2025-01-01 00:00:00|click|tablet|Oslo|0.00|s|2025-01-01 00:00:00|f|1",
+             "EVT2|C|C|2025-01-01 00:00:00|click|tablet|Oslo|0.00|s|yesterday|f|two"]
+    (tmp_path / "e.csv").write_text(header("campaign_events_raw") + "\n".join(lines) + "\n")
+    report = medallion.bronze(spark, {"campaign_events_raw": str(tmp_path / "e.csv")}, str(tmp_path / "b")).first()
+    assert (report.status, report.row_count, report.rejected_count) == ("OK", 1, 1)
+    target = BRONZE["campaign_events_raw"]
+    assert {tuple(r) for r in staging.read_quarantine(spark, report.path, target).collect()} == {
+        ("campaign_events_raw", "EVT2", "_ingestion_timestamp", "yesterday"), ("campaign_events_raw", "EVT2", "_record_offset", "two")}
+    assert [r.event_id for r in staging.read_published(spark, str(tmp_path / "b"), target).collect()] == ["EVT1"]
+
+
+def test_marts_lose_no_value(spark, tmp_path):
+    target, path = GOLD["store_performance"], str(tmp_path / "stores")
+    rows = spark.sql("""SELECT * FROM VALUES (1, date'2025-01-01', cast(1e15 as double)), (2, date'2025-01-01', 1e30D)
+        AS t(store_id, analysis_date, avg_transaction_value)""")
+    writers.write_table(rows, path, target)
+    assert [(r.store_id, r.avg_transaction_value) for r in spark.read.parquet(path).collect()] == [(1, Decimal("1000000000000000.00"))]
+    bad = spark.read.parquet(path + writers.QUARANTINE).collect()
+    assert [(r.table_name, r.column_name, r.text) for r in bad] == [("store_performance", "avg_transaction_value", "1.0E30")]
+    with pytest.raises(ArithmeticException):
+        conform(rows, target).collect()
+
+
+def test_the_run_stops_at_the_gate(spark, tmp_path, lake):
+    files = {name: f"{lake['folder']}/{name}.csv" for name in FEEDS}
+    files["subscriptions_raw"] = f"{tmp_path}/none.csv"
+    stores = spark.createDataFrame([(1, "Main Street", "North")], "store_id long, store_name string, store_region string")
+    with pytest.raises(ValueError, match=r"subscriptions_raw \(EMPTY\)"):
+        medallion.run(spark, files, stores, str(tmp_path / "run"), "2026-01-02", "2026-01-02 06:00:00")
+    assert not (tmp_path / "run" / "silver").exists()
 
 
 def test_silver_transactions(lake):

@@ -270,8 +270,25 @@ def test_reach_from_a_hub(spark):
 
 
 def test_nonempty_gate(spark):
-    full, none = spark.range(3), spark.range(0)
-    assert {r.table_name: r.status for r in quality.nonempty({"a": full, "b": none}).collect()} == {"a": "OK", "b": "EMPTY"}
-    quality.require_nonempty({"a": full})
-    with pytest.raises(ValueError, match="b"):
-        quality.require_nonempty({"a": full, "b": none})
+    full, none, broken = spark.range(3), spark.range(0), lambda: spark.read.parquet("/not/there")
+    rows = {r.table_name: (r.row_count, r.status) for r in quality.nonempty(spark, {"a": full, "b": none, "c": broken}).collect()}
+    assert rows == {"a": (3, "OK"), "b": (0, "EMPTY"), "c": (None, "ERROR")}
+    quality.require_nonempty(spark, {"a": full})
+    with pytest.raises(ValueError, match=r"b \(EMPTY\), c \(ERROR\)"):
+        quality.require_nonempty(spark, {"a": full, "b": none, "c": broken})
+
+
+def test_null_keys_count_rows_with_any_null(spark):
+    df = spark.createDataFrame([(None, 1), (1, None), (None, None), (1, 1)], "a int, b int")
+    assert {(r.key_column, r.null_keys, r.valid_percentage) for r in quality.null_keys({"t": (df, ["a", "b"])}).collect()} == {
+        ("a", 2, 25.0), ("b", 2, 25.0)}
+
+
+def test_planted_pairs_are_strong_at_default_thresholds(spark):
+    bought = [(o, i) for o in range(8) for i in (1, 2)] + [(o, 10 + o) for o in range(30)] + [(20, 1), (21, 3), (22, 3)]
+    held = spark.createDataFrame([(o, i, Decimal("10.00")) for o, i in bought], "transaction_id int, item int, total_amount decimal(12,2)")
+    rules = baskets.association_rules(held, spark.range(30))
+    strong = {(r.item_a, r.item_b): (r.lift, r.confidence_a_to_b, r.support, r.conviction) for r in rules.filter("is_strong_association").collect()}
+    assert strong == {(1, 2): (8 * 30 / (9 * 8), 8 / 9, 8 / 30, (1 - 8 / 30) / (1 - 8 / 9))}
+    assert [(r.item_a, r.item_b) for r in baskets.top_associations(rules).collect()] == [(1, 2)]
+
