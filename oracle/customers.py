@@ -236,14 +236,14 @@ def nulls(kind: str, *names: str) -> str:
     return ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name in names)
 
 
-GOLD_STORE = f"""SELECT {AS_OF} AS analysis_date, store_id, store_name, store_region, daily_revenue, daily_transactions,
+STORE_COLUMNS = f"""store_id, store_name, store_region, daily_revenue, daily_transactions,
   daily_customers, {D("avg_transaction_value", 10, 2)} AS avg_transaction_value, revenue_rank_in_region,
-  {D("revenue_percentile", 5, 2)} AS revenue_percentile,
-  {nulls("VARCHAR", "store_tier", "revenue_trend_7d")}, {nulls("INTEGER", "foot_traffic", "staff_count")},
+  {D("revenue_percentile", 5, 2)} AS revenue_percentile, {nulls("VARCHAR", "store_tier")}, {nulls("INTEGER", "foot_traffic", "staff_count")},
   {nulls("DECIMAL(10,2)", "revenue_per_square_foot", "conversion_rate", "revenue_per_employee", "inventory_value",
-         "stockout_rate", "inventory_turnover", "avg_satisfaction_rating", "nps_score", "revenue_vs_target",
-         "revenue_growth_wow", "revenue_growth_yoy")}
-FROM ({store_base("")})"""
+         "stockout_rate", "inventory_turnover", "avg_satisfaction_rating", "nps_score", "revenue_vs_target")}"""
+GOLD_STORE = f"""SELECT transaction_date AS analysis_date, {STORE_COLUMNS}, revenue_trend_7d,
+  {D("revenue_growth_wow", 12, 2)} AS revenue_growth_wow, {D("revenue_growth_yoy", 12, 2)} AS revenue_growth_yoy FROM ({DAILY})"""
+STORE_SNAPSHOT = f"""SELECT {AS_OF} AS analysis_date, {STORE_COLUMNS} FROM ({store_base("")})"""
 
 # --- subscriptions ---
 
@@ -382,6 +382,7 @@ FROM (SELECT DISTINCT customer_id FROM txn)""",
 ORDER BY months_since_first_purchase LIMIT 12""",
     "store_rank": f"SELECT store_id, store_region, daily_revenue, revenue_rank_in_region FROM ({store_base('')})",
     "gold_store_performance": GOLD_STORE,
+    "store_snapshot": STORE_SNAPSHOT,
     "store_daily_trend": DAILY,
     "plan_mrr_arr": f"""
 SELECT *, {M("mrr * 12", 20)} AS arr FROM (SELECT plan_id, COUNT(*) FILTER (status = 'active') AS active_subscribers,

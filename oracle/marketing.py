@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.customers import d2
 from oracle.sql import D, M, MEAN, P, R
 from oracle.views import EVENTS_AS_OF as AS_OF
@@ -131,7 +133,7 @@ def as_map(model: str, name: str) -> str:
 GOLD_ATTRIBUTION = f"""
 WITH s AS ({SUMMARY})
 SELECT bought_day AS attribution_date, customer_id, s.transaction_id, transaction_revenue,
-  transaction_revenue AS transaction_profit, fc AS first_touch_channel, fi AS first_touch_campaign_id,
+  profit AS transaction_profit, fc AS first_touch_channel, fi AS first_touch_campaign_id,
   transaction_revenue AS first_touch_attribution_revenue, lc AS last_touch_channel, li AS last_touch_campaign_id,
   transaction_revenue AS last_touch_attribution_revenue, total AS touchpoint_count,
   {D(R("transaction_revenue", "total"), 12, 2)} AS linear_attribution_per_touchpoint, time_decay_attribution_map,
@@ -142,6 +144,10 @@ LEFT JOIN {as_map("first_last", "data_driven_attribution_map")} USING (transacti
 JOIN (SELECT transaction_id, string_agg(channel, ';' ORDER BY seq) AS journey_touchpoints FROM journey GROUP BY 1)
   USING (transaction_id)"""
 
+# The same models over purchases and interactions instead of events.
+GOLD_ATTRIBUTION = re.sub(r"\bjourney\b", "sale", GOLD_ATTRIBUTION).replace(
+    "FROM s LEFT JOIN", "FROM s JOIN (SELECT DISTINCT transaction_id, transaction_profit AS profit FROM sale) USING (transaction_id) LEFT JOIN", 1)
+
 STATEMENTS = {
     "coupon_explode": f"SELECT transaction_id, coupon_code, campaign_id, channel, total_amount FROM ({COUPONS})",
     "campaign_vs_organic": ATTRIBUTED,

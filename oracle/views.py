@@ -243,3 +243,21 @@ SELECT p.touch_id AS transaction_id, p.customer_id, p.ts AS bought_at, p.d AS bo
 FROM touch p JOIN touch t ON p.customer_id = t.customer_id AND t.ts <= p.ts AND p.d - t.d <= 30
 WHERE p.is_purchase = 1
 """
+
+VIEWS["bought"] = """
+SELECT customer_id, transaction_id AS touch_id, transaction_timestamp AS ts, channel, CAST(NULL AS BIGINT) AS campaign_id, 1 AS is_purchase,
+  total_amount AS revenue, CAST(total_amount - tax_amount - shipping_cost AS DECIMAL(12,2)) AS profit FROM txn
+UNION ALL
+SELECT customer_id, interaction_id, interaction_timestamp - (8200 + interaction_id % 2300) * INTERVAL 1 DAY, interaction_type, NULL, 0, 0, 0 FROM talk
+"""
+
+VIEWS["sale"] = """
+SELECT p.touch_id AS transaction_id, p.customer_id, p.ts AS bought_at, CAST(p.ts AS DATE) AS bought_day, p.revenue AS transaction_revenue,
+  p.profit AS transaction_profit, t.touch_id, t.ts, CAST(t.ts AS DATE) AS d, t.channel, t.campaign_id, t.is_purchase,
+  CAST(p.ts AS DATE) - CAST(t.ts AS DATE) AS age,
+  row_number() OVER (PARTITION BY p.touch_id ORDER BY t.ts, t.is_purchase, t.touch_id) AS seq,
+  row_number() OVER (PARTITION BY p.touch_id ORDER BY t.ts DESC, t.is_purchase DESC, t.touch_id DESC) AS rev,
+  COUNT(*) OVER (PARTITION BY p.touch_id) AS total
+FROM bought p JOIN bought t ON p.customer_id = t.customer_id AND t.ts <= p.ts AND CAST(p.ts AS DATE) - CAST(t.ts AS DATE) <= 30
+WHERE p.is_purchase = 1
+"""

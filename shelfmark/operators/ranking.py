@@ -136,7 +136,7 @@ def with_dense_ranks(
     """Several descending dense ranks in one sort, otherwise as ``with_dense_rank``.
 
     ``ranks`` maps a new column to (value column, group column or columns or None); ``key``,
-    one column or several, is unique and not null.
+    one column or several, is unique; nulls count as a value.
     """
     keys = [key] if isinstance(key, str) else key
 
@@ -159,7 +159,11 @@ def with_dense_ranks(
     found = stacked.join(numbered, same, "left").groupBy(*keys).agg(
         *[F.max(F.when(F.col("_rank") == name, F.col("_rn"))).cast("int").alias(name) for name in ranks]
     )
-    return df.join(found, keys, "left")
+    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *ranks)
+    here = F.lit(True)
+    for k in keys:
+        here = here & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(found, here, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def with_neighbour(

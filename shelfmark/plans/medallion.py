@@ -68,7 +68,7 @@ def gold(tables: dict[str, DataFrame], store_dim: DataFrame, as_of: str) -> dict
     return {
         "customer_360": customers.customer_360(txns, items, catalog, subs, talks, day),
         "product_performance": products.product_performance(items, catalog, txns, tables["inventory_snapshots"], day),
-        "store_performance": stores.store_performance(txns, store_dim, day),
+        "store_performance": stores.store_performance(txns, store_dim),
         "subscription_health": subscriptions.subscription_health(subs, day),
         "category_brand_performance": categories.category_brand_performance(items, catalog, txns, day),
         "campaign_roi_analysis": campaigns.campaign_roi(

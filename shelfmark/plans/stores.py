@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfmark.functions import ladders, numbers
+from shelfmark.operators.ranking import with_dense_ranks
+from shelfmark.operators.totals import with_group_totals, with_running_sums
+from shelfmark.session import cut_lineage
 
 
 def store_metrics(txns: DataFrame, stores: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -29,19 +32,33 @@ def store_metrics(txns: DataFrame, stores: DataFrame, extra: list[str] | None =
 
 
 def store_ranks(metrics: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Rank in the region and percentile over all stores. One row per store: windows stay small."""
+    """Rank in the region and percentile over all stores (of a day, with ``extra``), without a task per region or day.
+
+    The percentile is the share of the other stores that sold less: the number of stores per distinct revenue,
+    added up in revenue order, tells how many are below.
+    """
     by = extra or []
-    region = Window.partitionBy(*by, "store_region").orderBy(F.col("daily_revenue").desc_nulls_last())
-    everyone = Window.partitionBy(*by).orderBy(F.col("daily_revenue").asc_nulls_first())
-    position = F.round(F.percent_rank().over(everyone) * 100, 6)
-    return metrics.withColumns(
-        {"revenue_rank_in_region": F.dense_rank().over(region), "revenue_percentile": position}
-    )
+    ranked = with_dense_ranks(metrics, ["store_id", *by], {"revenue_rank_in_region": ("daily_revenue", [*by, "store_region"])})
+    sold = metrics.groupBy(*by, "daily_revenue").agg(F.count(F.lit(1)).alias("_stores"))
+    summed = with_running_sums(sold, by, [F.col("daily_revenue").asc_nulls_first()], {"_upto": F.col("_stores")})
+    places = with_group_totals(summed, by, {"_all": F.sum("_stores")}).select(
+        *[F.col(name).alias(f"_p_{name}") for name in [*by, "daily_revenue"]], (F.col("_upto") - F.col("_stores")).alias("_below"), "_all")
+    same = F.lit(True)
+    for name in [*by, "daily_revenue"]:
+        same = same & F.col(name).eqNullSafe(F.col(f"_p_{name}"))
+    share = F.coalesce(F.try_divide(F.col("_below").cast("double"), (F.col("_all") - 1).cast("double")), F.lit(0.0))
+    return ranked.join(places, same).withColumn("revenue_percentile", F.round(share * 100, 6)).drop(
+        "_below", "_all", *[f"_p_{name}" for name in [*by, "daily_revenue"]])
+
+
+def store_snapshot(txns: DataFrame, stores: DataFrame, as_of: Column) -> DataFrame:
+    """One row per store over all given transactions, stamped with the reporting day."""
+    return store_ranks(cut_lineage(store_metrics(txns, stores))).withColumn("analysis_date", as_of)
 
 
-def store_performance(txns: DataFrame, stores: DataFrame, as_of: Column) -> DataFrame:
-    """One row per store over the given transactions, as the reporting day's snapshot."""
-    return store_ranks(store_metrics(txns, stores)).withColumn("analysis_date", as_of)
+def store_performance(txns: DataFrame, stores: DataFrame) -> DataFrame:
+    """One row per store and day, with rank, percentile, growth and trend of the day."""
+    return store_daily(txns.filter(F.col("transaction_date").isNotNull()), stores).withColumnRenamed("transaction_date", "analysis_date")
 
 
 def store_daily(txns: DataFrame, stores: DataFrame) -> DataFrame:
@@ -50,7 +67,7 @@ def store_daily(txns: DataFrame, stores: DataFrame) -> DataFrame:
     The windows run over one row per store and day; calendar ranges, not row
     counts, so days without sales do not shift the comparison.
     """
-    daily = store_ranks(store_metrics(txns, stores, ["transaction_date"]), ["transaction_date"])
+    daily = store_ranks(cut_lineage(store_metrics(txns, stores, ["transaction_date"])), ["transaction_date"])
     number = F.date_diff(F.col("transaction_date"), F.lit("1970-01-01").cast("date"))
     history = Window.partitionBy("store_id").orderBy("_day")
     on_day = lambda back: F.max("daily_revenue").over(history.rangeBetween(-back, -back))

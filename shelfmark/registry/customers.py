@@ -231,8 +231,12 @@ def store_rank(spark, folder):
 
 
 def gold_store_performance(spark, folder):
-    rows = stores.store_performance(shapes.transactions(spark, folder), shapes.stores(spark, folder), as_of())
-    return mart(rows, "store_performance")
+    return mart(stores.store_performance(shapes.transactions(spark, folder), shapes.stores(spark, folder)), "store_performance")
+
+
+def store_snapshot(spark, folder):
+    rows = stores.store_snapshot(shapes.transactions(spark, folder), shapes.stores(spark, folder), as_of())
+    return mart(rows, "store_performance").drop("revenue_trend_7d", "revenue_growth_wow", "revenue_growth_yoy")
 
 
 def store_daily_trend(spark, folder):
@@ -263,7 +267,7 @@ QUERIES = {
         surrogate_keys, customer_item_metrics, premium_share, customer_returns, favorite_category_brand, primary_channel,
         loyalty_balance, customer_subscriptions, customer_support, gold_customer_360, cohort_assign, cohort_size,
         cohort_size_distribution, cohort_retention, repeat_customers, cohort_cumulative, cohort_channel_mix,
-        subscription_adoption, gold_cohort, cohort_ltv_summary, latest_cohort_curve, store_rank, gold_store_performance,
+        subscription_adoption, gold_cohort, cohort_ltv_summary, latest_cohort_curve, store_rank, gold_store_performance, store_snapshot,
         store_daily_trend, plan_mrr_arr, plan_churn, subscription_health_full, gold_subscription_health,
     )
 }

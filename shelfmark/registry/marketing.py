@@ -148,7 +148,7 @@ def _map_text(name):
 
 
 def gold_attribution(spark, folder):
-    touches = shapes.touchpoints(spark, folder).withColumn("profit", F.col("revenue"))
+    touches = attribution.union_touchpoints(shapes.transactions(spark, folder), shapes.dated_interactions(spark, folder))
     rows = mart(attribution.channel_attribution(touches), "channel_attribution")
     return rows.withColumns(
         {**{name: _map_text(name) for name in attribution.MAPS.values()},

@@ -488,6 +488,13 @@ def touchpoints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dated_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Interactions on days of the years that the orders are of, so that they can precede purchases."""
+    talks = customer_interactions(spark, folder)
+    back = F.make_dt_interval(days=F.lit(8200) + F.col("interaction_id") % 2300)
+    return talks.withColumn("interaction_timestamp", F.col("interaction_timestamp") - back)
+
+
 def _node(kind: str, *columns: str) -> Column:
     return F.concat(F.lit(f"{kind}:"), F.concat_ws("-", *columns))
 
