@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
-    from shelfmark.registry import customers, layers, lineage, marketing, merchandise, reports
+    from shelfmark.registry import customers, layers, lineage, marketing, merchandise, reports, sinks
 
     merged: dict[str, Query] = {}
-    for module in (layers, customers, merchandise, marketing, reports, lineage):
+    for module in (layers, customers, merchandise, marketing, reports, lineage, sinks):
         merged.update(module.QUERIES)
     return merged

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.contracts import REJECTED, Contract, checked, conform, quarantined
+from shelfmark.session import cut_lineage
 
 
 def with_partition_columns(df: DataFrame, target: Contract) -> DataFrame:
@@ -59,21 +62,45 @@ def _unfit(seen: Observation) -> int:
 
 def save_managed(df: DataFrame, name: str, target: Contract) -> None:
     """A managed catalog table under the contract."""
-    with_partition_columns(conform(df, target), target).write.mode("overwrite").saveAsTable(name)
+    rows = with_partition_columns(conform(df, target), target)
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(*target.partition_by) if target.partition_by else writer).saveAsTable(name)
+
+
+@contextmanager
+def _dynamic(spark: SparkSession) -> Iterator[None]:
+    """Inserts into catalog tables take the overwrite mode from the session, not from a writer option."""
+    conf, mode = spark.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        yield
+    finally:
+        conf.set(mode, before)
 
 
 def overwrite_partitions(df: DataFrame, name: str, target: Contract) -> None:
     """Replace the matching partitions of an existing catalog table (dynamic insert overwrite)."""
     order = [field.name for field in df.sparkSession.table(name).schema.fields]
     ready = with_partition_columns(conform(df, target), target).select(*order)
-    # Inserts into catalog tables take the mode from the session, not from a writer option.
-    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(mode)
-    conf.set(mode, "dynamic")
-    try:
+    with _dynamic(df.sparkSession):
         ready.write.insertInto(name, overwrite=True)
+
+
+def insert_select(spark: SparkSession, name: str, partitions: list[str], ctes: dict[str, str], select: str) -> None:
+    """``INSERT OVERWRITE ... PARTITION (...) WITH ... SELECT``: the result's last columns are the partition's.
+
+    The rows are read before any is replaced, also where the statement reads the table that it writes.
+    """
+    named = ", ".join(f"{cte} AS ({body})" for cte, body in ctes.items())
+    rows = cut_lineage(spark.sql(f"WITH {named} {select}" if named else select))
+    view = f"insert_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        with _dynamic(spark):
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({', '.join(partitions)}) WITH ready AS (SELECT * FROM {view}) SELECT * FROM ready")
     finally:
-        conf.set(mode, before)
+        spark.catalog.dropTempView(view)
 
 
 def register_external(spark: SparkSession, name: str, path: str, target: Contract) -> None:
