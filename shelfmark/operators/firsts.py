@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions import orderkeys
+
 
 def with_first_purchase(
     txns: DataFrame,
@@ -15,17 +17,15 @@ def with_first_purchase(
 ) -> DataFrame:
     """Marks each customer's earliest transaction, ties going to the smaller id.
 
-    The earliest (time, id) is a partial aggregate, so a customer with a third
-    of all rows costs one struct per map task. The marker is joined back on the
+    The earliest (time, id) is a partial aggregate over keys of fixed width, so a customer
+    with a third of all rows costs one number per map task. The marker is joined back on the
     transaction id, which is evenly spread whatever the customers look like.
     """
-    earliest = F.min(F.struct(F.col(ts).alias("ts"), F.col(key).alias("id"))).alias("first")
-    firsts = (
-        txns.filter(F.col(ts).isNotNull()).groupBy(customer).agg(earliest)
-        .select(F.col("first.id").alias(key), F.col("first.ts").alias("_first_ts"), F.lit(True).alias("_is_first"))
-    )
-    here = F.coalesce(F.col("_is_first") & (F.col(ts) == F.col("_first_ts")), F.lit(False))
-    return txns.join(firsts, key, "left").withColumn(flag, here).drop("_first_ts", "_is_first")
+    place = orderkeys.by_time(F.col(ts), F.col(key))
+    firsts = txns.filter(F.col(ts).isNotNull()).groupBy(customer).agg(F.min(place).alias("_first")).select(
+        orderkeys.minor_of(F.col("_first")).alias(key), "_first")
+    here = F.coalesce(place == F.col("_first"), F.lit(False))
+    return txns.join(firsts, key, "left").withColumn(flag, here).drop("_first")
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

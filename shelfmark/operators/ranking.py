@@ -91,27 +91,24 @@ def with_places(
     """Several row numbers and ``ntile`` columns over the whole frame, in one sort.
 
     Each maps a new column to its ascending numeric sort value; ties go by
-    ``key``, which has to be unique. A row is repeated once per ordering, with the
-    other columns on the first repeat only, and put together again by ``key``.
+    ``key``, which has to be a unique whole number. Only the key and the values are repeated per
+    ordering and sorted; the places are joined to the rows by ``key``. ``df`` is read twice and should
+    be cheap to read.
     """
     orderings = {**row_numbers, **{name: value for name, (value, _) in ntiles.items()}}
-    first = next(iter(orderings))
-    others = F.struct(*[F.col(name) for name in df.columns if name != key])
     repeats = F.array(*[
         F.struct(F.lit(name).alias("_order"), value.cast("decimal(38,6)").alias("_value"))
         for name, value in orderings.items()
     ])
-    stacked = df.select(key, others.alias("_others"), F.explode(repeats).alias("_r")).select(
-        key, "_r._order", "_r._value", F.when(F.col("_r._order") == first, F.col("_others")).alias("_others")
-    )
+    stacked = df.select(key, F.explode(repeats).alias("_r")).select(key, "_r._order", "_r._value")
     order = [F.col("_value").asc_nulls_first(), F.col(key).asc_nulls_first()]
     placed = with_row_number(stacked, order, "_rn", ["_order"], total="_n", few_groups=True)
     columns = []
     for name in orderings:
         value = F.col("_rn") if name in row_numbers else _bucket(F.col("_rn"), F.col("_n"), ntiles[name][1])
         columns.append(F.max(F.when(F.col("_order") == name, value)).alias(name))
-    back = placed.groupBy(key).agg(F.first("_others", ignorenulls=True).alias("_others"), *columns)
-    return back.select(key, "_others.*", *orderings)
+    places = placed.groupBy(F.col(key).alias("_key")).agg(*columns)
+    return df.join(places, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def with_dense_rank(df: DataFrame, value: str, name: str, group: list[str]) -> DataFrame:

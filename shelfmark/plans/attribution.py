@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfmark.functions import numbers
+from shelfmark.functions import numbers, orderkeys
 from shelfmark.operators import journeys as journeys_of
 from shelfmark.operators.ranking import with_row_number
 from shelfmark.operators.totals import with_running_sums
+from shelfmark.session import cut_lineage
 
 # Look-back in days, half-life of the decay in days, position and
 # first/last weights.
@@ -124,13 +125,12 @@ def channel_counts(touches: DataFrame) -> DataFrame:
     from a running count up to the moment of the purchase.
     """
     stamped = touches.withColumn("day", _day_number("touch_timestamp"))
-    earliest = F.struct(
-        F.col("touch_timestamp").alias("ts"), _is_purchase().alias("last"), F.col("touch_id").alias("id"),
-        F.col("channel").alias("channel"), F.col("campaign_id").alias("campaign_id"),
-    )
-    daily = stamped.groupBy("customer_id", "day", "channel").agg(
-        F.count(F.lit(1)).alias("n"), F.min(earliest).alias("first")
+    # The earliest touch as a key of fixed width; of one moment, purchases come last.
+    place = orderkeys.packed(orderkeys.micros(F.col("touch_timestamp")) * 2 + _is_purchase(), F.col("touch_id"))
+    daily = stamped.withColumn("_key", place).groupBy("customer_id", "day", "channel").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_key").alias("first"), F.min_by("campaign_id", "_key").alias("campaign")
     )
+    earliest = [F.min("first").alias("first"), F.min_by("campaign", "first").alias("campaign")]
     bought = _purchases(touches)
 
     days = bought.select("customer_id", "bought_day").distinct().withColumn("_block", _own_block("bought_day"))
@@ -140,21 +140,21 @@ def channel_counts(touches: DataFrame) -> DataFrame:
     before = (
         days.join(blocks, ["customer_id", "_block"]).filter((age >= 1) & (age <= LOOKBACK_DAYS))
         .groupBy("customer_id", "bought_day", "channel")
-        .agg(F.sum("n").alias("n"), F.sum(F.col("n") * weight).alias("w"), F.min("first").alias("first"))
+        .agg(F.sum("n").alias("n"), F.sum(F.col("n") * weight).alias("w"), *earliest)
     )
-    on_earlier_days = bought.join(before, ["customer_id", "bought_day"]).select("transaction_id", "channel", "n", "w", "first")
+    on_earlier_days = bought.join(before, ["customer_id", "bought_day"]).select("transaction_id", "channel", "n", "w", "first", "campaign")
 
     # The purchase asks, per channel of its day, how many touches there were up to its moment.
     asked = bought.join(
         daily.withColumnRenamed("day", "bought_day"), ["customer_id", "bought_day"]
     ).select(
         "customer_id", F.col("bought_day").alias("day"), "channel", F.col("bought_at").alias("ts"),
-        "transaction_id", "first", F.lit(0).alias("one"),
+        "transaction_id", "first", "campaign", F.lit(0).alias("one"),
     )
     told = stamped.select(
         "customer_id", "day", "channel", F.col("touch_timestamp").alias("ts"),
-        F.lit(None).cast("bigint").alias("transaction_id"), F.lit(None).cast(daily.schema["first"].dataType).alias("first"),
-        F.lit(1).alias("one"),
+        F.lit(None).cast("bigint").alias("transaction_id"), F.lit(None).cast("decimal(38,0)").alias("first"),
+        F.lit(None).cast("bigint").alias("campaign"), F.lit(1).alias("one"),
     )
     # Purchases ask behind the touches of their very moment, so these count as well.
     running = with_running_sums(
@@ -162,10 +162,10 @@ def channel_counts(touches: DataFrame) -> DataFrame:
         {"n": F.col("one")},
     )
     on_the_day = running.filter("transaction_id is not null and n > 0").select(
-        "transaction_id", "channel", "n", F.col("n").cast("double").alias("w"), "first"
+        "transaction_id", "channel", "n", F.col("n").cast("double").alias("w"), "first", "campaign"
     )
     return on_earlier_days.unionByName(on_the_day).groupBy("transaction_id", "channel").agg(
-        F.sum("n").alias("touches"), F.round(F.sum("w"), 9).alias("weight"), F.min("first").alias("first")
+        F.sum("n").alias("touches"), F.round(F.sum("w"), 9).alias("weight"), *earliest
     )
 
 
@@ -180,13 +180,13 @@ def journeys(touches: DataFrame) -> DataFrame:
         {
             "touchpoint_count": F.sum("touches").over(whole),
             "_weight_total": F.sum("weight").over(whole),
-            "_start": F.min("first").over(whole),
+            "_start": F.min(F.struct("first", "channel", "campaign")).over(whole),
         }
     )
-    # Purchases sort after other touches of the same moment, so the last touch is a purchase.
-    closing = touches.filter("event_type = 'purchase'").groupBy("customer_id", F.col("touch_timestamp").alias("bought_at")).agg(
-        F.max(F.struct(F.col("touch_id"), F.col("channel"), F.col("campaign_id"))).alias("_end")
-    )
+    # Purchases sort after other touches of the same moment, so the last touch is a purchase: the one with the largest id.
+    purchases = touches.filter("event_type = 'purchase'")
+    closing = purchases.groupBy("customer_id", F.col("touch_timestamp").alias("bought_at")).agg(F.max("touch_id").alias("_end_id")).join(
+        purchases.select(F.col("touch_id").alias("_end_id"), F.struct("channel", "campaign_id").alias("_end")), "_end_id")
     bought = _purchases(touches).join(closing, ["customer_id", "bought_at"])
     return totals.join(bought, "transaction_id").select(
         "transaction_id", "customer_id", "transaction_revenue",
@@ -194,10 +194,11 @@ def journeys(touches: DataFrame) -> DataFrame:
         F.to_date("bought_at").alias("attribution_date"),
         "channel", "touches", "weight", "touchpoint_count", "_weight_total",
         F.col("_start.channel").alias("first_touch_channel"),
-        F.col("_start.campaign_id").alias("first_touch_campaign_id"),
+        F.col("_start.campaign").alias("first_touch_campaign_id"),
         F.col("_end.channel").alias("last_touch_channel"),
         F.col("_end.campaign_id").alias("last_touch_campaign_id"),
-        F.date_diff(F.to_date("bought_at"), F.to_date("_start.ts")).alias("journey_length_days"),
+        F.date_diff(F.to_date("bought_at"), F.to_date(F.timestamp_micros(F.floor(orderkeys.major_of(F.col("_start.first")) / 2).cast("bigint")))).alias(
+            "journey_length_days"),
     )
 
 
@@ -257,7 +258,8 @@ MAPS = {"time_decay": "time_decay_attribution_map", "position": "position_based_
 
 def channel_attribution(touches: DataFrame) -> DataFrame:
     """One row per purchase with all models and the touch list."""
-    rows = journeys(touches)
+    # Written once: the maps and the purchases' rows both read it.
+    rows = cut_lineage(journeys(touches))
     for model in MAPS:
         rows = with_credit(rows, model, f"_{model}")
     entries = lambda model: F.map_from_entries(

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions import ladders, numbers
+from shelfmark.functions import ladders, numbers, orderkeys
 from shelfmark.operators.lines import by_order_and_product
+from shelfmark.operators.names import numbered, with_name, with_number
 from shelfmark.operators.ranking import with_places, with_row_number
+from shelfmark.session import cut_lineage
 
 # Lifetime value factor of the simple prediction, score buckets.
 CLV_FACTOR = "1.5"
@@ -50,20 +52,21 @@ def order_profile(txns: DataFrame, as_of: Column) -> DataFrame:
         inside = since(day, as_of, days)
         sums[f"orders_{days}"] = F.count_if(inside)
         sums[f"revenue_{days}"] = F.sum(F.when(inside, spent).otherwise(0))
-    by_channel = txns.groupBy("customer_id", "channel").agg(
+    by_channel = cut_lineage(txns.groupBy("customer_id", "channel").agg(
         F.min(day).alias("first_day"), F.max(day).alias("last_day"), *[value.alias(name) for name, value in sums.items()]
-    )
-    in_channel = lambda channel: F.sum(F.when(F.col("channel") == channel, F.col("orders")).otherwise(0))
-    most_used = F.min(F.when(
-        F.col("channel").isNotNull(), F.struct((-F.col("rows")).alias("n"), F.col("channel").alias("channel"))
     ))
+    in_channel = lambda channel: F.sum(F.when(F.col("channel") == channel, F.col("orders")).otherwise(0))
+    names = numbered(by_channel.select("channel"), "channel")
+    by_channel = with_number(by_channel, names, "channel", "_channel")
+    most_used = orderkeys.minor_of(F.min(orderkeys.packed(-F.col("rows"), F.col("_channel"))))
     summed = by_channel.groupBy("customer_id").agg(
         F.min("first_day").alias("first_purchase_date"),
         F.max("last_day").alias("last_purchase_date"),
         *[F.sum(name).alias(name) for name in sums],
         *[in_channel(channel).alias(f"{name}_orders") for channel, name in CHANNELS.items()],
-        most_used.alias("most_used"),
+        most_used.alias("_channel"),
     )
+    summed = with_name(summed, names, "_channel", "most_used")
     used = sum((F.when(F.col(f"{name}_orders") > 0, 1).otherwise(0) for name in CHANNELS.values()), F.lit(0))
     tier = F.lit("bronze")
     for points, name in reversed(LOYALTY_TIERS):
@@ -83,7 +86,7 @@ def order_profile(txns: DataFrame, as_of: Column) -> DataFrame:
         *[numbers.whole(F.col(f"{name}_orders")).alias(f"{name}_orders") for name in CHANNELS.values()],
         *[numbers.percent(F.col(f"{name}_orders"), orders).alias(f"{name}_order_percentage") for name in CHANNELS.values()],
         numbers.ratio(used, F.lit(len(CHANNELS))).alias("channel_diversity_score"),
-        F.col("most_used.channel").alias("primary_channel"),
+        F.col("most_used").alias("primary_channel"),
         *[numbers.whole(F.col(f"orders_{days}")).alias(f"orders_last_{days}d") for days in RECENT_DAYS],
         *[numbers.money(numbers.from_cents(F.col(f"revenue_{days}"))).alias(f"revenue_last_{days}d") for days in RECENT_DAYS],
         numbers.whole(F.col("earned")).alias("total_loyalty_points_earned"),
@@ -142,12 +145,12 @@ def _scores() -> dict[str, tuple[Column, int]]:
 
 def rfm_scores(base: DataFrame) -> DataFrame:
     """Quintiles 1..5 for recency (most recent = 5), order count and revenue, ties by customer id."""
-    return with_places(base, "customer_id", {}, _scores())
+    return with_places(cut_lineage(base), "customer_id", {}, _scores())
 
 
 def scored_and_keyed(base: DataFrame) -> DataFrame:
     """The three quintiles and the running customer number, in one sort."""
-    return with_places(base, "customer_id", {"customer_key": F.col("customer_id")}, _scores())
+    return with_places(cut_lineage(base), "customer_id", {"customer_key": F.col("customer_id")}, _scores())
 
 
 def with_segment(scored: DataFrame) -> DataFrame:
@@ -201,7 +204,9 @@ def item_profile(bought: DataFrame, products: DataFrame, as_of: Column) -> DataF
     nothing has to be counted as DISTINCT or joined again.
     """
     catalog = products.filter("is_current").select("product_id", "category_level1", "brand", "price_tier")
-    rows = bought.join(catalog, "product_id", "left")
+    names = numbered(catalog.select(F.col("category_level1").alias("name")).union(catalog.select("brand")), "name")
+    coded = with_number(with_number(catalog, names, "category_level1", "_category"), names, "brand", "_brand")
+    rows = bought.join(coded, "product_id", "left")
     recent = since(F.col("last_date"), as_of, 365)
     premium = F.col("price_tier").isin("premium", "luxury")
     sums = {
@@ -216,12 +221,12 @@ def item_profile(bought: DataFrame, products: DataFrame, as_of: Column) -> DataF
         "recent_products": F.count_if(recent),
         "premium_units": F.sum(F.when(premium, F.col("gross_units")).otherwise(0)),
     }
-    grouped = rows.groupBy("customer_id", "category_level1", "brand").agg(
+    grouped = rows.groupBy("customer_id", "_category", "_brand").agg(
         *[value.alias(name) for name, value in sums.items()]
     )
     roles = F.array(*[
         F.struct(F.lit(role).alias("role"), value.alias("value"))
-        for role, value in (("whole", F.lit("")), ("category", F.col("category_level1")), ("brand", F.col("brand")))
+        for role, value in (("whole", F.lit(0).cast("bigint")), ("category", F.col("_category")), ("brand", F.col("_brand")))
     ])
     counted = grouped.withColumn("_r", F.explode(roles)).groupBy("customer_id", "_r.role", "_r.value").agg(
         *[F.sum(name).alias(name) for name in sums]
@@ -229,10 +234,11 @@ def item_profile(bought: DataFrame, products: DataFrame, as_of: Column) -> DataF
     named = F.col("value").isNotNull()
     of = lambda name: F.sum(F.when(F.col("role") == "whole", F.col(name)))
     kinds = lambda role, also=F.lit(True): F.count_if((F.col("role") == role) & named & also)
-    best = lambda role: F.min(F.when(
-        (F.col("role") == role) & named, F.struct((-F.col("units")).alias("w"), F.col("value").alias("v"))
-    )).getField("v")
-    return counted.groupBy("customer_id").agg(
+    # Most units, then the first name: names are compared by their numbers, which have a fixed width.
+    best = lambda role: orderkeys.minor_of(F.min(F.when(
+        (F.col("role") == role) & named, orderkeys.packed(-F.col("units"), F.col("value"))
+    )))
+    found = counted.groupBy("customer_id").agg(
         numbers.whole(of("units")).alias("total_items_purchased"),
         numbers.whole(of("products")).alias("unique_products"),
         kinds("category").alias("unique_categories"),
@@ -245,9 +251,10 @@ def item_profile(bought: DataFrame, products: DataFrame, as_of: Column) -> DataF
         numbers.percent(of("returned_units"), of("gross_units")).alias("return_rate"),
         numbers.money(numbers.from_cents(of("returned_value"))).alias("total_return_value"),
         numbers.money(numbers.from_cents(of("profit"))).alias("total_profit"),
-        best("category").alias("most_purchased_category"),
-        best("brand").alias("most_purchased_brand"),
+        best("category").alias("_category"),
+        best("brand").alias("_brand"),
     )
+    return with_name(with_name(found, names, "_category", "most_purchased_category"), names, "_brand", "most_purchased_brand").drop("_category", "_brand")
 
 
 def premium_share(bought: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
