@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from shelfmark.functions import ladders, numbers, text
 from shelfmark.operators.ranking import with_dense_rank
+from shelfmark.operators.totals import with_group_totals
 from shelfmark.session import cut_lineage
 
 # The control group, lifetime factor, profit share of the organic baseline.
@@ -111,10 +111,10 @@ def spend(campaigns: DataFrame, as_of: Column) -> DataFrame:
 def unit_economics(measured: DataFrame, campaigns: DataFrame, events: DataFrame, as_of: Column) -> DataFrame:
     """Shares of budget, spend, impressions and clicks, and the costs and returns that follow."""
     is_organic = F.col("coupon_code") == ORGANIC_CODE
-    # A partition is one campaign number: its coupon codes by sales channel.
-    inside = Window.partitionBy("campaign_id")
     orders = F.col("attributed_transactions")
-    share = F.when(~is_organic, orders.cast("double") / F.sum(F.when(~is_organic, orders)).over(inside))
+    # Codes without a number have no campaign to share in, but count as one group.
+    measured = with_group_totals(cut_lineage(measured), ["campaign_id"], {"_orders": F.sum(F.when(~is_organic, orders))})
+    share = F.when(~is_organic, orders.cast("double") / F.col("_orders"))
     feeds = spend(campaigns, as_of).join(
         funnel(events).select("campaign_id", "impressions", "clicks"), "campaign_id", "full"
     )
@@ -135,7 +135,7 @@ def unit_economics(measured: DataFrame, campaigns: DataFrame, events: DataFrame,
             ),
             "campaign_type": ladders.campaign_type(is_organic, F.col("channel")),
         }
-    ).drop("_share", "campaign_budget", "campaign_spend", "impressions", "clicks")
+    ).drop("_share", "_orders", "campaign_budget", "campaign_spend", "impressions", "clicks")
     paid, revenue, profit = F.col("actual_spend"), F.col("attributed_revenue"), F.col("attributed_profit")
     shown, clicked = F.col("total_impressions"), F.col("total_clicks")
     lifetime = F.col("avg_transaction_value") * CLV_ORDERS

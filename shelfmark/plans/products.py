@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from shelfmark.functions import ladders, numbers
 from shelfmark.operators.firsts import top_value
 from shelfmark.operators.lines import by_order_and_product
 from shelfmark.operators.ranking import with_dense_rank, with_dense_ranks, with_row_number
+from shelfmark.operators.totals import with_group_totals
 from shelfmark.plans.baskets import baskets, cross_sell
 from shelfmark.session import cut_lineage
 
@@ -38,8 +38,8 @@ def profile(sold: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
     """Sales, returns, velocity and basket measures per product, in one pass.
 
     Counted through (product, customer) first, so that customers need no DISTINCT
-    and no product is one task's work. The order size is a window over the order,
-    by which the rows are hashed already.
+    and no product is one task's work. The order size is an aggregate joined back, so an order of very many
+    products is not gathered either.
     """
     day = F.col("transaction_date")
     recent = (day > F.date_sub(as_of, VELOCITY_DAYS)) & (day <= as_of)
@@ -55,7 +55,7 @@ def profile(sold: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
             for part, inside in (("recent", recent), ("earlier", earlier)) for name in ("net_units", "revenue")
         },
     }
-    sized = sold.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("transaction_id")))
+    sized = with_group_totals(sold, ["transaction_id"], {"size": F.count(F.lit(1))})
     per_customer = sized.groupBy("product_id", "customer_id").agg(
         *[value.alias(name) for name, value in sums.items()], F.max("is_first_purchase").alias("is_new")
     )
@@ -213,7 +213,8 @@ def product_performance(
     items: DataFrame, products: DataFrame, txns: DataFrame, inventory: DataFrame, as_of: Column
 ) -> DataFrame:
     """One row per sold product."""
-    sold = order_products(items, txns)
+    # Written once: profile and elasticity read it, the profile twice.
+    sold = cut_lineage(order_products(items, txns))
     metrics = cut_lineage(profile(sold, products, as_of))
     ranked = with_row_number(
         with_market_share(with_ranks(metrics), txns), [F.col("gross_revenue").desc(), F.col("product_id").asc()], "product_key"
