@@ -130,37 +130,50 @@ def with_dense_rank(df: DataFrame, value: str, name: str, group: list[str]) -> D
 def with_dense_ranks(
     df: DataFrame, key: str | list[str], ranks: dict[str, tuple[str, str | list[str] | None]]
 ) -> DataFrame:
-    """Several descending dense ranks in one sort, otherwise as ``with_dense_rank``.
+    """Several descending dense ranks in one sort; NULL values come last.
 
     ``ranks`` maps a new column to (value column, group column or columns or None); ``key``,
-    one column or several, is unique; nulls count as a value.
+    one column or several, is unique; nulls count as a value. Only keys, groups and values are
+    repeated per rank and sorted. Each slice ranks its own values; the distinct values of the slices before
+    it are added, less one wherever a slice goes on with the value that the one before ended with.
     """
     keys = [key] if isinstance(key, str) else key
-
-    def grouped(group: str | list[str] | None) -> Column:
-        named = [group] if isinstance(group, str) else group
-        return F.to_json(F.struct(*named)) if named else F.lit(None).cast("string")
-
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("_rank"), grouped(group).alias("_group"), F.col(value).cast("decimal(38,6)").alias("_value"))
-        for name, (value, group) in ranks.items()
-    ])
-    stacked = df.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.*")
-    groups = ["_rank", "_group"]
-    distinct = stacked.select(*groups, "_value").distinct()
-    numbered = with_row_number(distinct, [F.col("_value").desc_nulls_last()], "_rn", groups)
-    numbered = numbered.select(*[F.col(c).alias(f"_n{c}") for c in [*groups, "_value"]], "_rn")
-    same = F.lit(True)
-    for c in [*groups, "_value"]:
-        same = same & F.col(c).eqNullSafe(F.col(f"_n{c}"))
-    found = stacked.join(numbered, same, "left").groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_rank") == name, F.col("_rn"))).cast("int").alias(name) for name in ranks]
+    lists = {name: [group] if isinstance(group, str) else group or [] for name, (_, group) in ranks.items()}
+    shared = next(iter(lists.values()))
+    alike = all(group == shared for group in lists.values())
+    fields = shared if alike else ["_group"]
+
+    def entry(name: str) -> Column:
+        own = [F.col(g).alias(f"_g{i}") for i, g in enumerate(shared)] if alike else [
+            (F.to_json(F.struct(*lists[name])) if lists[name] else F.lit(None).cast("string")).alias("_g0")]
+        return F.struct(F.lit(name).alias("_rank"), *own, F.col(ranks[name][0]).cast("decimal(38,6)").alias("_value"))
+
+    groups = ["_rank", *[f"_g{i}" for i in range(len(fields))]]
+    named = [f"_k{i}" for i in range(len(keys))]
+    stacked = df.select(*[F.col(k).alias(n) for k, n in zip(keys, named)], F.explode(F.array(*map(entry, ranks))).alias("_e")).select(*named, "_e.*")
+    order = F.col("_value").desc_nulls_last()
+    inside = Window.partitionBy("_slice", *groups).orderBy(order)
+    local = in_slices(stacked, groups, [order]).withColumn("_local", F.dense_rank().over(inside))
+    ends = local.groupBy("_slice", *groups).agg(
+        F.max("_local").alias("_n"), F.max("_value").alias("_first"),
+        F.when(F.count("_value") == F.count(F.lit(1)), F.min("_value")).alias("_last"),
     )
-    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *ranks)
+    of_group = Window.partitionBy(*groups).orderBy("_slice")
+    goes_on = (F.lag("_n").over(of_group).isNotNull() & F.col("_first").eqNullSafe(F.lag("_last").over(of_group))).cast("int")
+    # One row per slice and group, so these windows are no longer than the number of slices.
+    offsets = ends.withColumn("_goes_on", goes_on).select(
+        F.col("_slice").alias("_s"), *[F.col(g).alias(f"_o{g}") for g in groups],
+        (F.sum("_n").over(of_group) - F.col("_n") - F.sum("_goes_on").over(of_group)).alias("_offset"),
+    )
+    same = F.col("_slice") == F.col("_s")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_o{g}"))
+    placed = local.join(offsets, same).groupBy(*named).agg(
+        *[F.max(F.when(F.col("_rank") == name, F.col("_local") + F.col("_offset"))).cast("int").alias(name) for name in ranks])
     here = F.lit(True)
-    for k in keys:
-        here = here & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return df.join(found, here, "left").drop(*[f"_k_{k}" for k in keys])
+    for k, n in zip(keys, named):
+        here = here & F.col(k).eqNullSafe(F.col(n))
+    return df.join(placed, here, "left").drop(*named)
 
 
 def with_neighbour(

@@ -105,9 +105,10 @@ def with_shares(rows: DataFrame) -> DataFrame:
     """Share of the category's and of the brand's revenue in the period."""
     category = ["time_period", "period_date", "category_level1"]
     revenue = F.col("total_revenue")
-    whole = with_group_totals(rows, category, {"_category": F.sum(revenue)})
-    both = with_group_totals(whole, [*category, "brand"], {"_brand": F.sum(revenue)})
-    return both.withColumns(
+    # Brands are added up to categories; both come back in one join.
+    brands = rows.groupBy(*category, "brand").agg(F.sum(revenue).alias("_brand"))
+    totals = brands.join(brands.groupBy(*category).agg(F.sum("_brand").alias("_category")), category)
+    return rows.join(totals, [*category, "brand"]).withColumns(
         {
             "category_revenue_percentage": numbers.percent(revenue, F.col("_category")),
             "brand_revenue_percentage": numbers.percent(revenue, F.col("_brand")),
