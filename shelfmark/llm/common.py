@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -48,6 +48,20 @@ def pieces(batch: pa.RecordBatch, text_col: str, limit: int = PIECE_CHARS) -> It
         yield batch.slice(start), texts
 
 
+def free_name(taken: Sequence[str], wish: str) -> str:
+    """A column name that none of the taken ones equals, whatever the case of their letters."""
+    known = {name.lower() for name in taken}
+    while wish.lower() in known:
+        wish = f"_{wish}"
+    return wish
+
+
+def without(names: Sequence[str], replaced: Iterable[str]) -> list[str]:
+    """The names that no replaced name equals, whatever the case of their letters."""
+    gone = {name.lower() for name in replaced}
+    return [name for name in names if name.lower() not in gone]
+
+
 def ship_package(spark: SparkSession) -> None:
     """Hands this library's source to the workers, once per application, as ``spark-submit --py-files`` would.
 
@@ -83,8 +97,7 @@ def map_texts(df: DataFrame, text_col: str, keep: Sequence[str], fields: str,
     texts of about ``piece_chars`` characters at once.
     """
     added = T.StructType.fromDDL(fields)
-    clash = {name.lower() for name in added.names}
-    kept = [name for name in keep if name.lower() not in clash]
+    kept = without(keep, added.names)
     source = df.select(*kept, *([] if text_col in kept else [text_col]))
     schema = T.StructType([source.schema[name] for name in kept] + list(added))
 

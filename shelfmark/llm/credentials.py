@@ -23,6 +23,8 @@ from pyspark.sql.window import Window
 
 from shelfmark.llm.quality_rules import let
 
+from shelfmark.llm.common import free_name, without
+
 REACH = 200
 
 
@@ -117,14 +119,13 @@ def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, r
     Result columns: ``n_assign``, ``n_access``, ``n_hex`` and ``spans``, an array of
     (start, kind, end) by start, then kind; kinds by number, see ``KINDS``. A null or
     empty text has no spans. Repeated rows stay apart (rows are numbered for the job),
-    also when their ids are equal or null.
+    also when their ids are equal or null. The numbers are those of the rows in their files: give it a
+    table that is read, or one cut by ``cut_lineage``, not the result of a shuffle.
     """
-    added = {"n_assign", "n_access", "n_hex", "spans", "_parts", "_row"}
-    carried = [c for c in (keep if keep is not None else [c for c in df.columns if c != text_col]) if c not in added]
-    source = df.select(*[F.col(f"`{c}`") for c in carried], parts_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_parts"),
-                       F.monotonically_increasing_id().alias("_row"))
+    carried = without(keep if keep is not None else [c for c in df.columns if c != text_col], ("n_assign", "n_access", "n_hex", "spans"))
     renamed = [f"_in{i}" for i in range(len(carried))]
-    source = source.select("_row", "_parts", *[F.col(f"`{c}`").alias(r) for c, r in zip(carried, renamed)])
+    source = df.select(F.monotonically_increasing_id().alias("_row"), parts_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_parts"),
+                       *[F.col(f"`{c}`").alias(r) for c, r in zip(carried, renamed)])
     lines = linked(located(source, "_row", renamed), "_row", reach)
     counts = [F.count_if(F.col("reported") & (F.col("kind") == i)).alias(f"n_{k.name}") for i, k in enumerate(BASE)]
     span = F.when(F.col("reported"), F.struct("start", "kind", "end"))
@@ -173,9 +174,12 @@ def masked(df: DataFrame, text_col: str = "text", reach: int = REACH) -> DataFra
     ids may be null or repeated. Only texts with spans take part in the join's right side.
     """
     columns = df.columns
-    keyed = df.select("*", F.md5(F.col(f"`{text_col}`").cast("binary")).alias("_key"))
-    spans = scan(keyed, text_col, keep=["_key"], reach=reach).filter(F.size("spans") > 0).groupBy("_key").agg(
-        F.any_value("spans").alias("_spans"))
-    text = F.when(F.col("_spans").isNotNull(), mask(F.col(f"`{text_col}`"), F.col("_spans"))).otherwise(F.col(f"`{text_col}`"))
-    joined = keyed.join(spans, "_key", "left")
-    return joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns])
+    key, found = free_name(columns, "_key"), free_name(columns, "_spans")
+    # Null texts have nothing to mask; without a digest they would all meet in one task.
+    empty = df.filter(F.col(f"`{text_col}`").isNull())
+    keyed = df.filter(F.col(f"`{text_col}`").isNotNull()).select("*", F.md5(F.col(f"`{text_col}`").cast("binary")).alias(key))
+    spans = scan(keyed, text_col, keep=[key], reach=reach).filter(F.size("spans") > 0).groupBy(key).agg(
+        F.any_value("spans").alias(found))
+    text = F.when(F.col(found).isNotNull(), mask(F.col(f"`{text_col}`"), F.col(found))).otherwise(F.col(f"`{text_col}`"))
+    joined = keyed.join(spans, key, "left")
+    return joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns]).unionByName(empty)

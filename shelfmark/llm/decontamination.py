@@ -4,8 +4,9 @@ A mask keeps some positions of a window of words and ignores the others, so a wi
 with substituted words at ignored positions still has the hash of the original. For
 each mask, the windows of the documents are joined by hash with the windows of the
 benchmark; around each hit the two texts are compared word by word along the hit's
-alignment. An overlap is the best stretch of that alignment (one point for an equal
-word, one less for a substituted one) and is reported from ``min_score`` points.
+alignment. An overlap is a stretch of that alignment with the most points (one for an equal
+word, one less for a substituted one) and is reported from ``min_score`` points; so are the best
+stretches beside it. Items too short for that many points are wanted whole, by one window each.
 
 The benchmark is sent to the workers in blocks of at most ``block_words`` words, so
 what is broadcast has a fixed bound; a larger benchmark means more blocks, each a
@@ -46,6 +47,20 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return int(gain[end]), start, end
 
 
+def stretches(equal: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(score, start, end) of the best stretch and, left and right of it, of the best ones there, as long as they reach ``least`` points."""
+    found, parts = [], [(0, len(equal))]
+    while parts:
+        begin, end = parts.pop()
+        if end - begin < least:
+            continue
+        score, a, b = best_stretch(equal[begin:end])
+        if score >= least:
+            found.append((score, begin + a, begin + b))
+            parts += [(begin, begin + a), (begin + b, end)]
+    return sorted(found, key=lambda s: s[1])
+
+
 class Seeds:
     """Window hashes of a block of items, by mask, and the comparison around hits."""
 
@@ -57,15 +72,22 @@ class Seeds:
                       for _, text in items]
         rng = np.random.default_rng(7)
         self.masks = [np.flatnonzero([c == "1" for c in m]) for m in masks]
+        # An item of fewer words than the least score is wanted word for word, as one window.
+        short = sorted({len(i) for i in self.items if 0 < len(i) < min_score})
+        whole = [None] * len(self.masks) + short
+        self.masks += [np.arange(n) for n in short]
         self.factors = rng.integers(1, 1 << 62, size=max(map(len, self.masks)), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.reach = max(map(len, masks))
+        self.reach = max(*map(len, masks), min_score)
         gap = np.zeros(self.reach, np.int32)
         joined = np.concatenate([x for item in self.items for x in (item, gap)]) if self.items else gap
         owner = np.repeat(np.arange(len(self.items)), [len(i) + self.reach for i in self.items])
         first = np.cumsum([0, *(len(i) + self.reach for i in self.items)])
         self.tables = []
-        for kept in self.masks:
+        lengths = np.array([len(i) for i in self.items], np.int64)
+        for kept, only in zip(self.masks, whole):
             at, hashes = self.windows(joined, kept)
+            if only is not None:
+                at, hashes = at[lengths[owner[at]] == only], hashes[lengths[owner[at]] == only]
             order = np.argsort(hashes, kind="stable")
             at = at[order]
             self.tables.append((hashes[order], owner[at], at - first[owner[at]]))
@@ -86,8 +108,8 @@ class Seeds:
             hashes = hashes * np.uint64(0xD6E8FEB86659FD93) + (word ^ (word >> np.uint64(29))) * factor
         return at, hashes
 
-    def find(self, texts: list[str]) -> dict[int, dict[int, tuple[int, int, int, int]]]:
-        """For each text with an overlap: item -> (score, equal words, first word, end), the best overlap of the item."""
+    def find(self, texts: list[str]) -> dict[int, set[tuple[int, int, int, int, int]]]:
+        """For each text with an overlap: (item, score, equal words, first word, end) of every stretch of every alignment that was hit."""
         get = self.numbers.get
         numbered = [[get(w, 0) for w in words_of(t.lower())] for t in texts]
         sizes = np.array([len(x) + self.reach for x in numbered], np.int64)
@@ -105,16 +127,14 @@ class Seeds:
             at = np.repeat(at, count)
             text = np.searchsorted(first, at, "right") - 1
             hits.append(np.stack([text, item[which], at - first[text] - place[which]], axis=1))
-        found: dict[int, dict[int, tuple[int, int, int, int]]] = {}
+        found: dict[int, set[tuple[int, int, int, int, int]]] = {}
         for text, item, shift in np.unique(np.concatenate(hits), axis=0).tolist() if hits else []:
             own, other = ids[first[text]:first[text + 1] - self.reach], self.items[item]
             begin, end = max(0, shift), min(len(own), shift + len(other))
             equal = own[begin:end] == other[begin - shift:end - shift]
-            score, a, b = best_stretch(equal)
-            best = (score, int(equal[a:b].sum()), begin + a, begin + b)
-            if score >= self.min_score and (item not in (of := found.setdefault(text, {})) or (-best[0], best[2]) < (-of[item][0], of[item][2])):
-                of[item] = best
-        return {t: of for t, of in found.items() if of}
+            for score, a, b in stretches(equal, min(self.min_score, len(other))):
+                found.setdefault(text, set()).add((item, score, int(equal[a:b].sum()), begin + a, begin + b))
+        return found
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> Iterator[list[tuple]]:
@@ -131,12 +151,13 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int
 def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
              item_text_col: str = "text", masks: tuple[str, ...] = MASKS, min_score: int = MIN_SCORE,
              block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document row and benchmark item that overlap: the id, ``item_id``, ``score``, ``n_equal`` words, and the
+    """One row per overlap of a document row with a benchmark item: the id, ``item_id``, ``score``, ``n_equal`` words, and the
     overlap's ``start`` and ``end`` in words of letters and digits.
 
-    Words are compared in lower case. Null and empty texts overlap with nothing, nor do
-    items or texts of fewer words than ``min_score``. Repeated rows are reported each;
-    ids may be null.
+    Every stretch of every alignment that reaches the score is reported, so an item that a document holds
+    twice has two rows. An item of fewer words than ``min_score`` is found where it stands word for word.
+    Words are compared in lower case. Null and empty texts, and items without words, overlap with nothing.
+    Repeated rows are reported each; ids may be null.
     """
     source = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     schema = T.StructType([T.StructField("_id", source.schema["_id"].dataType),
@@ -152,7 +173,7 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
             for batch in batches:
                 for piece, texts in pieces(batch, "_text"):
                     ids = piece.column(0)
-                    rows = [(t, seeds.keys[i], *best) for t, of in seeds.find(texts).items() for i, best in sorted(of.items())]
+                    rows = [(t, seeds.keys[i], *of) for t, found in seeds.find(texts).items() for i, *of in sorted(found)]
                     if rows:
                         at, *rest = zip(*rows)
                         columns = [pa.array(v, pa.int64()) for v in rest[1:]]

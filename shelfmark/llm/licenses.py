@@ -18,6 +18,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import without
+
 # Spellings and the one that stands for them, applied in this order to small letters.
 SPELLINGS = (
     ("licence", "license"), ("licensed", "license"), ("released", "license"), ("distributed", "license"),
@@ -137,6 +139,15 @@ WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-I
 HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR
 OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
+# Digests of the canonical form of the long licences' public texts, as systems ship them.
+DIGESTS = {
+    "Apache-2.0": "5a9385f21630674d59fd055d6ececb22b4bdadbfbd4f8bb53d099f65467869ce",
+    "CC0-1.0": "b26895beb460d2caf2b084b6e087328eba00ebee7f9ea5dac4ff4849a91a45c6",
+    "GPL-2.0": "fbf4c4ba7c912f668ff89e1b725a09a7909a3040f0d9c52a7d4f9a081b3d6dcd",
+    "GPL-3.0": "7bfd6dfdfc194e297480468a4e629d8535b006ea9e28008ee26c19f4296d1f33",
+    "LGPL-3.0": "b85864a779a21b84aa02132e48baa62ce41465ea10051d780dedbbc2fbb27a11",
+    "MPL-2.0": "9fb6f4bfd7b78f93c45aced3346ba024c6d6b5e1ecb63bea249f03c8c87eff92",
+}
 # Headings that stand above a text besides the licence's title.
 HEADINGS = {"BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003", "MIT": "The MIT License (MIT)",
             "BSD-3-Clause": "Revised BSD License", "BSD-2-Clause": "Simplified BSD License"}
@@ -175,20 +186,25 @@ def known_texts() -> list[tuple[str, str]]:
 
 
 def known_digests(spark: SparkSession, rows: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(digest, license), one row per digest; of two licences with one canonical text the smaller name stays."""
-    texts = spark.createDataFrame(rows or known_texts(), "license string, text string")
-    return texts.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    """(digest, license), one row per digest; of two licences with one canonical text the smaller name stays.
+
+    Without ``rows``, the listed texts and notices, and the digests of the long licences.
+    """
+    texts = spark.createDataFrame(rows or known_texts(), "license string, text string").select(digest(F.col("text")).alias("digest"), "license")
+    if rows is None:
+        texts = texts.unionByName(spark.createDataFrame([(d, name) for name, d in DIGESTS.items()], "digest string, license string"))
+    return texts.groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def scan(df: DataFrame, known: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns of every row, the ``digest`` of its whole canonical text, the ``license`` that the whole text is
     (else null), and the licences its lines give notice of: ``n_notices`` and ``notices`` (sorted, joined by commas).
 
-    A null text counts as empty: no licence. Repeated rows stay apart. The known
+    A null text counts as empty: no licence. Repeated rows stay apart: they are numbered as in their files, so give
+    it a table that is read, or one cut by ``cut_lineage``, not the result of a shuffle. The known
     table is left to the planner, which broadcasts it while it is small.
     """
-    added = {"digest", "license", "n_notices", "notices"}
-    carried = [c for c in (keep if keep is not None else [c for c in df.columns if c != text_col]) if c not in added]
+    carried = without(keep if keep is not None else [c for c in df.columns if c != text_col], ("digest", "license", "n_notices", "notices"))
     renamed = [f"_in{i}" for i in range(len(carried))]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(NOTICE_HINT))

@@ -387,16 +387,18 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     chosen = rooted.filter(low).groupBy(F.col("root").alias("_root")).agg(F.min("digest").alias("_digest"))
     judged = rooted.join(chosen, F.col("root") == F.col("_root")).select("id", "digest", (low & (F.col("digest") == F.col("_digest"))).alias("stays"))
     dropped = judged.filter(~F.col("stays")).select(F.col("id").alias("_id"), F.col("digest").alias("_digest")).distinct()
-    keyed = df.select("*", digest(F.col(f"`{text_col}`")).alias("_key"))
+    own = [F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(df.columns)]  # names that clash with none of those below
+    row_id = f"_in{df.columns.index(id_col)}"
+    keyed = df.select(*own, digest(F.col(f"`{text_col}`")).alias("_key"))
 
     def same(other: DataFrame) -> Column:
-        return F.col(f"`{id_col}`").eqNullSafe(other["_id"]) & (F.col("_key") == other["_digest"])
+        return F.col(row_id).eqNullSafe(other["_id"]) & (F.col("_key") == other["_digest"])
 
     kept = keyed.join(dropped, same(dropped), "left_anti")
     # Rows that repeat both id and text are told apart by nothing: one of them stays.
     again = cut_lineage(judged.filter("stays").groupBy(F.col("id").alias("_id"), F.col("digest").alias("_digest")).count().filter(
         "count > 1").select("_id", "_digest"))
     if not again.isEmpty():
-        single = kept.join(again, same(again), "left_semi").dropDuplicates([id_col, "_key"])
+        single = kept.join(again, same(again), "left_semi").dropDuplicates([row_id, "_key"])
         kept = kept.join(again, same(again), "left_anti").unionByName(single)
-    return kept.select(*[F.col(f"`{c}`") for c in df.columns])
+    return kept.select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(df.columns)])

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACE, WORD
+from shelfmark.llm.common import SPACE, WORD, free_name, without
 
 # Words of a window whose repetition counts.
 WINDOW = 8
@@ -114,15 +114,15 @@ def judge(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
     """
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_capitals")
     added = {*names, "base_failed", "failed_rules", "kept"}
-    carried = [F.col(f"`{c}`") for c in (keep or df.columns) if c not in added]
-    measured = df.select(*carried, measures(F.col(f"`{text_col}`")).alias("_measures"))
+    carried = [F.col(f"`{c}`") for c in without(keep or df.columns, added)]
+    own = free_name(df.columns, "_measures")
+    measured = df.select(*carried, measures(F.col(f"`{text_col}`")).alias(own))
 
     def measure(name: str) -> Column:
-        return F.col("_measures")[name]
+        return F.col(own)[name]
 
     base_failed = (measure("n_words") < min_words) | (100 * measure("n_repeat_words") > max_repeat_percent * measure("n_words"))
     failed = F.concat_ws(",", *[F.when(~passes(rule, measure), F.lit(rule.name)) for rule in rules])
-    outer = [F.col(f"`{c}`") for c in (keep or df.columns) if c not in added]
     return measured.select(
-        *outer, *[measure(n).alias(n) for n in names], base_failed.alias("base_failed"), failed.alias("failed_rules"),
+        *carried, *[measure(n).alias(n) for n in names], base_failed.alias("base_failed"), failed.alias("failed_rules"),
         (~base_failed & (failed == "")).alias("kept"))

@@ -39,7 +39,8 @@ def _canonical(text: str) -> str:
 
 LICENSE_SCAN = f"""
 WITH texts(license, text) AS (VALUES {', '.join(f'({_quoted(name)}, {_quoted(body)})' for name, body in licenses.known_texts())}),
-known AS (SELECT {_canonical('text')} AS digest, min(license) AS license FROM texts GROUP BY 1),
+known AS (SELECT digest, min(license) AS license FROM (SELECT {_canonical('text')} AS digest, license FROM texts
+  UNION ALL VALUES {', '.join(f'({_quoted(d)}, {_quoted(name)})' for name, d in licenses.DIGESTS.items())}) GROUP BY 1),
 lines AS (
   SELECT doc_id, {_canonical('line')} AS digest
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
