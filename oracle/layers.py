@@ -101,6 +101,17 @@ h AS (SELECT * FROM c WHERE p IS NULL OR p <> m)
 SELECT product_id, m.a AS pack_class, m.b AS terms, arrived AS effective_start_date,
   lead(arrived) OVER (PARTITION BY product_id ORDER BY arrived) AS effective_end_date,
   lead(arrived) OVER (PARTITION BY product_id ORDER BY arrived) IS NULL AS is_current FROM h""",
+    "scd2_current": """
+SELECT l_partkey AS product_id, m.a AS pack_class, m.b AS terms, arrived AS effective_start_date FROM (
+WITH v AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS arrived,
+  MAX({'a': CAST(floor(l_quantity / 25) AS INTEGER), 'b': l_returnflag}) AS m FROM lineitem GROUP BY 1, 2),
+c AS (SELECT *, lag(m) OVER (PARTITION BY l_partkey ORDER BY arrived) AS p FROM v)
+SELECT * FROM c WHERE p IS NULL OR p <> m QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY arrived DESC) = 1)""",
+    "schema_alignment": """
+SELECT transaction_id, customer_id, transaction_date, total_amount, CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS INTEGER) AS coupons
+FROM txn""",
+    "metadata_stamp": """
+SELECT 'events_feed' AS source_system, '2001-08-02 06:00:00' AS created_timestamp, COUNT(*) AS row_count FROM events""",
     "code_to_id": """
 SELECT transaction_id, customer_id, CASE WHEN channel = 'in-store' THEN store_id END AS store_id,
   CAST(NULL AS BIGINT) AS digitless, CASE WHEN channel = 'in-store' THEN 'store' END AS location_type FROM txn""",

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.contracts import conform
 from shelfmark.contracts import silver as silver_contracts
 from shelfmark.contracts.bronze import BRONZE
 from shelfmark.functions import calendar, ladders, text
@@ -187,6 +188,28 @@ def scd2_history(spark: SparkSession, folder: str) -> DataFrame:
     return history.scd2_history(lines, "product_id", "arrived", ["pack_class", "terms"])
 
 
+def scd2_current(spark: SparkSession, folder: str) -> DataFrame:
+    """The current version of each part's selling terms."""
+    return scd2_history(spark, folder).filter("is_current").select("product_id", "pack_class", "terms", "effective_start_date")
+
+
+def schema_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with other column order, other types, missing and further columns, under the contract of silver transactions."""
+    loose = shapes.transactions(spark, folder).select(
+        F.col("total_amount").cast("double").alias("total_amount"), F.lit("x").alias("not_declared"),
+        F.col("customer_id").cast("string").alias("customer_id"), F.col("transaction_id").cast("decimal(20,0)").alias("transaction_id"),
+        F.date_format("transaction_date", "yyyy-MM-dd").alias("transaction_date"),
+    )
+    aligned = conform(loose, silver_contracts.SILVER["transactions"])
+    return aligned.select("transaction_id", "customer_id", "transaction_date", "total_amount", "payment_method", F.size("coupon_codes").alias("coupons"))
+
+
+def metadata_stamp(spark: SparkSession, folder: str) -> DataFrame:
+    """Load time and source system of silver rows."""
+    typed = silver.interactions_from_raw(shapes.raw_customer_interactions(spark, folder), F.lit(RUN_TIME))
+    return as_text(typed, "created_timestamp").groupBy("source_system", "created_timestamp").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 # --- single rules -----------------------------------------------------------
 
 def code_to_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -258,7 +281,7 @@ QUERIES = {
         bronze_csv_roundtrip, load_report, load_quarantine, bronze_since, dedupe_latest, clean_template, validate_nonempty,
         table_row_counts, cohort_without_subs, silver_transactions, silver_items_economics, silver_subscriptions,
         silver_product_catalog, silver_inventory, silver_interactions, silver_campaigns, silver_campaign_events,
-        scd2_history, code_to_id, calendar_parts, fiscal_calendar, first_purchase_flag, holiday_flag,
+        scd2_history, scd2_current, schema_alignment, metadata_stamp, code_to_id, calendar_parts, fiscal_calendar, first_purchase_flag, holiday_flag,
         discount_coupon_flags, subscription_payments, churn_risk_score, price_tier, lifecycle_stage, category_path,
         escalation_flag,
     )
