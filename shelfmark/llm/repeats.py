@@ -360,12 +360,24 @@ def _contents(texts: DataFrame, rows: DataFrame, length: int) -> DataFrame:
 
 
 def group_spans(group: list[tuple], length: int) -> list[tuple[int, int, int]]:
-    """(start, end, key) of the repeats among the segments of one anchor; settled segments are only compared with."""
+    """(start, end, key) of the repeats among the segments of one anchor; settled segments are only compared with.
+
+    The intervals that hold a member come with falling right sides, so one whose left side is no longer than
+    that of an earlier one lies within it and is not given again.
+    """
     views = [(*unpacked(pack), key, data) for _, _, key, pack, data in group]
     lefts = [data[:at - first][::-1] for first, _, at, _, _, data in views]
     rights = [data[at - first:] for first, _, at, _, _, data in views]
-    return [(views[i][2] - left, views[i][2] + right, views[i][4]) for left, right, members in maximal_repeats(lefts, rights, length)
-            for i in members if not views[i][3] & DONE]
+    longest = [-1] * len(views)
+    spans = []
+    for left, right, members in maximal_repeats(lefts, rights, length):
+        for i in members:
+            if left > longest[i]:
+                longest[i] = left
+                _, _, at, flag, key, _ = views[i]
+                if not flag & DONE:
+                    spans.append((at - left, at + right, key))
+    return spans
 
 
 def _compared(rows: DataFrame, length: int) -> DataFrame:
