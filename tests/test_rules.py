@@ -6,6 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from shelfmark.functions import calendar, ladders, numbers, text
@@ -119,6 +120,8 @@ def test_ratio_and_decimal(spark):
     assert [tuple(r) for r in got.collect()] == [(0.333333, Decimal("0.33")), (None, None), (1.005, Decimal("1.01"))]
 
 
-def test_decimal_overflow_is_null(spark):
+def test_decimal_overflow_is_an_error(spark):
     df = spark.createDataFrame([(12345.0,)], "a double")
-    assert df.select(numbers.as_decimal(F.col("a"), 5, 2)).first()[0] is None
+    assert df.select(numbers.as_decimal(F.col("a"), 7, 2)).first()[0] == Decimal("12345.00")
+    with pytest.raises(ArithmeticException):
+        df.select(numbers.as_decimal(F.col("a"), 5, 2)).collect()
