@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import orderkeys
+from shelfmark.operators.names import numbered, with_name, with_number
+from shelfmark.session import cut_lineage
 
 
 def with_first_purchase(
@@ -50,13 +52,13 @@ def clean_feed(df: DataFrame, keys: list[str], positive: list[str], trimmed: lis
 
 
 def top_value(weights: DataFrame, key: str, value: str, weight: str, name: str) -> DataFrame:
-    """Per ``key``: the ``value`` with the greatest total ``weight``, ties to the smaller value.
+    """Per ``key``: the ``value`` with the greatest total ``weight`` (a whole number), ties to the smaller value.
 
-    Two partial aggregates, no window: (key, value) totals first, then the best
-    of them.
+    Two partial aggregates, no window: (key, value) totals first, then the best of them, compared as
+    keys of fixed width with the values' numbers in them.
     """
-    totals = weights.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.sum(weight).alias("_weight"))
-    best = F.min(F.struct((-F.col("_weight")).alias("w"), F.col(value).alias("v")))
-    return totals.groupBy(key).agg(best.alias("_best")).select(key, F.col("_best.v").alias(name))
-
-
+    totals = cut_lineage(weights.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.sum(weight).alias("_weight")))
+    values = numbered(totals, value)
+    place = orderkeys.packed(-F.col("_weight"), F.col("_value"))
+    best = with_number(totals, values, value, "_value").groupBy(key).agg(orderkeys.minor_of(F.min(place)).alias("_value"))
+    return with_name(best, values, "_value", name).select(key, name)

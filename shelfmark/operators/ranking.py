@@ -128,14 +128,15 @@ def with_dense_rank(df: DataFrame, value: str, name: str, group: list[str]) -> D
 
 
 def with_dense_ranks(
-    df: DataFrame, key: str | list[str], ranks: dict[str, tuple[str, str | list[str] | None]]
+    df: DataFrame, key: str | list[str], ranks: dict[str, tuple[str, str | list[str] | None]], of: DataFrame | None = None
 ) -> DataFrame:
     """Several descending dense ranks in one sort; NULL values come last.
 
     ``ranks`` maps a new column to (value column, group column or columns or None); ``key``,
     one column or several, is unique; nulls count as a value. Only keys, groups and values are
     repeated per rank and sorted. Each slice ranks its own values; the distinct values of the slices before
-    it are added, less one wherever a slice goes on with the value that the one before ended with.
+    it are added, less one wherever a slice goes on with the value that the one before ended with. ``of``
+    may give the same rows in a form that is cheaper to read.
     """
     keys = [key] if isinstance(key, str) else key
     lists = {name: [group] if isinstance(group, str) else group or [] for name, (_, group) in ranks.items()}
@@ -150,7 +151,8 @@ def with_dense_ranks(
 
     groups = ["_rank", *[f"_g{i}" for i in range(len(fields))]]
     named = [f"_k{i}" for i in range(len(keys))]
-    stacked = df.select(*[F.col(k).alias(n) for k, n in zip(keys, named)], F.explode(F.array(*map(entry, ranks))).alias("_e")).select(*named, "_e.*")
+    source = df if of is None else of
+    stacked = source.select(*[F.col(k).alias(n) for k, n in zip(keys, named)], F.explode(F.array(*map(entry, ranks))).alias("_e")).select(*named, "_e.*")
     order = F.col("_value").desc_nulls_last()
     inside = Window.partitionBy("_slice", *groups).orderBy(order)
     local = in_slices(stacked, groups, [order]).withColumn("_local", F.dense_rank().over(inside))

@@ -21,9 +21,12 @@ def _same(names: list[str], prefix: str) -> Column:
     return same
 
 
-def with_group_totals(df: DataFrame, group: list[str], totals: dict[str, Column]) -> DataFrame:
-    """Aggregates over each group on each of its rows, as ``over (partition by group)``; null keys are a group."""
-    summed = df.groupBy(*group).agg(*[total.alias(name) for name, total in totals.items()])
+def with_group_totals(df: DataFrame, group: list[str], totals: dict[str, Column], of: DataFrame | None = None) -> DataFrame:
+    """Aggregates over each group on each of its rows, as ``over (partition by group)``; null keys are a group.
+
+    ``of`` may give the same rows in a form that is cheaper to read.
+    """
+    summed = (df if of is None else of).groupBy(*group).agg(*[total.alias(name) for name, total in totals.items()])
     summed = summed.select(*[F.col(name).alias(f"_t_{name}") for name in group], *totals)
     return df.join(summed, _same(group, "_t_")).drop(*[f"_t_{name}" for name in group])
 
