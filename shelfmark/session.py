@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 
@@ -46,19 +45,17 @@ _folders: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A path of its own below the shared folder, removed when the program ends."""
-    path = f"{shared_folder(spark)}/shelfmark-{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    return path
+    """A path of its own below the shared folder, removed when the driver ends, also after ``spark.stop()``.
 
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Removes a scratch path while the session still stands; a stopped one leaves it to the owner of the folder."""
+    Hadoop's file system removes the folder as it is closed by the driver's JVM.
+    """
+    home = f"{shared_folder(spark)}/shelfmark-{name}-{uuid.uuid4().hex}"
     context = spark.sparkContext
-    if context._jsc is None:
-        return
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    target = context._jvm.org.apache.hadoop.fs.Path(home)
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return f"{home}/data"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
