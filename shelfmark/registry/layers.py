@@ -19,6 +19,9 @@ from shelfmark.sources.loading import load_feeds
 RUN_TIME = "2001-08-02 06:00:00"
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
 
+# Rows of one file of a feed: what one task reads of such files is sorted in memory.
+FEED_ROWS = 250_000
+
 
 def as_text(df: DataFrame, *names: str) -> DataFrame:
     """Timestamps as text, so that results do not depend on the session's time zone."""
@@ -52,7 +55,9 @@ def feed_files(spark: SparkSession, folder: str, base: str) -> dict[str, str]:
         if name == "campaign_events_raw":
             feed = feed.withColumn("_ingestion_timestamp", F.when(
                 F.col("_record_offset") % 100 == 0, F.concat(F.lit("late "), F.col("_record_offset"))).otherwise(F.col("_ingestion_timestamp")))
-        feed.select(BRONZE[name].columns).write.csv(f"{base}/{name}", sep="|", header=True, quote='"', escape='"')
+        # Compressed files are not split, so they are kept short.
+        packed = feed.select(BRONZE[name].columns).write.option("maxRecordsPerFile", FEED_ROWS)
+        packed.csv(f"{base}/{name}", sep="|", header=True, quote='"', escape='"', compression="gzip")
         files[name] = f"{base}/{name}"
     return files
 
