@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import ladders, numbers, orderkeys
-from shelfmark.operators.lines import by_order_and_product
+from shelfmark.operators.lines import TASK_BYTES, by_order_and_product, with_orders
 from shelfmark.operators.names import numbered, with_name, with_number
 from shelfmark.operators.ranking import with_places, with_row_number
-from shelfmark.session import cut_lineage
+from shelfmark.session import cut_lineage, dealt
 
 # Lifetime value factor of the simple prediction, score buckets.
 CLV_FACTOR = "1.5"
@@ -179,11 +179,11 @@ def customer_products(txns: DataFrame, items: DataFrame) -> DataFrame:
     """Purchases per customer and product: the only frame the item-based profile columns need.
 
     Grouping by (customer, product) first keeps a heavy customer or a popular
-    product from gathering in one task.
+    product from gathering in one task. Every step takes as many tasks as the lines' files need.
     """
     buyers = txns.select("transaction_id", "customer_id", "transaction_date")
-    lines = by_order_and_product(items).join(buyers, "transaction_id")
-    return lines.groupBy("customer_id", "product_id").agg(
+    lines = with_orders(by_order_and_product(items), buyers)
+    return dealt(lines, items, TASK_BYTES, "customer_id", "product_id").groupBy("customer_id", "product_id").agg(
         F.sum("net_units").alias("units"),
         F.sum("gross_units").alias("gross_units"),
         F.sum("returned_units").alias("returned_units"),
@@ -201,12 +201,14 @@ def item_profile(bought: DataFrame, products: DataFrame, as_of: Column) -> DataF
     Purchases are summed by (customer, category, brand). Each sum then counts
     three times: as a whole, for its category and for its brand. The last
     grouping finds totals, distinct counts and favourites side by side, so
-    nothing has to be counted as DISTINCT or joined again.
+    nothing has to be counted as DISTINCT or joined again. After the first sum a customer has
+    no more rows than there are brands in categories, so both later groupings take place in the customer's task.
     """
     catalog = products.filter("is_current").select("product_id", "category_level1", "brand", "price_tier")
     names = numbered(catalog.select(F.col("category_level1").alias("name")).union(catalog.select("brand")), "name")
     coded = with_number(with_number(catalog, names, "category_level1", "_category"), names, "brand", "_brand")
-    rows = bought.join(coded, "product_id", "left")
+    spread = lambda df, *keys: dealt(df, bought, TASK_BYTES, *keys)
+    rows = spread(bought, "product_id").join(spread(coded, "product_id"), "product_id", "left")
     recent = since(F.col("last_date"), as_of, 365)
     premium = F.col("price_tier").isin("premium", "luxury")
     sums = {
@@ -221,14 +223,14 @@ def item_profile(bought: DataFrame, products: DataFrame, as_of: Column) -> DataF
         "recent_products": F.count_if(recent),
         "premium_units": F.sum(F.when(premium, F.col("gross_units")).otherwise(0)),
     }
-    grouped = rows.groupBy("customer_id", "_category", "_brand").agg(
+    grouped = spread(rows, "customer_id", "_category", "_brand").groupBy("customer_id", "_category", "_brand").agg(
         *[value.alias(name) for name, value in sums.items()]
     )
     roles = F.array(*[
         F.struct(F.lit(role).alias("role"), value.alias("value"))
         for role, value in (("whole", F.lit(0).cast("bigint")), ("category", F.col("_category")), ("brand", F.col("_brand")))
     ])
-    counted = grouped.withColumn("_r", F.explode(roles)).groupBy("customer_id", "_r.role", "_r.value").agg(
+    counted = spread(grouped, "customer_id").withColumn("_r", F.explode(roles)).groupBy("customer_id", "_r.role", "_r.value").agg(
         *[F.sum(name).alias(name) for name in sums]
     )
     named = F.col("value").isNotNull()
