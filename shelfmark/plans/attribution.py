@@ -127,9 +127,10 @@ def channel_counts(touches: DataFrame) -> DataFrame:
     stamped = touches.withColumn("day", _day_number("touch_timestamp"))
     # The earliest touch as a key of fixed width; of one moment, purchases come last.
     place = orderkeys.packed(orderkeys.micros(F.col("touch_timestamp")) * 2 + _is_purchase(), F.col("touch_id"))
-    daily = stamped.withColumn("_key", place).groupBy("customer_id", "day", "channel").agg(
+    # Written once: the earlier days and the day itself read it.
+    daily = cut_lineage(stamped.withColumn("_key", place).groupBy("customer_id", "day", "channel").agg(
         F.count(F.lit(1)).alias("n"), F.min("_key").alias("first"), F.min_by("campaign_id", "_key").alias("campaign")
-    )
+    ))
     earliest = [F.min("first").alias("first"), F.min_by("campaign", "first").alias("campaign")]
     bought = _purchases(touches)
 
@@ -258,6 +259,8 @@ MAPS = {"time_decay": "time_decay_attribution_map", "position": "position_based_
 
 def channel_attribution(touches: DataFrame) -> DataFrame:
     """One row per purchase with all models and the touch list."""
+    # Written once: counts, purchases, closing touches and the index all read the touches.
+    touches = cut_lineage(touches)
     # Written once: the maps and the purchases' rows both read it.
     rows = cut_lineage(journeys(touches))
     for model in MAPS:
