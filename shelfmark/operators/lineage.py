@@ -6,6 +6,8 @@ Inputs are tables of facts: ``reads`` (job, source), ``writes`` (job, target, op
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from shelfmark.session import cut_lineage
 
 FLOWS, WRITES = "FLOWS_TO", "WRITES_TO"
 
+# Nodes of a round that each task of the next one holds in memory.
+FEW = 500_000
+
 
 def edges(reads: DataFrame, writes: DataFrame, inner: DataFrame) -> DataFrame:
     """Distinct (src, dst, kind, job, op) edges between datasets, inner steps and jobs."""
@@ -30,19 +35,26 @@ def edges(reads: DataFrame, writes: DataFrame, inner: DataFrame) -> DataFrame:
 def reachable(links: DataFrame, start: str, upstream: bool = False) -> DataFrame:
     """Every node that can be reached from ``start``, with the least number of steps to it.
 
-    Semi-naive closure: each round joins the nodes found in the round before, and only those,
-    with the edges, and drops what was visited. It ends when a round finds nothing new, however
-    long the paths are; cycles end too. Rounds are written out and never read back by the driver.
+    Semi-naive closure: each round asks for the edges of the nodes found in the round before, and only
+    those, and drops what was visited. It ends when a round finds nothing new, however long the paths
+    are; cycles end too. While a round's nodes are few, they are sent to where the facts are read, so neither
+    the edges nor anything else of the size of the graph is shuffled or written. Once they are many,
+    the edges are written and joined by their nodes.
     """
     here, there = ("dst", "src") if upstream else ("src", "dst")
-    steps = cut_lineage(links.select(F.col(here).alias("here"), F.col(there).alias("node")).distinct())
-    frontier = steps.sparkSession.createDataFrame([(start, 0)], "node string, steps int")
-    visited = frontier
-    while True:
-        met = steps.join(frontier.select(F.col("node").alias("here"), "steps"), "here").groupBy("node").agg(
-            (F.min("steps") + 1).cast("int").alias("steps"))
-        frontier = cut_lineage(met.join(visited.select("node"), "node", "left_anti"))
-        if frontier.isEmpty():
+    spark, steps, found = links.sparkSession, None, 1
+    visited = frontier = spark.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("steps"))
+    for number in itertools.count(1):
+        asked = frontier.select(F.col("node").alias("here"))
+        if found <= FEW and steps is None:
+            met = links.join(F.broadcast(asked), F.col(here) == F.col("here"), "left_semi").select(F.col(there).alias("node"))
+        else:
+            steps = steps or cut_lineage(links.select(F.col(here).alias("here"), F.col(there).alias("node")).distinct())
+            met = steps.join(asked, "here", "left_semi").select("node")
+        new = met.distinct().join(visited.select("node"), "node", "left_anti")
+        frontier = cut_lineage(new.withColumn("steps", F.lit(number)))
+        found = frontier.count()
+        if not found:
             return visited.filter(F.col("node") != start)
         visited = visited.unionByName(frontier)
 
