@@ -13,7 +13,7 @@ from shelfmark.functions import calendar, ladders, text
 from shelfmark.operators import firsts, history, quality, silver
 from shelfmark.plans import cohorts, medallion
 from shelfmark.sources import readers, shapes, staging, writers
-from shelfmark.session import scratch
+from shelfmark.session import scratch, side_by_side
 from shelfmark.sources.loading import load_feeds
 
 RUN_TIME = "2001-08-02 06:00:00"
@@ -49,17 +49,18 @@ RAW = {
 
 def feed_files(spark: SparkSession, folder: str, base: str) -> dict[str, str]:
     """All feeds as files. Every hundredth campaign event has an arrival time that is none."""
-    files = {}
-    for name, make in RAW.items():
-        feed = make(spark, folder).withColumn("_ingestion_timestamp", F.date_format("_ingestion_timestamp", TIME_TEXT))
+
+    def write(name: str) -> str:
+        feed = RAW[name](spark, folder).withColumn("_ingestion_timestamp", F.date_format("_ingestion_timestamp", TIME_TEXT))
         if name == "campaign_events_raw":
             feed = feed.withColumn("_ingestion_timestamp", F.when(
                 F.col("_record_offset") % 100 == 0, F.concat(F.lit("late "), F.col("_record_offset"))).otherwise(F.col("_ingestion_timestamp")))
-        # Compressed files are not split, so they are kept short.
-        packed = feed.select(BRONZE[name].columns).write.option("maxRecordsPerFile", FEED_ROWS)
+        # Compressed files are not split, so they are kept short. The fastest level takes a third of the time and a third more room.
+        packed = feed.select(BRONZE[name].columns).write.option("maxRecordsPerFile", FEED_ROWS).option("zlib.compress.level", "BEST_SPEED")
         packed.csv(f"{base}/{name}", sep="|", header=True, quote='"', escape='"', compression="gzip")
-        files[name] = f"{base}/{name}"
-    return files
+        return f"{base}/{name}"
+
+    return dict(zip(RAW, side_by_side(spark, write, list(RAW))))
 
 
 def load_report(spark: SparkSession, folder: str) -> DataFrame:
