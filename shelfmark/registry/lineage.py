@@ -1,4 +1,7 @@
-"""Lineage queries over the flow of goods: suppliers, the lots they supply, parts, order lines, orders, customers."""
+"""Lineage queries over the flow of goods: suppliers, the lots they supply, parts, order lines, orders, customers.
+
+Sources, inner steps and readers are also those of the statement log, whose facts are taken from its texts.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +9,12 @@ from shelfmark.operators import lineage
 from shelfmark.sources import shapes
 
 
+def said(spark, folder):
+    return lineage.statements(shapes.query_log(spark, folder))
+
+
 def lineage_sources(spark, folder):
-    return shapes.flow_reads(spark, folder).distinct()
+    return shapes.flow_reads(spark, folder).unionByName(lineage.statement_reads(said(spark, folder))).distinct()
 
 
 def lineage_targets(spark, folder):
