@@ -22,8 +22,9 @@ def lineage_targets(spark, folder):
 
 
 def lineage_ctes(spark, folder):
-    """Inner steps of a job and their direct sources: the lines that packing an order goes through."""
-    return shapes.flow_steps(spark, folder).distinct()
+    """Inner steps of a job and their direct sources: the lines that packing an order goes through, and the steps that a statement defines."""
+    defined = lineage.statement_steps(said(spark, folder)).drop("of_step")
+    return shapes.flow_steps(spark, folder).unionByName(defined).distinct()
 
 
 def lineage_edges(spark, folder):

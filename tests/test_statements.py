@@ -44,3 +44,8 @@ def test_sources_hold_those_of_statements(spark):
     rows = found(registry.lineage_sources(spark, FOLDER).filter("job like 'job%' or job like 'bill:%'"), "job", "source")
     assert ("job_0", "bronze.feed_0") in rows and ("job_1", "silver.calendar") in rows and ("bill:1", "order:1") in rows
     assert not {source for _, source in rows} & {"base", "totals", "bronze.ignored"}
+
+
+def test_steps_hold_those_of_statements(spark):
+    rows = found(registry.lineage_ctes(spark, FOLDER).filter("job = 'job_1'"), "step", "source")
+    assert {("totals", "base"), ("totals", "silver.calendar")} < rows and {step for step, _ in rows} == {"base", "totals"}
