@@ -40,7 +40,9 @@ def lineage_upstream(spark, folder):
 
 
 def lineage_readers(spark, folder):
-    return lineage.readers(lineage_edges(spark, folder), "part:1")
+    """Jobs of a part, and jobs whose statements read or write a table."""
+    logged = lineage.readers(lineage.statement_edges(said(spark, folder)), "silver.table_1")
+    return lineage.readers(lineage_edges(spark, folder), "part:1").unionByName(logged).distinct()
 
 
 def lineage_paths(spark, folder):

@@ -49,3 +49,8 @@ def test_sources_hold_those_of_statements(spark):
 def test_steps_hold_those_of_statements(spark):
     rows = found(registry.lineage_ctes(spark, FOLDER).filter("job = 'job_1'"), "step", "source")
     assert {("totals", "base"), ("totals", "silver.calendar")} < rows and {step for step, _ in rows} == {"base", "totals"}
+
+
+def test_readers_hold_those_of_statements(spark):
+    rows = found(registry.lineage_readers(spark, FOLDER), "job", "role")
+    assert ("job_1", "reads") in rows and ("job_0", "writes") in rows and any(job.startswith("pack:") for job, _ in rows)
